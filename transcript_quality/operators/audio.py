@@ -7,6 +7,7 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from transcript_quality.config import AcousticConfig, ValidityConfig
 from transcript_quality.functions.acoustic import acoustic_struct
@@ -23,9 +24,8 @@ def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=
     file never fails the job.  ``keep`` names input columns passed through unchanged."""
     hop = cfg.hop_length
     keep = list(keep)
-    schema = DECODED_AUDIO
-    for k in keep:
-        schema = schema.add(files.schema[k])
+    base_names = DECODED_AUDIO.fieldNames()
+    schema = T.StructType(list(DECODED_AUDIO.fields) + [files.schema[k] for k in keep])
     names = schema.fieldNames()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -39,7 +39,7 @@ def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=
                                 blocks.tolist(), None))
                 except Exception as e:  # noqa: BLE001 - fault-isolated row
                     out.append((path, None, None, None, None, None, f"{type(e).__name__}: {e}"))
-            res = pd.DataFrame(out, columns=DECODED_AUDIO.fieldNames())
+            res = pd.DataFrame(out, columns=base_names)
             for k in keep:
                 res[k] = pdf[k].values
             yield res[names]

@@ -11,7 +11,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "transcript-quality",
-                  driver_memory: str | None = None) -> SparkSession:
+                  driver_memory: str | None = None, checkpoint_dir: str | None = None) -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -26,6 +26,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     if driver_memory:
         builder = builder.config("spark.driver.memory", driver_memory)
+    if checkpoint_dir:
+        builder = builder.config(CHECKPOINT_CONF, checkpoint_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -34,17 +36,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
-    The location comes from ``spark.checkpoint.dir``.  Only when it is unset (local tests) is a
-    fresh temporary folder chosen and recorded in the session, so that every later call agrees.
-    """
-    base = spark.conf.get(CHECKPOINT_CONF, None)
+    The location is ``spark.checkpoint.dir`` (or the context's checkpoint folder).  Only when
+    neither is set on a local master (tests) is a fresh temporary folder made the context's
+    checkpoint folder, so that every later call agrees."""
+    sc = spark.sparkContext
+    base = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not base:
-        master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-        base = tempfile.mkdtemp(prefix="tq-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, base)
-    spark.sparkContext.setCheckpointDir(base)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tq-ckpt-"))
+        base = sc.getCheckpointDir()
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
