@@ -195,8 +195,10 @@ def spearman_rho(df: DataFrame, x: str, y: str) -> tuple[float, int]:
     rx = average_ranks(pairs.select(F.col("x").alias("v")), cuts=cuts_x).toDF("x", "rx")
     ry = average_ranks(pairs.select(F.col("y").alias("v")), cuts=cuts_y).toDF("y", "ry")
     ranked = pairs.join(rx, "x").join(ry, "y")
-    rho = ranked.agg(_pearson(F.col("rx"), F.col("ry")).alias("rho")).first()["rho"]
-    return float(rho), n
+    rho = float(ranked.agg(_pearson(F.col("rx"), F.col("ry")).alias("rho")).first()["rho"])
+    if abs(abs(rho) - 1.0) < 1e-12:  # perfect (anti-)agreement up to rounding
+        rho = math.copysign(1.0, rho)
+    return rho, n
 
 
 def spearman_p_value(rho: float, n: int) -> float:

@@ -598,7 +598,7 @@ def increase_windows(spark, sf_dir):
                                MON._not_nan_gt(F.col("predicted_wer"), 0.4), STANDIN_MONITOR.flagged_levels)
 
 
-def _p95_sql(bounds) -> str:
+def _p95_sql(bounds, window_sec: int = 3600, histogram: bool = False) -> str:
     bs = [float(b) for b in bounds]
     cols = ", ".join(f"count(*) FILTER (WHERE value / 100.0 <= CAST('{b}' AS DOUBLE)) AS c{i}" for i, b in enumerate(bs))
     k = len(bs)
@@ -607,11 +607,12 @@ def _p95_sql(bounds) -> str:
     ub = "[" + ", ".join(f"CAST('{b}' AS DOUBLE)" for b in bs) + "]"
     cs = "[" + ", ".join(f"c{i}" for i in range(k)) + "]"
     return f"""
-WITH w AS (SELECT CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS window_start, CAST(count(*) AS BIGINT) AS n, {cols}
+WITH w AS (SELECT CAST(floor(epoch(ts) / {window_sec}) * {window_sec} AS BIGINT) AS window_start, CAST(count(*) AS BIGINT) AS n,
+                  sum(value / 100.0) AS total, {cols}
            FROM events GROUP BY 1),
 r AS (SELECT *, 0.95 * c{k - 1} AS rnk FROM w),
 b AS (SELECT *, {pick} AS bi, {ub} AS ub, {cs} AS cs FROM r),
-q AS (SELECT window_start, n,
+q AS (SELECT window_start, n, total, {', '.join(f'CAST(c{i} AS BIGINT) AS b{i}' for i in range(k))},
         CASE WHEN cs[{k}] <= 0 THEN CAST('NaN' AS DOUBLE)
              WHEN bi = {k - 1} THEN {bs[-2]}
              WHEN bi = 0 AND ub[1] <= 0 THEN ub[1]
@@ -619,9 +620,12 @@ q AS (SELECT window_start, n,
                   + (ub[bi + 1] - CASE WHEN bi > 0 THEN ub[bi] ELSE 0.0 END)
                   * ((rnk - CASE WHEN bi > 0 THEN cs[bi] ELSE 0 END) / (cs[bi + 1] - CASE WHEN bi > 0 THEN cs[bi] ELSE 0 END))
         END AS p95 FROM b)
-SELECT window_start, n, round(n / 3600.0, 6) AS per_second, round(p95, 6) AS p95,
+SELECT window_start, n, """ + (
+        "round(total, 6) AS sum, " + ", ".join(f"b{i}" for i in range(k)) + ", round(p95, 6) AS p95 FROM q"
+        if histogram else
+        f"""round(n / {float(window_sec)}, 6) AS per_second, round(p95, 6) AS p95,
        CASE WHEN p95 >= 0.5 THEN 'red' WHEN p95 >= 0.3 THEN 'orange' ELSE 'green' END AS p95_level
-FROM q"""
+FROM q""")
 
 
 @register("p95_from_buckets", _p95_sql(STANDIN_MONITOR.wer_buckets))
@@ -712,3 +716,28 @@ def importance(spark, sf_dir):
     from transcript_quality.operators import model as ML
     train, _ = PR.train_test(prepared_view(spark, sf_dir), "path", 0.2, 42)
     return ML.feature_importance(ML.fit(train, SMALL_GBT), list(FEATURES))
+
+
+# ------------------------------------------------------------------ streaming (stream = batch)
+@register("stream_wer_histogram", _p95_sql(STANDIN_MONITOR.wer_buckets, 86400, histogram=True))
+def stream_wer_histogram(spark, sf_dir):
+    """STM-3/4/10 on a real stream: events are read with ``readStream``, deduplicated by id within
+    the watermark, aggregated per event-time day in update mode, and each micro-batch's updated
+    windows are written to its own folder in the shared checkpoint location; the table is the
+    latest row per window."""
+    import uuid
+
+    from transcript_quality.session import shared_dir
+    from transcript_quality.streaming import monitor as SM
+    schema = table(spark, sf_dir, "events").schema
+    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+          .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    scored = ev.select("event_id", "ts", (F.col("value") / 100.0).alias("predicted_wer"))
+    hist = SM.windowed_histogram_stream(scored, "ts", "predicted_wer", "1 day", STANDIN_MONITOR.wer_buckets,
+                                        watermark="2 days", dedupe_key="event_id")
+    run = shared_dir(spark, "streams", f"wer_histogram_{uuid.uuid4().hex}")
+    SM.run_to_table(hist, f"{run}/out", f"{run}/checkpoint")
+    out = SM.latest_per_key(spark, f"{run}/out", ["window_start"])
+    bounds = list(STANDIN_MONITOR.wer_buckets)
+    return SM.with_quantile(out, bounds, 0.95).select(
+        "window_start", "n", rd("sum").alias("sum"), *[f"b{i}" for i in range(len(bounds))], rd("p95").alias("p95"))
