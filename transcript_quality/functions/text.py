@@ -4,10 +4,12 @@ WER = word-level Levenshtein distance / number of reference words.  Tokenisation
 common WER convention: runs of two or more whitespace characters become one space, the text is
 stripped, and it is split on single spaces (case and punctuation are kept).
 
-The word-level distance is computed by Spark's built-in character ``levenshtein``: each distinct
-word of a pair is coded as one supplementary-plane Unicode character (U+10001 ...), so two words
-are equal exactly when their characters are equal.  Everything stays inside the JVM; the cost is
-O(n*m) per pair like any edit distance, and nothing is shuffled.
+The word-level distance is computed by Spark's built-in character ``levenshtein``: each word of
+a pair is coded as one supplementary-plane Unicode character, so two words are equal exactly when
+their characters are equal.  The code is a 20-bit hash of the word whenever that hash is
+injective on the pair's vocabulary (checked per pair), otherwise the word's position in the pair
+vocabulary.  Everything stays inside the JVM; the cost is O(n*m) per pair like any edit distance,
+and nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -43,25 +45,33 @@ def tokenize_words(text) -> Column:
     return F.filter(F.split(s, " "), lambda w: w != "")
 
 
+def _char(code_point: Column) -> Column:
+    return F.format_string("%c", code_point.cast("int"))
+
+
+def _hash_code(w: Column) -> Column:
+    """20-bit hash of the word as a code point in U+10000 .. U+10FFFF."""
+    return F.xxhash64(w).bitwiseAND(0xFFFFF) + F.lit(0x10000)
+
+
 def _code_words(words: Column, vocab: Column) -> Column:
-    """Each word -> one 4-byte UTF-8 character U+10000 + (1-based position in ``vocab``)."""
-    def one(w):
-        cp = F.array_position(vocab, w) + F.lit(0x10000)
-        b0 = F.lit(0xF0) + F.shiftright(cp, 18)
-        b1 = F.lit(0x80) + F.shiftright(cp, 12).bitwiseAND(0x3F)
-        b2 = F.lit(0x80) + F.shiftright(cp, 6).bitwiseAND(0x3F)
-        b3 = F.lit(0x80) + cp.bitwiseAND(0x3F)
-        word32 = b0 * 16777216 + b1 * 65536 + b2 * 256 + b3
-        return F.decode(F.unhex(F.lpad(F.hex(word32), 8, "0")), "UTF-8")
-    return F.array_join(F.transform(words, one), "")
+    """Each word -> one character U+10000 + (1-based position in ``vocab``): always injective."""
+    return F.array_join(F.transform(words, lambda w: _char(F.array_position(vocab, w) + F.lit(0x10000))), "")
+
+
+def _hash_words(words: Column) -> Column:
+    return F.array_join(F.transform(words, lambda w: _char(_hash_code(w))), "")
 
 
 def _distance(r: Column, h: Column) -> Column:
+    """Hash coding is O(1) per word; it is used when it is injective on the pair's vocabulary
+    (checked exactly), else the positional coding (O(vocabulary) per word) takes over."""
     def coded(vocab):
-        return F.when(
-            F.size(vocab) > MAX_PAIR_VOCABULARY,
-            F.raise_error(F.lit("pair vocabulary exceeds the word-coding range")).cast("int"),
-        ).otherwise(F.levenshtein(_code_words(r, vocab), _code_words(h, vocab)))
+        injective = F.size(F.array_distinct(F.transform(vocab, _hash_code))) == F.size(vocab)
+        return (F.when(F.size(vocab) > MAX_PAIR_VOCABULARY,
+                       F.raise_error(F.lit("pair vocabulary exceeds the word-coding range")).cast("int"))
+                .when(injective, F.levenshtein(_hash_words(r), _hash_words(h)))
+                .otherwise(F.levenshtein(_code_words(r, vocab), _code_words(h, vocab))))
     return let(F.array_distinct(F.concat(r, h)), coded)
 
 
