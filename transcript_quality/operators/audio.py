@@ -47,13 +47,13 @@ def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=
     return files.select("path", "content", *keep).mapInPandas(run, schema)
 
 
-def acoustic_features(decoded: DataFrame, cfg: AcousticConfig = AcousticConfig()) -> DataFrame:
-    """MTH-1/2/3 on decoded rows: (path, rms_db, snr_db, duration, error); decode failures
-    keep NULL features."""
+def acoustic_features(decoded: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=()) -> DataFrame:
+    """MTH-1/2/3 on decoded rows: (path, rms_db, snr_db, duration, error, *keep); decode
+    failures keep NULL features."""
     st = acoustic_struct("block_sq", "n_samples", "sr", cfg, total_sq="total_sq",
                          n_values=F.col("n_samples") * F.col("n_channels"))
-    return decoded.select("path", "error", F.when(F.col("error").isNull(), st).alias("a")) \
-        .select("path", "a.rms_db", "a.snr_db", "a.duration", "error")
+    return decoded.select("path", "error", *keep, F.when(F.col("error").isNull(), st).alias("a")) \
+        .select("path", "a.rms_db", "a.snr_db", "a.duration", "error", *keep)
 
 
 def array_acoustic_features(df: DataFrame, samples: str, sr, cfg: AcousticConfig = AcousticConfig(),

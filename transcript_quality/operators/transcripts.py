@@ -63,34 +63,46 @@ def combine(acoustic: DataFrame, transcripts: DataFrame, key: str = "path") -> D
     return acoustic.join(transcripts, key, "left")
 
 
-def to_feature_history(df: DataFrame) -> DataFrame:
+def to_feature_history(df: DataFrame, keep=()) -> DataFrame:
     """PRJ-1/2: canonical FEATURE_HISTORY projection (float columns); failed rows keep ``path``
-    with NULL features."""
+    with NULL features.  ``keep`` names extra columns carried after the canonical ones."""
     failed = F.col("error").isNotNull() if "error" in df.columns else F.lit(False)
     cols = [F.col("path").cast("string").alias("path")]
     for f in FEATURE_HISTORY.fields[1:]:
         cols.append(F.when(~failed, F.col(f.name)).cast("float").alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)
+
+
+_MODELS: dict = {}
 
 
 def transcribe(df: DataFrame, make_predict_fn: Callable, path_col: str = "path",
                batch_size: int = 16) -> DataFrame:
     """UDF-2: batched speech-to-text through a caller-supplied model.
 
-    ``make_predict_fn()`` is called once per Python worker and must return a function mapping a
-    numpy array of paths to a dict with ``transcript`` (array of str) and ``word_confidence``
-    (2-D float array padded with NaN).  Batches of ``batch_size`` files go to the model."""
-    from pyspark.ml.functions import predict_batch_udf
-
-    out_type = T.StructType([
+    ``make_predict_fn()`` runs once per Python worker (the model stays loaded across tasks) and
+    returns ``predict(paths: np.ndarray) -> {"transcript": [...], "word_confidence": [[...]]}``.
+    Files go to the model ``batch_size`` at a time, inside the scan's own partitions."""
+    schema = T.StructType(list(df.schema.fields) + [
         T.StructField("transcript", T.StringType()),
         T.StructField("word_confidence", T.ArrayType(T.DoubleType())),
     ])
-    udf = predict_batch_udf(make_predict_fn, return_type=out_type, batch_size=batch_size,
-                            input_tensor_shapes=None)
-    return df.withColumn("_t", udf(F.col(path_col))).select(
-        "*", F.col("_t.transcript").alias("transcript"),
-        F.col("_t.word_confidence").alias("word_confidence")).drop("_t")
+    key = f"{getattr(make_predict_fn, '__module__', '')}.{getattr(make_predict_fn, '__qualname__', id(make_predict_fn))}"
+
+    def run(batches):
+        predict = _MODELS.get(key)
+        if predict is None:
+            predict = _MODELS[key] = make_predict_fn()
+        for pdf in batches:
+            for start in range(0, len(pdf), batch_size):
+                chunk = pdf.iloc[start:start + batch_size].copy()
+                out = predict(chunk[path_col].to_numpy())
+                chunk["transcript"] = [None if t is None else str(t) for t in out["transcript"]]
+                chunk["word_confidence"] = [None if c is None else [float(v) for v in c]
+                                            for c in out["word_confidence"]]
+                yield chunk
+
+    return df.mapInPandas(run, schema)
 
 
 def pad_confidences(rows) -> np.ndarray:

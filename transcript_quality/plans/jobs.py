@@ -36,9 +36,13 @@ def features_from_files(files: DataFrame, lookup: DataFrame | None = None,
                         transcripts: DataFrame | None = None,
                         acoustic: AcousticConfig = AcousticConfig(),
                         ingest: IngestConfig = IngestConfig(),
-                        validate: ValidityConfig | None = None) -> DataFrame:
+                        validate: ValidityConfig | None = None, extractors=()) -> DataFrame:
     """Binary audio rows (batch or stream) -> FEATURE_HISTORY rows.
 
+    ``extractors`` are extra feature transforms (DataFrame -> DataFrame, applied with
+    ``df.transform``) over the decoded rows (path, sr, n_samples, n_channels, total_sq, block_sq);
+    the columns they add are kept next to the canonical ones.
+
     ``transcripts`` (path, transcript, word_confidence) comes from :func:`transcribe` or any
     speech-to-text output keyed by the scan's ``path``; ``lookup`` is (filename, reference_text).
     With ``validate`` invalid files (too small, bad header, too short) are left out."""
@@ -48,7 +52,12 @@ def features_from_files(files: DataFrame, lookup: DataFrame | None = None,
         dur = F.when(F.col("sr") > 0, F.col("n_samples") / F.col("sr"))
         ok, _ = validity("length", dur, "error", validate)
         dec = dec.where(ok).drop("length")
-    ac = acoustic_features(dec, acoustic)
+    extra = []
+    for fn in extractors:
+        before = set(dec.columns)
+        dec = dec.transform(fn)
+        extra += [c for c in dec.columns if c not in before]
+    ac = acoustic_features(dec, acoustic, keep=extra)
     if transcripts is None:
         transcripts = spark.createDataFrame([], TRANSCRIPTS)
     rows = ac.join(transcripts.select("path", "transcript", "word_confidence"), "path", "left")
@@ -58,18 +67,18 @@ def features_from_files(files: DataFrame, lookup: DataFrame | None = None,
     else:
         rows = rows.withColumn("reference_text", F.lit(None).cast("string"))
     rows = add_wer(rows, "reference_text", "transcript", ingest.missing_wer, ingest.failed_wer)
-    return to_feature_history(rows)
+    return to_feature_history(rows, keep=extra)
 
 
 def extract_features(spark: SparkSession, landing: str, lookup_path: str | None = None,
                      transcripts: DataFrame | None = None, history_path: str | None = None,
                      acoustic: AcousticConfig = AcousticConfig(), ingest: IngestConfig = IngestConfig(),
-                     validate: ValidityConfig | None = None) -> DataFrame:
+                     validate: ValidityConfig | None = None, extractors=()) -> DataFrame:
     """JOB-1 in batch form; appends to ``history_path`` when given."""
     files = SA.read_audio(spark, landing, ingest.glob,
                           min_size_kb=validate.min_size_kb if validate else None)
     lookup = SRC.read_reference_lookup(spark, lookup_path) if lookup_path else None
-    rows = features_from_files(files, lookup, transcripts, acoustic, ingest, validate)
+    rows = features_from_files(files, lookup, transcripts, acoustic, ingest, validate, extractors)
     if history_path:
         W.append_features(rows, history_path)
     return rows

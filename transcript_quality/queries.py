@@ -741,3 +741,54 @@ def stream_wer_histogram(spark, sf_dir):
     bounds = list(STANDIN_MONITOR.wer_buckets)
     return SM.with_quantile(out, bounds, 0.95).select(
         "window_start", "n", rd("sum").alias("sum"), *[f"b{i}" for i in range(len(bounds))], rd("p95").alias("p95"))
+
+
+@register("throughput", f"""
+WITH {_step_sql('count(*) AS n')}
+SELECT (k + 1) * 3600 AS step_end, CAST(n AS BIGINT) AS requests, round(n / 3600.0, 6) AS per_second FROM dense""")
+def throughput(spark, sf_dir):
+    """STM-5: requests per second per evaluation step (all traffic)."""
+    r = MON.rate_series(table(spark, sf_dir, "events"), "ts", ["1 hour"], "1 hour")
+    return r.select("step_end", F.col("n_in_window").alias("requests"), rd("rate").alias("per_second"))
+
+
+@register("status_levels", f"""
+WITH {_step_sql("count(*) FILTER (WHERE value / 100.0 > 0.4) AS n")},
+inc AS (SELECT d.k, CAST(sum(d2.n) AS BIGINT) AS flagged FROM dense d JOIN dense d2 ON d2.k BETWEEN d.k - 14 AND d.k GROUP BY d.k),
+p AS ({_p95_sql(STANDIN_MONITOR.wer_buckets).strip()})
+SELECT (inc.k + 1) * 3600 AS step_end, inc.flagged,
+       CASE WHEN inc.flagged >= 10 THEN 'red' WHEN inc.flagged >= 1 THEN 'orange' ELSE 'green' END AS flagged_level,
+       p.p95, coalesce(p.p95_level, 'green') AS p95_level
+FROM inc LEFT JOIN p ON p.window_start = inc.k * 3600""")
+def status_levels(spark, sf_dir):
+    """STM-6/7: the two stat-panel levels per evaluation step."""
+    s = scored_view(spark, sf_dir)
+    inc = MON.increase_series(s, "ts", STANDIN_MONITOR.flagged_window, STANDIN_MONITOR.step,
+                              MON._not_nan_gt(F.col("predicted_wer"), 0.4), STANDIN_MONITOR.flagged_levels)
+    p95 = MON.windowed_quantile(s, "ts", "predicted_wer", "1 hour", 0.95, STANDIN_MONITOR.wer_buckets, STANDIN_MONITOR)
+    j = inc.join(p95.select((F.col("window_start") + 3600).alias("step_end"), "p95", "p95_level"), "step_end", "left")
+    return j.select("step_end", F.col("increase").alias("flagged"), F.col("level").alias("flagged_level"),
+                    rd("p95").alias("p95"), F.coalesce("p95_level", F.lit("green")).alias("p95_level"))
+
+
+@register("stream_acoustic_features", f"""
+WITH {ACOUSTIC_SQL}
+SELECT vec_id, label, n_samples, round(duration, 6) AS duration, round(rms_db, 6) AS rms_db,
+       round(snr_db, 6) AS snr_db FROM ac""")
+def stream_acoustic_features(spark, sf_dir):
+    """STM-1 on the stand-in: waveforms read with ``readStream``, featurised by the same
+    stateless expressions, appended through the exactly-once file sink, read back as a table."""
+    import uuid
+
+    from transcript_quality.session import shared_dir
+    schema = table(spark, sf_dir, "embeddings").schema
+    src = (spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet")
+           .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    feats = array_acoustic_features(src, "embedding", STANDIN_SR, STANDIN_ACOUSTIC, keep=("vec_id", "label"))
+    run = shared_dir(spark, "streams", f"acoustic_{uuid.uuid4().hex}")
+    q = (feats.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{run}/checkpoint")
+         .trigger(availableNow=True).start(f"{run}/out"))
+    q.awaitTermination()
+    out = spark.read.parquet(f"{run}/out")
+    return out.select("vec_id", "label", "n_samples", rd("duration").alias("duration"),
+                      rd("rms_db").alias("rms_db"), rd("snr_db").alias("snr_db"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from transcript_quality.schemas import FEATURE_HISTORY, GROUND_TRUTH, MANIFEST, REGISTRY
@@ -16,9 +16,17 @@ def _canonical(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def append_features(df: DataFrame, path: str) -> None:
-    """SNK-1: append rows to the feature history in the canonical schema (float columns)."""
-    _canonical(df, FEATURE_HISTORY).write.mode("append").parquet(path)
+def append_features(df: DataFrame, path: str) -> dict:
+    """SNK-1: append rows to the feature history in the canonical schema (float columns).
+
+    Returns the run summary (AGG-14) observed while writing: rows, failed rows (NULL
+    features) and rows without a reference text (wer = -1); no second pass over the data."""
+    obs = Observation("append_features")
+    out = _canonical(df, FEATURE_HISTORY).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rms_db").isNull()).alias("failed"),
+        F.count_if(F.col("wer") == -1.0).alias("unlabelled"))
+    out.write.mode("append").parquet(path)
+    return dict(obs.get)
 
 
 def write_ground_truth(df: DataFrame, path: str) -> None:
