@@ -15,13 +15,24 @@ from transcript_quality.functions.wav import block_summary, decode
 from transcript_quality.schemas import DECODED_AUDIO
 
 
-def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=()) -> DataFrame:
+FILES_PER_ARROW_BATCH = 64
+
+
+def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=(),
+                 files_per_batch: int = FILES_PER_ARROW_BATCH) -> DataFrame:
     """DEC-1: (path, content) -> one DECODED_AUDIO row per file.
 
     Runs as an Arrow-batched ``mapInPandas`` over the scan's own partitions (no shuffle of file
     bytes).  Each file leaves the task as ~n/hop block energies instead of n samples.  A file
     that cannot be decoded yields its path with NULL fields and an ``error`` text, so one bad
-    file never fails the job.  ``keep`` names input columns passed through unchanged."""
+    file never fails the job.  ``keep`` names input columns passed through unchanged.
+
+    Arrow batches carry whole files, so the session's records-per-batch is lowered to
+    ``files_per_batch`` (memory per Python worker ~ files_per_batch x file size)."""
+    spark = files.sparkSession
+    current = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
+    if current <= 0 or current > files_per_batch:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(files_per_batch))
     hop = cfg.hop_length
     keep = list(keep)
     base_names = DECODED_AUDIO.fieldNames()

@@ -28,19 +28,21 @@ def compare_models(candidate: DataFrame, production: DataFrame | None,
                    metric: str = "spearman_rho", allow_equal: bool = False) -> DataFrame:
     """JON-6 + ML-4: one row (candidate, production, promote).
 
+    Both metric sets are stacked as (role, value) rows and folded by one aggregate (no join).
     A missing, empty or NaN production metric counts as -1.0; a NaN candidate never promotes;
     the comparison is strict unless ``allow_equal``."""
-    cand = candidate.select(F.col(metric).cast("double").alias("candidate"))
-    if production is None:
-        prod = candidate.sparkSession.createDataFrame([(None,)], "production double")
-    else:
-        prod = production.select(F.col(metric).cast("double").alias("production")) \
-            .agg(F.first("production", ignorenulls=True).alias("production"))
+    rows = candidate.select(F.lit("candidate").alias("role"), F.col(metric).cast("double").alias("value"))
+    if production is not None:
+        rows = rows.unionByName(production.select(F.lit("production").alias("role"),
+                                                  F.col(metric).cast("double").alias("value")))
+    folded = rows.agg(
+        F.first(F.when(F.col("role") == "candidate", F.col("value")), ignorenulls=True).alias("candidate"),
+        F.first(F.when(F.col("role") == "production", F.col("value")), ignorenulls=True).alias("production"))
     p = F.col("production")
     p = F.when(p.isNull() | F.isnan(p), F.lit(-1.0)).otherwise(p)
     c = F.col("candidate")
     better = (c >= p) if allow_equal else (c > p)
-    return cand.crossJoin(prod).select(
+    return folded.select(
         "candidate", p.alias("production"),
         F.coalesce(c.isNotNull() & ~F.isnan(c) & better, F.lit(False)).alias("promote"))
 

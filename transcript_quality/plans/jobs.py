@@ -189,7 +189,7 @@ def merge_manifest_job(spark: SparkSession, existing_path: str | None, new_rows:
 
 
 def prepare_lookup(spark: SparkSession, manifest_path: str, files: DataFrame, lookup_path: str,
-                   sample_size: int = 51, seed: int = 42, as_json: bool = True) -> dict:
+                   sample_size: int = 51, seed: int = 42, as_json: bool = False) -> dict:
     """JOB-7: seeded exact sample of the manifest, kept where the audio exists, written as the
     filename -> reference-text lookup.  Returns the copied / skipped / entry counts."""
     manifest = SRC.read_manifest(spark, manifest_path, require_rows=True)
@@ -200,7 +200,7 @@ def prepare_lookup(spark: SparkSession, manifest_path: str, files: DataFrame, lo
     counts = sample.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     copied = present.count()
     return {"sampled": counts, "copied": copied, "skipped": counts - copied,
-            "entries": spark.read.text(lookup_path).count() if not as_json else lookup.count()}
+            "entries": SRC.read_reference_lookup(spark, lookup_path).count()}
 
 
 # ------------------------------------------------------------------ JOB-8 / 9 score and monitor

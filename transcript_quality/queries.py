@@ -575,12 +575,11 @@ dense AS (SELECT grid.*, {', '.join(f'coalesce(cnt.{m.split(' AS ')[-1].strip()}
 
 
 @register("rate_windows", f"""
-WITH {_step_sql('count(*) AS n', 'event_type')},
-w AS (SELECT unnest([1, 5, 10]) AS wh)
-SELECT d.event_type, (d.k + 1) * 3600 AS step_end, CAST(w.wh * 3600 AS BIGINT) AS window_sec,
-       CAST(sum(d2.n) AS BIGINT) AS n_in_window, round(sum(d2.n) / (w.wh * 3600.0), 6) AS rate
-FROM dense d CROSS JOIN w JOIN dense d2 ON d2.event_type = d.event_type AND d2.k BETWEEN d.k - w.wh + 1 AND d.k
-GROUP BY d.event_type, d.k, w.wh""")
+WITH {_step_sql('count(*) AS n', 'event_type')}
+""" + "\nUNION ALL\n".join(f"""SELECT d.event_type, (d.k + 1) * 3600 AS step_end, CAST({wh * 3600} AS BIGINT) AS window_sec,
+       CAST(sum(d2.n) AS BIGINT) AS n_in_window, round(sum(d2.n) / {wh * 3600.0}, 6) AS rate
+FROM dense d JOIN dense d2 ON d2.event_type = d.event_type AND d2.k BETWEEN d.k - {wh - 1} AND d.k
+GROUP BY d.event_type, d.k""" for wh in (1, 5, 10)))
 def rate_windows(spark, sf_dir):
     r = MON.rate_series(table(spark, sf_dir, "events"), "ts", ["1 hour", "5 hours", "10 hours"], "1 hour",
                         group_cols=("event_type",))
@@ -672,9 +671,8 @@ test AS (SELECT *, {CANDIDATE_SQL} AS cand, {PRODUCTION_SQL} AS prod FROM prepar
          WHERE CAST(('0x' || substr(md5('42|' || path), 1, 8)) AS BIGINT) % 10000 < 2000),
 c AS {_avg_rank_corr_sql('test', 'wer', 'cand')},
 p AS {_avg_rank_corr_sql('test', 'wer', 'prod')}
-SELECT round(c.rho, 6) AS candidate, round(coalesce(p.rho, -1.0), 6) AS production,
-       coalesce(c.rho > coalesce(p.rho, -1.0), false) AS promote
-FROM c, p""")
+SELECT round((SELECT rho FROM c), 6) AS candidate, round(coalesce((SELECT rho FROM p), -1.0), 6) AS production,
+       coalesce((SELECT rho FROM c) > coalesce((SELECT rho FROM p), -1.0), false) AS promote""")
 def model_gate(spark, sf_dir):
     _, test = PR.train_test(prepared_view(spark, sf_dir), "path", 0.2, 42)
     c_rho, _ = ST.spearman_rho(candidate_prediction(test), "wer", "prediction")

@@ -40,15 +40,22 @@ def write_manifest(df: DataFrame, path: str) -> None:
         .option("escape", '"').csv(path)
 
 
-def write_reference_lookup(df: DataFrame, path: str, as_json: bool = False) -> None:
-    """SNK-4: (filename, reference_text) as Parquet (scalable), or as one JSON object for
-    parity with the single-file lookup format.  The JSON form builds one row holding the whole
-    map, so it is only for small lookups."""
+MAX_JSON_LOOKUP_ENTRIES = 100_000
+
+
+def write_reference_lookup(df: DataFrame, path: str, as_json: bool = False,
+                           max_json_entries: int = MAX_JSON_LOOKUP_ENTRIES) -> None:
+    """SNK-4: (filename, reference_text) as Parquet (the scalable form), or as one JSON object
+    for parity with the single-file lookup format.  A JSON object is one value built by one
+    task, so that form refuses lookups above ``max_json_entries`` instead of gathering an
+    unbounded map."""
     rows = df.select("filename", "reference_text").where(
         F.col("reference_text").isNotNull() & (F.col("reference_text") != ""))
     if not as_json:
         rows.write.mode("overwrite").parquet(path)
         return
+    if rows.limit(max_json_entries + 1).count() > max_json_entries:
+        raise ValueError(f"lookup has more than {max_json_entries} entries; write it as Parquet")
     obj = rows.agg(F.to_json(F.map_from_entries(F.collect_list(
         F.struct("filename", "reference_text")))).alias("value"))
     obj.coalesce(1).write.mode("overwrite").text(path)

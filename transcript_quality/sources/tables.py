@@ -20,13 +20,25 @@ def read_reference_lookup(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         log.warning("Reference lookup not found at %s", path)
         return spark.createDataFrame([], REFERENCE_LOOKUP)
-    if path.endswith(".parquet"):
+    if _is_parquet(spark, path):
         return spark.read.schema(REFERENCE_LOOKUP).parquet(path)
     doc = spark.read.text(path, wholetext=True)
     m = F.from_json(F.col("value"), "map<string,string>")
     return doc.select(F.explode(m).alias("filename", "reference_text"))
 
 
+def _is_parquet(spark: SparkSession, path: str) -> bool:
+    """A ``.parquet`` path, or a folder holding Parquet part files."""
+    if path.rstrip("/").endswith(".parquet"):
+        return True
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(hpath).isDirectory():
+        return False
+    return any(st.getPath().getName().endswith(".parquet") for st in fs.listStatus(hpath))
+
+
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """SRC-3: feature history (file or directory) in the canonical schema; missing path raises."""
     if not path_exists(spark, path):
