@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from transcript_quality.config import GBTConfig, ScoringConfig, TrainingConfig
 from transcript_quality.operators import stats
 from transcript_quality.operators.monitoring import flag_for_review
+from transcript_quality.operators.partitioning import spread
 
 log = logging.getLogger(__name__)
 
@@ -34,7 +36,14 @@ def _as_double(df: DataFrame, cfg: TrainingConfig) -> DataFrame:
 
 
 def fit(train_df: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> PipelineModel:
-    return gbt_pipeline(cfg).fit(_as_double(train_df, cfg))
+    """Boosted trees read their input several times (split finding, binning); the projected
+    training rows are persisted for the fit so the scan and split run once."""
+    cols = [*cfg.feature_columns, cfg.target_column]
+    rows = spread(_as_double(train_df.select(*cols), cfg)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return gbt_pipeline(cfg).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:
@@ -44,8 +53,12 @@ def predict(model: PipelineModel, df: DataFrame, cfg: TrainingConfig = TrainingC
 def metrics(pred: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> dict:
     """ML-3: spearman rho, p-value and RMSE of predictions (one pass for RMSE, one distributed
     rank correlation)."""
-    rho, n = stats.spearman_rho(pred, cfg.target_column, "prediction")
-    rmse = stats.error_stats(pred, cfg.target_column, "prediction").first()["rmse"]
+    pairs = pred.select(cfg.target_column, "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rho, n = stats.spearman_rho(pairs, cfg.target_column, "prediction")
+        rmse = stats.error_stats(pairs, cfg.target_column, "prediction").first()["rmse"]
+    finally:
+        pairs.unpersist()
     return {"spearman_rho": rho, "spearman_p_value": stats.spearman_p_value(rho, n),
             "rmse": rmse, "num_samples": n}
 
@@ -53,7 +66,7 @@ def metrics(pred: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> dict:
 def evaluate(model: PipelineModel | None, df: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> dict:
     if model is None:
         raise RuntimeError("No model loaded to evaluate.")
-    m = metrics(predict(model, df, cfg).persist(), cfg)
+    m = metrics(predict(model, df, cfg), cfg)
     if m["spearman_rho"] < cfg.min_spearman_rho:
         log.warning("Model performance below threshold: Spearman Rho = %.4f (threshold: %s)",
                     m["spearman_rho"], cfg.min_spearman_rho)

@@ -32,6 +32,7 @@ from transcript_quality.operators import registry as RG
 from transcript_quality.operators import stats as ST
 from transcript_quality.operators.audio import array_acoustic_features, validity
 from transcript_quality.operators.joins import join_small
+from transcript_quality.operators.partitioning import copartition, spread
 from transcript_quality.operators.transcripts import wer_table
 
 ND = 6  # decimals kept in compared doubles
@@ -206,7 +207,7 @@ SELECT doc_id, round(n_chars / 1024.0, 6) AS size_kb, round(duration, 6) AS dura
        CASE WHEN n_chars / 1024.0 < 1 THEN 'too_small' WHEN duration < 0.5 THEN 'too_short' END AS reason
 FROM d""")
 def audio_validity(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     dur = (F.size(tokenize_words("text")) / 2.5).alias("duration")
     d = docs.select("doc_id", "n_chars", dur)
     ok, reason = validity("n_chars", "duration")
@@ -228,8 +229,9 @@ SELECT p.conv_id, p.turn, CAST(p.n AS BIGINT) AS ref_words, CAST(p.m AS BIGINT)
 FROM pairs p JOIN dist d ON d.conv_id = p.conv_id AND d.turn = p.turn""")
 def wer_pairs(spark, sf_dir):
     conv = table(spark, sf_dir, "conversations")
-    a = conv.select("conv_id", "turn", F.col("text").alias("reference"))
-    b = conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("hypothesis"))
+    a = copartition(conv.select("conv_id", "turn", F.col("text").alias("reference")), ["conv_id", "turn"])
+    b = copartition(conv.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("hypothesis")),
+                    ["conv_id", "turn"])
     pairs = a.join(b, ["conv_id", "turn"])
     w = wer_table(pairs, "reference", "hypothesis", keep=("conv_id", "turn"))
     return w.select("conv_id", "turn", "ref_words", "hyp_words", "edits", rd("wer").alias("wer"))
@@ -250,7 +252,7 @@ SELECT j.doc_id, (j.reference_text IS NOT NULL) AS has_reference,
 FROM j LEFT JOIN pairs2 p USING (doc_id) LEFT JOIN dist d USING (doc_id)""")
 def wer_policy(spark, sf_dir):
     from transcript_quality.operators.transcripts import add_wer, attach_reference
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     files = docs.select("doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(".wav")).alias("filename"),
                         F.col("text").alias("transcript"))
     bench = table(spark, sf_dir, "benchmark")
