@@ -58,6 +58,17 @@ def features_from_files(files: DataFrame, lookup: DataFrame | None = None,
         dec = dec.transform(fn)
         extra += [c for c in dec.columns if c not in before]
     ac = acoustic_features(dec, acoustic, keep=extra)
+    return to_feature_history(label_acoustics(ac, lookup, transcripts, ingest), keep=extra)
+
+
+def label_acoustics(ac: DataFrame, lookup: DataFrame | None = None,
+                    transcripts: DataFrame | None = None,
+                    ingest: IngestConfig = IngestConfig()) -> DataFrame:
+    """The part of JOB-1 after the acoustics: per-file acoustic rows keyed by ``path`` ⟕
+    transcripts (JON-2) -> mean word confidence (ARR-1) -> reference by filename (JON-1) ->
+    WER with the ingest policy (STR-5/6/7).  Double columns; the canonical float projection
+    is :func:`to_feature_history`."""
+    spark = ac.sparkSession
     if transcripts is None:
         transcripts = spark.createDataFrame([], TRANSCRIPTS)
     rows = ac.join(transcripts.select("path", "transcript", "word_confidence"), "path", "left")
@@ -66,8 +77,7 @@ def features_from_files(files: DataFrame, lookup: DataFrame | None = None,
         rows = attach_reference(rows, lookup)
     else:
         rows = rows.withColumn("reference_text", F.lit(None).cast("string"))
-    rows = add_wer(rows, "reference_text", "transcript", ingest.missing_wer, ingest.failed_wer)
-    return to_feature_history(rows, keep=extra)
+    return add_wer(rows, "reference_text", "transcript", ingest.missing_wer, ingest.failed_wer)
 
 
 def extract_features(spark: SparkSession, landing: str, lookup_path: str | None = None,
@@ -90,26 +100,42 @@ def generate_ground_truth(manifest: DataFrame, files: DataFrame, hypotheses: Dat
                           out_path: str | None = None) -> tuple[DataFrame, dict]:
     """Manifest rows whose audio exists -> acoustics + hypothesis + confidence chain + WER
     (failure -> 1.0).  ``hypotheses``: audio_path, hypothesis_text, word_confidence,
-    token_confidence, score.  Returns (rows, stats) where stats are one-row DataFrames."""
+    token_confidence, score.  Returns (rows, stats) where stats are one-row DataFrames.
+
+    With ``out_path`` the rows are written once and the statistics read the written table, so
+    decoding and WER are not recomputed for each statistic."""
     present = MF.existing_audio(manifest, files, by="path")
-    key = F.regexp_replace(F.col("path"), "^file:", "")
     feats = acoustic_features(decode_audio(files, acoustic), acoustic) \
-        .select(key.alias("audio_path"), "rms_db", "snr_db", "duration")
-    m = present.select("audio_id", F.regexp_replace("audio_path", "^file:", "").alias("audio_path"),
-                       "reference_text")
-    hyp = hypotheses.select(F.regexp_replace("audio_path", "^file:", "").alias("audio_path"),
-                            "hypothesis_text", "word_confidence", "token_confidence", "score")
-    rows = m.join(feats, "audio_path", "left").join(hyp, "audio_path", "left")
-    rows = add_confidence(rows, chain=True)
-    rows = add_wer(rows, "reference_text", "hypothesis_text", missing=1.0, failed=1.0)
-    out = rows.select("audio_id", "audio_path", "reference_text",
-                      F.coalesce("hypothesis_text", F.lit("")).alias("hypothesis_text"),
-                      "wer", "asr_confidence", "duration", "rms_db", "snr_db")
+        .select(F.col("path").alias("audio_path"), "rms_db", "snr_db", "duration")
+    out = ground_truth_rows(present, feats, hypotheses)
     if out_path:
         W.write_ground_truth(out, out_path)
-    stats = {"duration": ST.duration_stats(out), "wer": ST.wer_stats(out),
-             "confidence": ST.confidence_stats(out)}
-    return out, stats
+        out = out.sparkSession.read.parquet(out_path)
+    return out, ground_truth_stats(out)
+
+
+def ground_truth_rows(manifest: DataFrame, feats: DataFrame, hypotheses: DataFrame) -> DataFrame:
+    """JOB-2 after the decode: manifest (audio_id, audio_path, reference_text) ⟕ acoustics
+    (audio_path, rms_db, snr_db, duration) ⟕ hypotheses (JON-3), all matched on the
+    scheme-stripped path -> confidence chain (ARR-2) -> WER, failure -> 1.0 (STR-5/6/7)."""
+    def key(c):
+        return F.regexp_replace(F.col(c), "^file:", "").alias("audio_path")
+    m = manifest.select("audio_id", key("audio_path"), "reference_text")
+    ac = feats.select(key("audio_path"), "rms_db", "snr_db", "duration")
+    hyp = hypotheses.select(key("audio_path"), "hypothesis_text", "word_confidence",
+                            "token_confidence", "score")
+    rows = m.join(ac, "audio_path", "left").join(hyp, "audio_path", "left")
+    rows = add_confidence(rows, chain=True)
+    rows = add_wer(rows, "reference_text", "hypothesis_text", missing=1.0, failed=1.0)
+    return rows.select("audio_id", "audio_path", "reference_text",
+                       F.coalesce("hypothesis_text", F.lit("")).alias("hypothesis_text"),
+                       "wer", "asr_confidence", "duration", "rms_db", "snr_db")
+
+
+def ground_truth_stats(rows: DataFrame) -> dict:
+    """AGG-1/2/3 over ground-truth rows."""
+    return {"duration": ST.duration_stats(rows), "wer": ST.wer_stats(rows),
+            "confidence": ST.confidence_stats(rows)}
 
 
 # ------------------------------------------------------------------ JOB-3 / 4 / 5 models
