@@ -11,7 +11,7 @@ FAST_ORACLE = ["acoustic_features", "audio_validity", "confidence_mean", "confid
                "lookup_join", "manifest_merge", "existing_audio", "sample_exact", "reference_lookup", "prepare_rows",
                "hash_split", "wer_stats", "confidence_stats", "feature_target_corr", "spearman", "histogram_wer",
                "rate_windows", "p95_from_buckets", "alert_error_rate", "alert_drift", "model_gate", "latest_version",
-               "wer_pairs"]
+               "wer_pairs", "feature_rows", "ground_truth_rows"]
 
 
 def test_entry(spark):

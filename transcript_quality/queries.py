@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transcript_quality.config import AcousticConfig, GBTConfig, MonitorConfig, TrainingConfig
@@ -792,3 +792,119 @@ def stream_acoustic_features(spark, sf_dir):
     out = spark.read.parquet(f"{run}/out")
     return out.select("vec_id", "label", "n_samples", rd("duration").alias("duration"),
                       rd("rms_db").alias("rms_db"), rd("snr_db").alias("snr_db"))
+
+
+# ------------------------------------------------------------------ composed jobs after the decode
+def _standin_path(prefix: str, key: str) -> Column:
+    return F.concat(F.lit(prefix), F.col(key).cast("string"), F.lit(".wav"))
+
+
+def _word_confidences(words: Column, min_len: int = 0, cap: int = 10, invalid=None) -> Column:
+    """Stand-in model output: a word's confidence grows with its length (capped at ``cap``
+    letters); words of ``min_len`` letters or fewer get ``invalid`` (NULL or NaN)."""
+    bad = F.lit(invalid).cast("double")
+    return F.transform(words, lambda w: F.when(F.length(w) > min_len, F.least(F.length(w), F.lit(cap)) / float(cap))
+                       .otherwise(bad))
+
+
+def _word_conf_sql(words: str, min_len: int = 0, cap: int = 10, invalid: str = "NULL") -> str:
+    return (f"list_transform({words}, lambda w: CASE WHEN length(w) > {min_len} "
+            f"THEN least(length(w), {cap}) / {float(cap)} ELSE CAST({invalid} AS DOUBLE) END)")
+
+
+def _valid_avg_sql(lst: str) -> str:
+    return f"list_avg(list_filter({lst}, lambda c: c IS NOT NULL AND NOT isnan(c)))"
+
+
+def _f32(c: str) -> str:
+    return f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 6) AS {c}"
+
+
+@register("feature_rows", f"""
+WITH RECURSIVE {ACOUSTIC_SQL},
+tr AS (SELECT 'file:/landing/' || CAST(doc_id AS VARCHAR) || '.wav' AS path, text AS transcript,
+              {_word_conf_sql(tokens_sql('text'))} AS wc FROM documents),
+lk AS (SELECT CAST(item_id AS VARCHAR) || '.wav' AS filename, text AS reference_text FROM benchmark),
+r AS (SELECT a.path, a.rms_db, a.snr_db, a.duration, tr.transcript,
+             coalesce({_valid_avg_sql('tr.wc')}, 0.5) AS asr_confidence, lk.reference_text
+      FROM (SELECT 'file:/landing/' || CAST(vec_id AS VARCHAR) || '.wav' AS path, * FROM ac) a
+      LEFT JOIN tr USING (path)
+      LEFT JOIN lk ON lk.filename = string_split(replace(a.path, 'file:', ''), '/')[-1]),
+pairs AS (SELECT path, {tokens_sql('reference_text')} AS r, {tokens_sql('transcript')} AS h FROM r
+          WHERE reference_text IS NOT NULL AND reference_text <> ''),
+pairs2 AS (SELECT path, r, h, len(r) AS n, len(h) AS m FROM pairs),
+{edit_distance_cte('pairs2', 'path')},
+out AS (SELECT r.path, r.rms_db, r.snr_db, r.duration, r.asr_confidence,
+               CASE WHEN r.reference_text IS NULL OR r.reference_text = '' THEN -1.0
+                    WHEN p.n = 0 THEN -1.0 ELSE d.edits / p.n END AS wer
+        FROM r LEFT JOIN pairs2 p USING (path) LEFT JOIN dist d USING (path))
+SELECT path, {', '.join(_f32(c) for c in (*FEATURES, 'wer'))} FROM out""")
+def feature_rows(spark, sf_dir):
+    """JOB-1 after the decode on the stand-in: per-file acoustics (waveforms from
+    ``embeddings``) ⟕ transcripts (``documents`` text, word confidences from the stand-in model)
+    -> mean word confidence -> reference by filename (``benchmark``) -> WER with the ingest
+    policy -> the canonical float feature-history projection."""
+    from transcript_quality.operators.transcripts import to_feature_history
+    from transcript_quality.plans.jobs import label_acoustics
+    emb = table(spark, sf_dir, "embeddings").withColumn("path", _standin_path("file:/landing/", "vec_id"))
+    ac = array_acoustic_features(emb, "embedding", STANDIN_SR, STANDIN_ACOUSTIC, keep=("path",))
+    docs = table(spark, sf_dir, "documents")
+    tr = docs.select(_standin_path("file:/landing/", "doc_id").alias("path"), F.col("text").alias("transcript"),
+                     _word_confidences(tokenize_words("text")).alias("word_confidence"))
+    bench = table(spark, sf_dir, "benchmark")
+    lookup = bench.select(F.concat(F.col("item_id").cast("string"), F.lit(".wav")).alias("filename"),
+                          F.col("text").alias("reference_text"))
+    rows = to_feature_history(label_acoustics(ac, lookup, tr))
+    return rows.select("path", *[rd(F.col(c).cast("double")).alias(c) for c in (*FEATURES, "wer")])
+
+
+@register("ground_truth_rows", f"""
+WITH RECURSIVE {ACOUSTIC_SQL},
+{MANIFEST_SQL},
+files AS (SELECT vec_id, 'file:/corpus/audio/a' || lpad(CAST(vec_id AS VARCHAR), 7, '0') || '.wav' AS path FROM embeddings),
+present AS (SELECT audio_id, audio_path, reference_text FROM m
+            WHERE replace(audio_path, 'file:', '') IN (SELECT replace(path, 'file:', '') FROM files)),
+feats AS (SELECT replace(files.path, 'file:', '') AS audio_path, ac.rms_db, ac.snr_db, ac.duration
+          FROM ac JOIN files USING (vec_id)),
+hyp AS (SELECT '/corpus/audio/a' || lpad(CAST(item_id AS VARCHAR), 7, '0') || '.wav' AS audio_path,
+               text AS hypothesis_text,
+               {_valid_avg_sql(_word_conf_sql(tokens_sql('text'), 6, 10, "'NaN'"))} AS wc,
+               {_valid_avg_sql(_word_conf_sql(tokens_sql('text'), 3, 8))} AS tc,
+               CASE WHEN length(text) > 100 THEN 0.7 END AS sc
+        FROM benchmark),
+r AS (SELECT p.audio_id, p.audio_path, p.reference_text, coalesce(h.hypothesis_text, '') AS hypothesis_text,
+             coalesce(h.wc, h.tc, h.sc, 0.5) AS asr_confidence, f.duration, f.rms_db, f.snr_db
+      FROM present p LEFT JOIN feats f USING (audio_path) LEFT JOIN hyp h USING (audio_path)),
+-- edit distance is symmetric: run the DP over the (short) hypothesis words, divide by the reference words
+pairs AS (SELECT audio_id, {tokens_sql('hypothesis_text')} AS r, {tokens_sql('reference_text')} AS h FROM r
+          WHERE reference_text IS NOT NULL AND reference_text <> ''),
+pairs2 AS (SELECT audio_id, r, h, len(r) AS n, len(h) AS m FROM pairs),
+{edit_distance_cte('pairs2', 'audio_id')}
+SELECT r.audio_id, r.audio_path, r.hypothesis_text,
+       round(CASE WHEN r.reference_text IS NULL OR r.reference_text = '' THEN 1.0
+                  WHEN p.m = 0 THEN 1.0 ELSE d.edits / p.m END, 6) AS wer,
+       round(r.asr_confidence, 6) AS asr_confidence, round(r.duration, 6) AS duration,
+       round(r.rms_db, 6) AS rms_db, round(r.snr_db, 6) AS snr_db
+FROM r LEFT JOIN pairs2 p USING (audio_id) LEFT JOIN dist d USING (audio_id)""")
+def ground_truth_rows(spark, sf_dir):
+    """JOB-2 after the decode on the stand-in: manifest (``documents``) rows whose audio landed
+    (``embeddings`` as files) ⟕ acoustics ⟕ hypotheses (``benchmark`` texts with word / token /
+    score confidences) -> confidence chain -> WER, failure -> 1.0."""
+    from transcript_quality.plans import jobs as J
+    m = _manifest(table(spark, sf_dir, "documents"))
+    emb = table(spark, sf_dir, "embeddings").withColumn(
+        "path", F.concat(F.lit("file:/corpus/audio/a"), F.lpad(F.col("vec_id").cast("string"), 7, "0"), F.lit(".wav")))
+    present = MF.existing_audio(m, emb.select("path"), by="path")
+    feats = array_acoustic_features(emb, "embedding", STANDIN_SR, STANDIN_ACOUSTIC, keep=("path",)) \
+        .withColumnRenamed("path", "audio_path")
+    words = tokenize_words("text")
+    hyp = table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("/corpus/audio/a"), F.lpad(F.col("item_id").cast("string"), 7, "0"), F.lit(".wav"))
+        .alias("audio_path"),
+        F.col("text").alias("hypothesis_text"),
+        _word_confidences(words, 6, 10, float("nan")).alias("word_confidence"),
+        _word_confidences(words, 3, 8).alias("token_confidence"),
+        F.when(F.length("text") > 100, F.lit(0.7)).alias("score"))
+    rows = J.ground_truth_rows(present, feats, hyp)
+    return rows.select("audio_id", "audio_path", "hypothesis_text",
+                       *[rd(c).alias(c) for c in ("wer", "asr_confidence", "duration", "rms_db", "snr_db")])
