@@ -61,6 +61,23 @@ def test_long_texts_whole(spark):
     assert got.ref_words == 1500 and got.edits == edit_distance(tokens(r), tokens(h))
 
 
+def test_positional_coding_when_hash_collides(spark, monkeypatch):
+    """Force every word onto one hash code: the positional coding over the shorter side's
+    words (words only the longer side has share position 0) must give exact distances."""
+    import transcript_quality.functions.text as T
+    monkeypatch.setattr(T, "_hash_code", lambda w: F.lit(0x10001))
+    rng = random.Random(3)
+    shared = [f"s{i}" for i in range(8)]
+    rows = []
+    for _ in range(150):
+        r = [rng.choice(shared + [f"r{i}" for i in range(6)]) for _ in range(rng.randint(0, 30))]
+        h = [rng.choice(shared + [f"h{i}" for i in range(6)]) for _ in range(rng.randint(0, 30))]
+        rows.append((" ".join(r), " ".join(h)))
+    df = spark.createDataFrame(rows, "r string, h string")
+    for row in df.select("r", "h", T.wer_parts("r", "h").alias("p")).collect():
+        assert row.p.edits == edit_distance(tokens(row.r), tokens(row.h))
+
+
 def test_path_functions(spark):
     df = spark.createDataFrame([("file:/data/in/a:b.wav",), ("/x/y/",)], "p string")
     out = df.select(base_filename(strip_file_scheme("p")).alias("f"),

@@ -7,8 +7,8 @@ stripped, and it is split on single spaces (case and punctuation are kept).
 The word-level distance is computed by Spark's built-in character ``levenshtein``: each word of
 a pair is coded as one supplementary-plane Unicode character, so two words are equal exactly when
 their characters are equal.  The code is a 20-bit hash of the word whenever that hash is
-injective on the pair's vocabulary (checked per pair), otherwise the word's position in the pair
-vocabulary.  Everything stays inside the JVM; the cost is O(n*m) per pair like any edit distance,
+injective on the pair's vocabulary (checked per pair), otherwise the word's position among the
+distinct words of the pair's shorter side (0 for words only the longer side has).  Everything stays inside the JVM; the cost is O(n*m) per pair like any edit distance,
 and nothing is shuffled.
 """
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from transcript_quality.functions.core import col_of as _c, let
 
-# number of distinct words one pair can code: U+10001 .. U+10FFFF
+# number of distinct words the shorter side of a pair can code: U+10001 .. U+10FFFF
 MAX_PAIR_VOCABULARY = 0x10FFFF - 0x10000
 
 
@@ -65,14 +65,18 @@ def _hash_words(words: Column) -> Column:
 
 def _distance(r: Column, h: Column) -> Column:
     """Hash coding is O(1) per word; it is used when it is injective on the pair's vocabulary
-    (checked exactly), else the positional coding (O(vocabulary) per word) takes over."""
-    def coded(vocab):
-        injective = F.size(F.array_distinct(F.transform(vocab, _hash_code))) == F.size(vocab)
-        return (F.when(F.size(vocab) > MAX_PAIR_VOCABULARY,
+    (checked exactly).  Otherwise each word is coded by its position among the distinct words
+    of the shorter side: a word only the longer side has gets position 0, a code the shorter
+    side never uses.  Such words never match anything, so sharing one code among themselves
+    changes no distance, and the cost is O((n + m) * distinct words of the shorter side)."""
+    def coded(v):
+        injective = F.size(F.array_distinct(F.transform(v["u"], _hash_code))) == F.size(v["u"])
+        return (F.when(F.size(v["s"]) > MAX_PAIR_VOCABULARY,
                        F.raise_error(F.lit("pair vocabulary exceeds the word-coding range")).cast("int"))
                 .when(injective, F.levenshtein(_hash_words(r), _hash_words(h)))
-                .otherwise(F.levenshtein(_code_words(r, vocab), _code_words(h, vocab))))
-    return let(F.array_distinct(F.concat(r, h)), coded)
+                .otherwise(F.levenshtein(_code_words(r, v["s"]), _code_words(h, v["s"]))))
+    shorter = F.when(F.size(r) <= F.size(h), r).otherwise(h)
+    return let(F.struct(F.array_distinct(F.concat(r, h)).alias("u"), F.array_distinct(shorter).alias("s")), coded)
 
 
 def word_edit_distance(ref_words, hyp_words) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -147,28 +148,32 @@ def error_stats(df: DataFrame, actual: str = "wer", predicted: str = "prediction
 
 
 # --------------------------------------------------------------------------- rank correlation
-def rank_buckets(n: int, rows_per_bucket: int = 100_000, max_buckets: int = 65_536) -> int:
+def rank_buckets(n: int, rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536) -> int:
+    """Value buckets for the ranking, about ``rows_per_bucket`` rows each: one window task sorts
+    at most that many distinct values (spilling if needed); below it one bucket needs no cut
+    job."""
     return int(min(max_buckets, max(1, n // rows_per_bucket)))
 
 
 def average_ranks(values: DataFrame, col: str = "v", cuts=None) -> DataFrame:
     """(v, rank) with the average 1-based rank of each distinct value (ties share the mean).
 
-    rank(v) = #values below v + (count(v) + 1) / 2.  Distinct values are counted first (partial
-    aggregation, so a value holding a third of all rows is one row here) and split into value
-    buckets at ``cuts`` (approximate quantiles); bucket totals (one row per bucket, broadcast)
-    give each bucket's offset and a running sum ordered by value inside each bucket gives the
-    rest.  No task sees more than one bucket of distinct values, and nothing is collected."""
-    v = F.col(col).cast("double")
-    counts = values.groupBy(v.alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    rank(v) = #values below v + (count(v) + 1) / 2.  Values are split into value buckets at
+    ``cuts`` (approximate quantiles).  Distinct values are counted with partial aggregation (a
+    value holding a third of all rows is one row per task here); bucket totals come straight
+    from the values (each task sends one row per bucket) and, one row per bucket, are broadcast
+    as offsets; a running sum ordered by value inside each bucket gives the rest.  No task sees
+    more than one bucket of distinct values, and nothing is collected."""
+    vals = values.select(F.col(col).cast("double").alias("v"))
     if cuts:
         # binary search per value (JVM side): bucket i holds cuts[i-1] <= v < cuts[i]
         splits = [float("-inf"), *sorted(set(float(c) for c in cuts)), float("inf")]
-        counts = Bucketizer(splits=splits, inputCol="v", outputCol="b", handleInvalid="keep") \
-            .transform(counts).withColumn("bucket", F.col("b").cast("int")).drop("b")
+        vals = Bucketizer(splits=splits, inputCol="v", outputCol="b", handleInvalid="keep") \
+            .transform(vals).select("v", F.col("b").cast("int").alias("bucket"))
     else:
-        counts = counts.withColumn("bucket", F.lit(0))
-    totals = counts.groupBy("bucket").agg(F.sum("c").alias("t"))
+        vals = vals.withColumn("bucket", F.lit(0))
+    counts = vals.groupBy("bucket", "v").agg(F.count(F.lit(1)).alias("c"))
+    totals = vals.groupBy("bucket").agg(F.count(F.lit(1)).alias("t"))
     offsets = totals.select("bucket", F.coalesce(F.sum("t").over(
         Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     within = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
@@ -178,24 +183,31 @@ def average_ranks(values: DataFrame, col: str = "v", cuts=None) -> DataFrame:
 
 def spearman_rho(df: DataFrame, x: str, y: str) -> tuple[float, int]:
     """AGG-8: Spearman rank correlation (average ranks for ties) over pairs where both values are
-    valid, and the pair count: Pearson correlation of the average ranks, all distributed."""
+    valid, and the pair count: Pearson correlation of the average ranks, all distributed.
+
+    The valid pairs are persisted (memory, spilling to disk; recomputed from the scan if an
+    executor is lost) for the count, the bucket cuts, the two rankings and the join back, so
+    the source is read once."""
     pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) \
-        .where(_valid(F.col("x")) & _valid(F.col("y")))
-    n = pairs.count()
-    if n < 2:
-        return float("nan"), n
-    nb = rank_buckets(n)
-    cuts_x = cuts_y = None
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        acc = max(10_000, 4 * nb)
-        q = pairs.agg(F.percentile_approx("x", probs, acc).alias("qx"),
-                      F.percentile_approx("y", probs, acc).alias("qy")).first()
-        cuts_x, cuts_y = q["qx"], q["qy"]
-    rx = average_ranks(pairs.select(F.col("x").alias("v")), cuts=cuts_x).toDF("x", "rx")
-    ry = average_ranks(pairs.select(F.col("y").alias("v")), cuts=cuts_y).toDF("y", "ry")
-    ranked = pairs.join(rx, "x").join(ry, "y")
-    rho = float(ranked.agg(_pearson(F.col("rx"), F.col("ry")).alias("rho")).first()["rho"])
+        .where(_valid(F.col("x")) & _valid(F.col("y"))).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = pairs.count()
+        if n < 2:
+            return float("nan"), n
+        nb = rank_buckets(n)
+        cuts_x = cuts_y = None
+        if nb > 1:
+            probs = [i / nb for i in range(1, nb)]
+            acc = max(10_000, 4 * nb)
+            q = pairs.agg(F.percentile_approx("x", probs, acc).alias("qx"),
+                          F.percentile_approx("y", probs, acc).alias("qy")).first()
+            cuts_x, cuts_y = q["qx"], q["qy"]
+        rx = average_ranks(pairs.select(F.col("x").alias("v")), cuts=cuts_x).toDF("x", "rx")
+        ry = average_ranks(pairs.select(F.col("y").alias("v")), cuts=cuts_y).toDF("y", "ry")
+        ranked = pairs.join(rx, "x").join(ry, "y")
+        rho = float(ranked.agg(_pearson(F.col("rx"), F.col("ry")).alias("rho")).first()["rho"])
+    finally:
+        pairs.unpersist()
     if abs(abs(rho) - 1.0) < 1e-12:  # perfect (anti-)agreement up to rounding
         rho = math.copysign(1.0, rho)
     return rho, n
