@@ -41,6 +41,14 @@ def test_sample_exact(spark):
         MF.sample_exact(df, "k", 0)
 
 
+def test_sample_exact_rank_filter_matches_top_k(spark):
+    df = spark.range(3000).withColumnRenamed("id", "k").repartition(7)
+    top = [r.k for r in MF.sample_exact(df, "k", 700).collect()]
+    ranked = sorted(r.k for r in MF.sample_exact(df, "k", 700, top_n_limit=10).collect())
+    assert len(ranked) == 700 and ranked == sorted(top)
+    assert MF.sample_exact(df, "k", 5000, top_n_limit=10).count() == 3000
+
+
 def test_lookup_json_roundtrip_and_missing(spark, tmp):
     lk = spark.createDataFrame([("a.wav", "hello there"), ("b.wav", "")], "filename string, reference_text string")
     p = os.path.join(tmp, "lookup.json")

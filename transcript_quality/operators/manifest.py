@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transcript_quality.functions.text import base_filename, sanitize_filename, strip_file_scheme
+from transcript_quality.operators import stats
 
 
 def merge_manifest(existing: DataFrame, new: DataFrame, key: str = "audio_id",
@@ -38,14 +39,31 @@ def sample_order(key, seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col(key) if isinstance(key, str) else key).cast("string")))
 
 
-def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """LIM-2: seeded sample without replacement of exactly min(n, rows) rows.
+def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42, top_n_limit: int = 100_000) -> DataFrame:
+    """LIM-2: seeded sample without replacement of exactly min(n, rows) rows: the n first rows
+    in md5(seed|key) order (ties by key), stable under repartitioning.
 
-    Order by md5(seed|key): stable under repartitioning; Spark plans it as a top-k
-    (``TakeOrderedAndProject``), so only n rows per partition move."""
+    Up to ``top_n_limit`` rows Spark plans it as a top-k (``TakeOrderedAndProject``: each
+    partition keeps n rows and one task merges them).  Larger samples use a rank filter so that
+    no task holds the sample: the order value of the n-th row is found by distributed counting
+    (approximate-quantile brackets, as for exact quantiles), and the sample is every row before
+    it plus the few rows that share its order value."""
     if n < 1:
         raise ValueError(f"sample_size must be >= 1, got {n}")
-    return df.orderBy(sample_order(key, seed), F.col(key)).limit(n)
+    order = sample_order(key, seed)
+    if n <= top_n_limit:
+        return df.orderBy(order, F.col(key)).limit(n)
+    # the first 13 hex digits of the md5 as a double: exact (52 bits) and in md5 order
+    pos = F.conv(F.substring(order, 1, 13), 16, 10).cast("double")
+    h = df.withColumn("_sample_pos", pos)
+    vals = h.select(F.col("_sample_pos").alias("v"))
+    total = vals.count()
+    if total <= n:
+        return df
+    cut, _ = stats.values_at_ranks(vals, total, n - 1, n - 1)
+    below = h.where(F.col("_sample_pos") < F.lit(cut))
+    tied = h.where(F.col("_sample_pos") == F.lit(cut)).orderBy(order, F.col(key)).limit(n - below.count())
+    return below.unionByName(tied).drop("_sample_pos")
 
 
 def reference_lookup(manifest: DataFrame, path_col: str = "audio_path",

@@ -36,6 +36,12 @@ def exact_quantile(df: DataFrame, col: str, q: float, slice_limit: int = 200_000
     return lo_v + (hi_v - lo_v) * frac if frac else lo_v
 
 
+def values_at_ranks(vals: DataFrame, m: int, r1: int, r2: int, slice_limit: int = 200_000,
+                    accuracy: int = 100_000) -> tuple[float, float]:
+    """Values at 0-based ranks r1 <= r2 of the non-NaN doubles ``vals.v`` (m rows)."""
+    return _select_ranks(vals, m, r1, r2, slice_limit, accuracy)
+
+
 def _select_ranks(vals: DataFrame, m: int, r1: int, r2: int, slice_limit: int,
                   accuracy: int) -> tuple[float, float]:
     """Values at 0-based ranks r1 <= r2 of ``vals`` (m rows)."""
