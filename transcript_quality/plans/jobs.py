@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from transcript_quality.config import (
     AcousticConfig, IngestConfig, MonitorConfig, ScoringConfig, TrainingConfig, ValidityConfig,
 )
+from transcript_quality.functions.confidence import DEFAULT_CONFIDENCE
 from transcript_quality.operators import manifest as MF
 from transcript_quality.operators import model as ML
 from transcript_quality.operators import monitoring as MON
@@ -71,8 +72,11 @@ def label_acoustics(ac: DataFrame, lookup: DataFrame | None = None,
     spark = ac.sparkSession
     if transcripts is None:
         transcripts = spark.createDataFrame([], TRANSCRIPTS)
-    rows = ac.join(transcripts.select("path", "transcript", "word_confidence"), "path", "left")
-    rows = add_confidence(with_filename(rows))
+    # the confidence list is reduced to its mean before the join, so only one double per file
+    # crosses the shuffle; a file without a transcript gets the default
+    tr = add_confidence(transcripts).select("path", "transcript", "asr_confidence")
+    rows = with_filename(ac.join(tr, "path", "left")) \
+        .withColumn("asr_confidence", F.coalesce("asr_confidence", F.lit(DEFAULT_CONFIDENCE)))
     if lookup is not None:
         rows = attach_reference(rows, lookup)
     else:
@@ -122,10 +126,9 @@ def ground_truth_rows(manifest: DataFrame, feats: DataFrame, hypotheses: DataFra
         return F.regexp_replace(F.col(c), "^file:", "").alias("audio_path")
     m = manifest.select("audio_id", key("audio_path"), "reference_text")
     ac = feats.select(key("audio_path"), "rms_db", "snr_db", "duration")
-    hyp = hypotheses.select(key("audio_path"), "hypothesis_text", "word_confidence",
-                            "token_confidence", "score")
-    rows = m.join(ac, "audio_path", "left").join(hyp, "audio_path", "left")
-    rows = add_confidence(rows, chain=True)
+    hyp = add_confidence(hypotheses, chain=True).select(key("audio_path"), "hypothesis_text", "asr_confidence")
+    rows = m.join(ac, "audio_path", "left").join(hyp, "audio_path", "left") \
+        .withColumn("asr_confidence", F.coalesce("asr_confidence", F.lit(DEFAULT_CONFIDENCE)))
     rows = add_wer(rows, "reference_text", "hypothesis_text", missing=1.0, failed=1.0)
     return rows.select("audio_id", "audio_path", "reference_text",
                        F.coalesce("hypothesis_text", F.lit("")).alias("hypothesis_text"),
