@@ -37,3 +37,11 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str = "left",
     if limit > 0 and size is not None and size <= limit:
         right = F.broadcast(right)
     return left.join(right, on, how)
+
+
+def join_corpus(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join of two per-file tables (both grow with the corpus): a sort-merge join on the key,
+    never a broadcast.  The optimizer's size estimate of text and array columns uses default
+    widths and can be far below the real size, so it is no bound; skewed keys are split by
+    adaptive skew-join handling."""
+    return left.join(right.hint("merge"), on, how)

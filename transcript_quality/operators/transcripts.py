@@ -13,7 +13,7 @@ from transcript_quality.functions.confidence import confidence_chain, mean_confi
 from transcript_quality.functions.text import (
     base_filename, strip_file_scheme, wer_parts, wer_with_policy,
 )
-from transcript_quality.operators.joins import join_small
+from transcript_quality.operators.joins import join_corpus, join_small
 from transcript_quality.schemas import FEATURE_HISTORY
 
 
@@ -60,7 +60,7 @@ def add_confidence(df: DataFrame, chain: bool = False, out: str = "asr_confidenc
 def combine(acoustic: DataFrame, transcripts: DataFrame, key: str = "path") -> DataFrame:
     """JON-2/3: acoustic features with the transcript of the same file (left join: a file
     without a transcript keeps its acoustics and gets an empty transcript)."""
-    return acoustic.join(transcripts, key, "left")
+    return join_corpus(acoustic, transcripts, key)
 
 
 def to_feature_history(df: DataFrame, keep=()) -> DataFrame:

@@ -14,6 +14,7 @@ from transcript_quality.config import (
 )
 from transcript_quality.functions.confidence import DEFAULT_CONFIDENCE
 from transcript_quality.operators import manifest as MF
+from transcript_quality.operators.joins import join_corpus
 from transcript_quality.operators import model as ML
 from transcript_quality.operators import monitoring as MON
 from transcript_quality.operators import prepare as PR
@@ -75,7 +76,7 @@ def label_acoustics(ac: DataFrame, lookup: DataFrame | None = None,
     # the confidence list is reduced to its mean before the join, so only one double per file
     # crosses the shuffle; a file without a transcript gets the default
     tr = add_confidence(transcripts).select("path", "transcript", "asr_confidence")
-    rows = with_filename(ac.join(tr, "path", "left")) \
+    rows = with_filename(join_corpus(ac, tr, "path")) \
         .withColumn("asr_confidence", F.coalesce("asr_confidence", F.lit(DEFAULT_CONFIDENCE)))
     if lookup is not None:
         rows = attach_reference(rows, lookup)
@@ -127,7 +128,7 @@ def ground_truth_rows(manifest: DataFrame, feats: DataFrame, hypotheses: DataFra
     m = manifest.select("audio_id", key("audio_path"), "reference_text")
     ac = feats.select(key("audio_path"), "rms_db", "snr_db", "duration")
     hyp = add_confidence(hypotheses, chain=True).select(key("audio_path"), "hypothesis_text", "asr_confidence")
-    rows = m.join(ac, "audio_path", "left").join(hyp, "audio_path", "left") \
+    rows = join_corpus(join_corpus(m, ac, "audio_path"), hyp, "audio_path") \
         .withColumn("asr_confidence", F.coalesce("asr_confidence", F.lit(DEFAULT_CONFIDENCE)))
     rows = add_wer(rows, "reference_text", "hypothesis_text", missing=1.0, failed=1.0)
     return rows.select("audio_id", "audio_path", "reference_text",
