@@ -22,6 +22,23 @@ def test_merge_existing_first(spark):
     assert sorted(r.audio_id for r in MF.merge_manifest(existing, new).collect()) == ["a", "b", "c", "d"]
 
 
+def test_first_rows_and_large_cap(spark):
+    import random
+    rng = random.Random(4)
+    keys = [f"k{rng.randrange(10**6):06d}" for _ in range(4000)] + [None] * 5
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "audio_id string, i int").repartition(6)
+    for n in (1, 7, 1500, 3999):
+        got = sorted((r.audio_id or "") for r in MF.first_rows(df, "audio_id", n, slice_limit=50, sample_rows=200).collect())
+        exp = sorted((r.audio_id or "") for r in df.orderBy("audio_id").limit(n).collect())
+        assert got == exp
+    existing = spark.createDataFrame(rows([f"e{i:04d}" for i in range(300)]), MANIFEST)
+    new = spark.createDataFrame(rows([f"n{i:04d}" for i in range(900)] + ["e0001"]), MANIFEST)
+    for cap in (200, 1000):
+        top = [r.audio_id for r in MF.merge_manifest(existing, new, max_samples=cap).collect()]
+        big = sorted(r.audio_id for r in MF.merge_manifest(existing, new, max_samples=cap, top_n_limit=10).collect())
+        assert big == sorted(top) and len(big) == cap
+
+
 def test_existing_audio_and_lookup(spark):
     m = spark.createDataFrame(rows(["x:1", "y", "z"]) + [("e", "/audio/e.wav", "", "s", "f")], MANIFEST)
     files = spark.createDataFrame([("file:/landing/x:1.wav",), ("file:/landing/z.wav",), ("file:/landing/e.wav",)], "path string")

@@ -10,17 +10,80 @@ from transcript_quality.operators import stats
 
 
 def merge_manifest(existing: DataFrame, new: DataFrame, key: str = "audio_id",
-                   max_samples: int | None = None) -> DataFrame:
+                   max_samples: int | None = None, top_n_limit: int = 100_000) -> DataFrame:
     """JOB-6 core (JON-4, SET-1, LIM-1): existing rows, then new rows whose key is not already
     present; with ``max_samples`` existing rows come first, each part in key order.
 
     The anti-join shuffles both sides on the key (AQE handles skew); no side is broadcast since
-    both grow with the corpus."""
+    both grow with the corpus.  Caps up to ``top_n_limit`` are a top-k; larger caps take the
+    first rows of each part with :func:`first_rows`, so no task holds them."""
     fresh = new.join(existing.select(key).distinct(), key, "left_anti")
-    merged = existing.withColumn("_is_new", F.lit(0)).unionByName(fresh.withColumn("_is_new", F.lit(1)))
-    if max_samples is not None:
-        merged = merged.orderBy("_is_new", key).limit(max_samples)
-    return merged.drop("_is_new")
+    if max_samples is None:
+        return existing.unionByName(fresh)
+    if max_samples <= top_n_limit:
+        merged = existing.withColumn("_is_new", F.lit(0)).unionByName(fresh.withColumn("_is_new", F.lit(1)))
+        return merged.orderBy("_is_new", key).limit(max_samples).drop("_is_new")
+    n_existing = existing.count()
+    if n_existing >= max_samples:
+        return first_rows(existing, key, max_samples)
+    return existing.unionByName(first_rows(fresh, key, max_samples - n_existing))
+
+
+def first_rows(df: DataFrame, key: str, n: int, slice_limit: int = 100_000, sample_rows: int = 100_000,
+               seed: int = 7) -> DataFrame:
+    """The first ``n`` rows of ``df`` in ``key`` order (NULLs first, as ``orderBy``), without a
+    global sort or a single-task merge.
+
+    A bracket [lo, hi] of key values around the n-th row is narrowed with a bounded random
+    sample of the keys inside it (at most ``sample_rows`` reach the driver per round) and one
+    counting pass per round, until at most ``slice_limit`` rows remain inside.  The result is
+    every row below ``lo`` plus the first rows of the bracket."""
+    k = F.col(key)
+    total = df.count()
+    if total <= n:
+        return df
+    nulls = df.where(k.isNull()).count()
+    if nulls >= n:
+        return df.where(k.isNull()).limit(n)
+    need, m = n - nulls, total - nulls
+    lo = hi = None
+    width = 3.0
+    rounds = 0
+
+    def inside():
+        cond = k.isNotNull()
+        if lo is not None:
+            cond = cond & (k >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (k <= F.lit(hi))
+        return cond
+
+    while m > slice_limit:
+        rounds += 1
+        if rounds > 50:
+            raise RuntimeError("first_rows: bracketing did not converge")
+        cur = df.where(inside())
+        frac = min(1.0, sample_rows / m)
+        sample = sorted(r[0] for r in cur.sample(False, frac, seed + rounds).select(k).collect())
+        if not sample:
+            continue
+        pos = need / m * len(sample)
+        spread_ = width * (pos ** 0.5) + 1
+        i_lo, i_hi = int(pos - spread_), int(pos + spread_)
+        t_lo = sample[i_lo] if i_lo >= 0 else lo
+        t_hi = sample[i_hi] if i_hi < len(sample) else hi
+        below_c = F.lit(False) if t_lo is None else (k < F.lit(t_lo))
+        upto_c = F.lit(True) if t_hi is None else (k <= F.lit(t_hi))
+        row = cur.agg(F.count_if(below_c).alias("below"), F.count_if(upto_c).alias("upto")).first()
+        below, at_or_below_hi = row["below"], row["upto"]
+        if not (below < need <= at_or_below_hi):
+            width *= 2  # the sample bracket missed the rank: widen and retry
+            continue
+        need -= below
+        m = at_or_below_hi - below
+        lo, hi = t_lo, t_hi
+    head = df.where(k.isNull() | (F.lit(False) if lo is None else (k < F.lit(lo))))
+    return head.unionByName(df.where(inside()).orderBy(k).limit(need))
 
 
 def existing_audio(manifest: DataFrame, files: DataFrame, path_col: str = "audio_path",
