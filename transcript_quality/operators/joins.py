@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -11,7 +12,8 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (after pruning and filters), or None if unknown."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
     except Exception:  # noqa: BLE001 - estimate unavailable (e.g. Spark Connect)
         return None
 
@@ -27,15 +29,61 @@ def broadcast_limit(df: DataFrame, max_bytes: int | None = None) -> int:
     return value if value > 0 else 0
 
 
+# fixed widths in bytes (Spark's in-memory sizes); nested values are measured element-wise
+_FIXED = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+          T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
+          T.DecimalType: 16}
+
+
+def _value_bytes(c, t) -> "F.Column":
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)).cast("long")
+    if isinstance(t, T.ArrayType):
+        return F.coalesce(F.aggregate(c, F.lit(0).cast("long"),
+                                      lambda acc, x: acc + _value_bytes(x, t.elementType)), F.lit(0).cast("long"))
+    if isinstance(t, T.MapType):
+        return F.coalesce(F.aggregate(F.map_entries(c), F.lit(0).cast("long"),
+                                      lambda acc, e: acc + _value_bytes(e["key"], t.keyType)
+                                      + _value_bytes(e["value"], t.valueType)), F.lit(0).cast("long"))
+    if isinstance(t, T.StructType):
+        total = F.lit(0).cast("long")
+        for f in t.fields:
+            total = total + _value_bytes(c[f.name], f.dataType)
+        return F.coalesce(total, F.lit(0).cast("long"))
+    return F.lit(_FIXED.get(type(t), 8)).cast("long")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Payload size of ``df`` from one aggregation pass: exact byte lengths of string and binary
+    values (also inside arrays, maps and structs), fixed widths for the other types."""
+    if not df.schema.fields:
+        return 0
+    total = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        total = total + _value_bytes(F.col(f"`{f.name}`"), f.dataType)
+    value = df.agg(F.sum(total).alias("b")).first()["b"]
+    return int(value or 0)
+
+
 def join_small(left: DataFrame, right: DataFrame, on, how: str = "left",
                max_bytes: int | None = None) -> DataFrame:
-    """``left.join(right)``, broadcasting ``right`` only when its estimated size is within
-    ``max_bytes`` (default: the session's auto-broadcast threshold).  Above the limit the join
-    stays a shuffle join and AQE may still convert it at run time from real sizes."""
+    """``left.join(right)``, broadcasting ``right`` only when its size is proven within
+    ``max_bytes`` (default: the session's auto-broadcast threshold).
+
+    The optimizer's estimate counts text and arrays at default widths, so it only screens: a
+    side that passes it is measured (:func:`measured_bytes`, one pass over the small side) and
+    broadcast only if the measured size is within the limit, else it is a sort-merge join.
+    Above the estimate the join stays a shuffle join (AQE may still convert it from the real
+    shuffle sizes)."""
     limit = broadcast_limit(right, max_bytes)
     size = estimated_bytes(right)
-    if limit > 0 and size is not None and size <= limit:
-        right = F.broadcast(right)
+    if right.isStreaming or size is None:
+        return left.join(right, on, how)
+    if limit > 0 and size <= limit and measured_bytes(right) <= limit:
+        return left.join(F.broadcast(right), on, how)
+    if size <= broadcast_limit(right):
+        # the planner would broadcast on the estimate alone: keep it a sort-merge join
+        return left.join(right.hint("merge"), on, how)
     return left.join(right, on, how)
 
 
