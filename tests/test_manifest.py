@@ -31,6 +31,9 @@ def test_first_rows_and_large_cap(spark):
         got = sorted((r.audio_id or "") for r in MF.first_rows(df, "audio_id", n, slice_limit=50, sample_rows=200).collect())
         exp = sorted((r.audio_id or "") for r in df.orderBy("audio_id").limit(n).collect())
         assert got == exp
+    hot = spark.createDataFrame([("k5", i) for i in range(300)] + [(f"k{i}", i) for i in range(10)], "audio_id string, i int")
+    got = MF.first_rows(hot, "audio_id", 200, slice_limit=50, sample_rows=100).collect()
+    assert len(got) == 200 and sorted(r.audio_id for r in got) == sorted(["k0", "k1", "k2", "k3", "k4"] + ["k5"] * 195)
     existing = spark.createDataFrame(rows([f"e{i:04d}" for i in range(300)]), MANIFEST)
     new = spark.createDataFrame(rows([f"n{i:04d}" for i in range(900)] + ["e0001"]), MANIFEST)
     for cap in (200, 1000):

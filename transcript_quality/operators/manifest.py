@@ -82,6 +82,8 @@ def first_rows(df: DataFrame, key: str, n: int, slice_limit: int = 100_000, samp
         need -= below
         m = at_or_below_hi - below
         lo, hi = t_lo, t_hi
+        if lo is not None and lo == hi:
+            break  # the bracket is one repeated key: any of its rows may fill the rest
     head = df.where(k.isNull() | (F.lit(False) if lo is None else (k < F.lit(lo))))
     return head.unionByName(df.where(inside()).orderBy(k).limit(need))
 
