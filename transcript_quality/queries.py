@@ -676,9 +676,14 @@ p AS {_avg_rank_corr_sql('test', 'wer', 'prod')}
 SELECT round((SELECT rho FROM c), 6) AS candidate, round(coalesce((SELECT rho FROM p), -1.0), 6) AS production,
        coalesce((SELECT rho FROM c) > coalesce((SELECT rho FROM p), -1.0), false) AS promote""")
 def model_gate(spark, sf_dir):
+    from pyspark import StorageLevel
     _, test = PR.train_test(prepared_view(spark, sf_dir), "path", 0.2, 42)
-    c_rho, _ = ST.spearman_rho(candidate_prediction(test), "wer", "prediction")
-    p_rho, _ = ST.spearman_rho(production_prediction(test), "wer", "prediction")
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)  # scanned and split once for both models
+    try:
+        c_rho, _ = ST.spearman_rho(candidate_prediction(test), "wer", "prediction")
+        p_rho, _ = ST.spearman_rho(production_prediction(test), "wer", "prediction")
+    finally:
+        test.unpersist()
     cand = spark.createDataFrame([(c_rho,)], "spearman_rho double")
     prod = spark.createDataFrame([(p_rho,)], "spearman_rho double")
     g = RG.compare_models(cand, prod)
