@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from transcript_quality.llm import langid, simhash
+from transcript_quality.llm import langid, linededup, simhash
 from transcript_quality.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.query_rows(table(spark, sf_dir, "documents"))
