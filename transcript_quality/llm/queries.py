@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from transcript_quality.llm import langid, linededup, simhash
+from transcript_quality.llm import decontaminate, langid, linededup, simhash
 from transcript_quality.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,11 @@ def op3_simhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.query_rows(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op4_decontaminate"] = decontaminate.ORACLE.strip()
