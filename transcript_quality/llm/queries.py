@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transcript_quality.llm import decontaminate, langid, linededup, pieces, simhash
+from transcript_quality.llm import decontaminate, langid, linededup, pieces, simhash, tokenfiles
 from transcript_quality.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ ORACLE["op4_decontaminate"] = decontaminate.ORACLE.strip()
 @query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.read(tokenfiles.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
