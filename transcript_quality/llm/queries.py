@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transcript_quality.llm import decontaminate, langid, linededup, pieces, simhash, tokenfiles
+from transcript_quality.llm import decontaminate, langid, linededup, pieces, rules, simhash, tokenfiles
 from transcript_quality.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read(tokenfiles.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
