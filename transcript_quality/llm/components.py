@@ -14,17 +14,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an undirected edge table (a, b); root is the smallest
     node of its component.
 
-    Alternates large-star and small-star steps until the edges stay the same: each step points neighbours
+    Alternates large-star and small-star steps until every node points straight at its root: each step points neighbours
     at the smallest node they know.  A step is one minimum per node and a join back, so no task holds
     a neighbourhood, a hub's rows are pre-aggregated, and each round's edges are written to the shared
     folder.  Nodes may be of any type that sorts.  No edges: no rows."""
     now = stored(_clean(edges.select("a", "b")), "edges")
-    before = None
-    while True:
-        sign = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-        if sign == before or not sign[0]:
-            break
-        before = sign
+    while not _stars(now):
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -36,6 +31,13 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each larger end has one smaller end, which is no larger end itself."""
+    twice = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+    middle = edges.select("a").join(edges.select(F.col("b").alias("a")), "a", "left_semi")
+    return twice.union(middle).isEmpty()
+
+
 def _clean(edges: DataFrame) -> DataFrame:
     """Each edge once, larger end first, no loops."""
     return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
