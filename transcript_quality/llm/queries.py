@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transcript_quality.llm import decontaminate, langid, linededup, lm, pieces, quality, rules, simhash, tokenfiles
+from transcript_quality.llm import decontaminate, langid, linededup, lm, pieces, quality, rules, secrets, simhash, tokenfiles
 from transcript_quality.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,8 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
