@@ -9,7 +9,7 @@ from tests.conftest import write_wav
 from transcript_quality.plans.jobs import extract_features
 from transcript_quality.schemas import TRANSCRIPTS
 from transcript_quality.sources.audio import read_audio
-from transcript_quality.sources.tables import read_reference_lookup
+from transcript_quality.sources.tables import read_features, read_reference_lookup
 from transcript_quality.streaming.ingest import ingest_stream
 
 
@@ -37,7 +37,7 @@ def test_stream_equals_batch_and_counts_once(spark, tmp):
     tr = transcripts_for(spark, landing)
     ck = os.path.join(tmp, "ck")
     ingest_stream(spark, landing, hist, ck, lookup, tr)
-    streamed = sorted(map(tuple, spark.read.parquet(hist).collect()))
+    streamed = sorted(map(tuple, read_features(spark, hist).collect()))
     batch = sorted(map(tuple, extract_features(spark, landing, lookup_path, tr).collect()))
     assert streamed == batch and len(streamed) == 3
     wers = {os.path.basename(r[0]): r[5] for r in streamed}
@@ -45,7 +45,7 @@ def test_stream_equals_batch_and_counts_once(spark, tmp):
     # a second run only sees new files
     make_landing(landing, ["d.wav"], seed=1)
     ingest_stream(spark, landing, hist, ck, lookup, transcripts_for(spark, landing))
-    assert spark.read.parquet(hist).count() == 4
+    assert read_features(spark, hist).count() == 4
 
 
 def test_archive_moves_only_audio(spark, tmp):
@@ -58,4 +58,4 @@ def test_archive_moves_only_audio(spark, tmp):
     moved = [f for _, _, fs in os.walk(archive) for f in fs]
     assert {"x.wav", "y.wav"} <= set(moved)
     assert "metadata.json" in os.listdir(landing)
-    assert spark.read.parquet(hist).count() == 3
+    assert read_features(spark, hist).count() == 3

@@ -56,14 +56,6 @@ def frame_rms(block_sq, n_samples, cfg: AcousticConfig = AcousticConfig()) -> Co
     return let(_c(block_sq), lambda b: _frame_rms(b, _c(n_samples), cfg))
 
 
-def snr_db(block_sq, n_samples, cfg: AcousticConfig = AcousticConfig()) -> Column:
-    """10*log10(mean signal power / (mean noise power + eps)); lowest ``noise_ratio`` of frames
-    is noise (at least one); shorter than one frame -> 0.0; one frame -> signal = noise."""
-    n = _c(n_samples)
-    value = let(F.array_sort(frame_rms(block_sq, n, cfg)), lambda s: _snr_from_sorted(s, cfg))
-    return F.when(n < cfg.frame_length, F.lit(0.0)).otherwise(value)
-
-
 def rms_db(total_sq, n_values, cfg: AcousticConfig = AcousticConfig()) -> Column:
     """20*log10(sqrt(mean square) + eps); no samples -> silence level."""
     n = _c(n_values)

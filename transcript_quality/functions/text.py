@@ -71,8 +71,8 @@ def _distance(r: Column, h: Column) -> Column:
     changes no distance, and the cost is O((n + m) * distinct words of the shorter side)."""
     def coded(v):
         injective = F.size(F.array_distinct(F.transform(v["u"], _hash_code))) == F.size(v["u"])
-        return (F.when(F.size(v["s"]) > MAX_PAIR_VOCABULARY,
-                       F.raise_error(F.lit("pair vocabulary exceeds the word-coding range")).cast("int"))
+        # no code for such a vocabulary: no distance (NULL), which the WER policy turns into its failed value
+        return (F.when(F.size(v["s"]) > MAX_PAIR_VOCABULARY, F.lit(None).cast("int"))
                 .when(injective, F.levenshtein(_hash_words(r), _hash_words(h)))
                 .otherwise(F.levenshtein(_code_words(r, v["s"]), _code_words(h, v["s"]))))
     shorter = F.when(F.size(r) <= F.size(h), r).otherwise(h)

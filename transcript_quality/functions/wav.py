@@ -13,8 +13,10 @@ class WavError(ValueError):
     pass
 
 
-def parse_header(data: bytes) -> dict:
-    """Walk RIFF chunks; returns format fields and the data chunk's offset and length."""
+def parse_header(data: bytes, size: int | None = None) -> dict:
+    """Walk RIFF chunks; returns format fields and the data chunk's offset and length.  ``data`` may be the
+    front of a file of ``size`` bytes."""
+    total = len(data) if size is None else size
     if len(data) < 12 or data[:4] != b"RIFF" or data[8:12] != b"WAVE":
         raise WavError("not a RIFF/WAVE file")
     pos, fmt = 12, None
@@ -32,21 +34,58 @@ def parse_header(data: bytes) -> dict:
         elif cid == b"data":
             if fmt is None:
                 raise WavError("data chunk before fmt chunk")
-            length = min(size, len(data) - body)
+            length = min(size, total - body)
             return {**fmt, "offset": body, "length": length}
         pos = body + size + (size & 1)
     raise WavError("no data chunk")
 
 
+ENCODINGS = {(_PCM, 8), (_PCM, 16), (_PCM, 24), (_PCM, 32), (_FLOAT, 32), (_FLOAT, 64)}
+
+
+def checked_header(data: bytes, size: int | None = None) -> dict:
+    """Header of a file that can be decoded, with its number of ``frames``."""
+    h = parse_header(data, size)
+    if h["channels"] < 1 or h["sr"] < 1:
+        raise WavError("invalid channel count or sample rate")
+    if (h["tag"], h["bits"]) not in ENCODINGS:
+        raise WavError(f"unsupported encoding (format {h['tag']}, {h['bits']} bits)")
+    h["frame"] = h["bits"] // 8 * h["channels"]
+    h["frames"] = h["length"] // h["frame"]
+    return h
+
+
+def header_info(data: bytes, size: int) -> tuple[int, int]:
+    """(frames, sample rate) from the front of a file of ``size`` bytes."""
+    h = checked_header(data, size)
+    return h["frames"], h["sr"]
+
+
+SLICE_FRAMES = 1 << 18
+
+
+def summarize(data: bytes, hop: int) -> tuple[int, int, int, float, list[float]]:
+    """(sample rate, frames, channels, sum of squares, block energies) of a file, decoded in slices of
+    whole hops."""
+    h = checked_header(data)
+    step = max(1, SLICE_FRAMES // hop) * hop
+    total, blocks = 0.0, []
+    for a in range(0, h["frames"], step):
+        part, more = block_summary(_samples(data, h, a, min(a + step, h["frames"])), hop)
+        total += part
+        blocks += more.tolist()
+    return h["sr"], h["frames"], h["channels"], total, blocks
+
+
 def decode(data: bytes) -> tuple[np.ndarray, int]:
     """Samples as float64 (frames x channels), scaled to [-1, 1) for integer PCM."""
-    h = parse_header(data)
-    ch, bits, tag = h["channels"], h["bits"], h["tag"]
-    if ch < 1 or h["sr"] < 1:
-        raise WavError("invalid channel count or sample rate")
-    width = bits // 8
-    frame = width * ch
-    raw = data[h["offset"]:h["offset"] + (h["length"] // frame) * frame]
+    h = checked_header(data)
+    return _samples(data, h, 0, h["frames"]), h["sr"]
+
+
+def _samples(data: bytes, h: dict, first: int, last: int) -> np.ndarray:
+    bits, tag = h["bits"], h["tag"]
+    raw = data[h["offset"] + first * h["frame"]:h["offset"] + last * h["frame"]]
     if tag == _PCM and bits == 8:
         x = (np.frombuffer(raw, np.uint8).astype(np.float64) - 128.0) / 128.0
     elif tag == _PCM and bits == 16:
@@ -59,11 +98,9 @@ def decode(data: bytes) -> tuple[np.ndarray, int]:
         x = np.frombuffer(raw, "<i4").astype(np.float64) / float(1 << 31)
     elif tag == _FLOAT and bits == 32:
         x = np.frombuffer(raw, "<f4").astype(np.float64)
-    elif tag == _FLOAT and bits == 64:
-        x = np.frombuffer(raw, "<f8").astype(np.float64)
     else:
-        raise WavError(f"unsupported encoding (format {tag}, {bits} bits)")
-    return x.reshape(-1, ch), h["sr"]
+        x = np.frombuffer(raw, "<f8").astype(np.float64)
+    return x.reshape(-1, h["channels"])
 
 
 def block_summary(samples: np.ndarray, hop: int) -> tuple[float, np.ndarray]:

@@ -11,15 +11,12 @@ from pyspark.sql import types as T
 
 from transcript_quality.config import AcousticConfig, ValidityConfig
 from transcript_quality.functions.acoustic import acoustic_struct
-from transcript_quality.functions.wav import block_summary, decode
+from transcript_quality.functions.wav import header_info, summarize
 from transcript_quality.schemas import DECODED_AUDIO
 
+HEADER_BYTES = 65_536  # of a file, for its RIFF chunks before the samples
 
-FILES_PER_ARROW_BATCH = 64
-
-
-def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=(),
-                 files_per_batch: int = FILES_PER_ARROW_BATCH) -> DataFrame:
+def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=()) -> DataFrame:
     """DEC-1: (path, content) -> one DECODED_AUDIO row per file.
 
     Runs as an Arrow-batched ``mapInPandas`` over the scan's own partitions (no shuffle of file
@@ -27,12 +24,9 @@ def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=
     that cannot be decoded yields its path with NULL fields and an ``error`` text, so one bad
     file never fails the job.  ``keep`` names input columns passed through unchanged.
 
-    Arrow batches carry whole files, so the session's records-per-batch is lowered to
-    ``files_per_batch`` (memory per Python worker ~ files_per_batch x file size)."""
-    spark = files.sparkSession
-    current = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
-    if current <= 0 or current > files_per_batch:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(files_per_batch))
+    Files are decoded in slices of whole hops, so a worker holds an Arrow batch of file bytes and one slice of samples.  Arrow
+    batches are bounded by the session's ``spark.sql.execution.arrow.maxBytesPerBatch`` and ``maxRecordsPerBatch``, which
+    this operator doesn't change."""
     hop = cfg.hop_length
     keep = list(keep)
     base_names = DECODED_AUDIO.fieldNames()
@@ -44,10 +38,7 @@ def decode_audio(files: DataFrame, cfg: AcousticConfig = AcousticConfig(), keep=
             out = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    x, sr = decode(bytes(content))
-                    total, blocks = block_summary(x, hop)
-                    out.append((path, int(sr), int(x.shape[0]), int(x.shape[1]), total,
-                                blocks.tolist(), None))
+                    out.append((path, *summarize(bytes(content), hop), None))
                 except Exception as e:  # noqa: BLE001 - fault-isolated row
                     out.append((path, None, None, None, None, None, f"{type(e).__name__}: {e}"))
             res = pd.DataFrame(out, columns=base_names)
@@ -90,15 +81,24 @@ def validity(size_bytes, duration, error=None, cfg: ValidityConfig = ValidityCon
     return reason.isNull().alias("is_valid"), reason.alias("reason")
 
 
-def validate_audio(files: DataFrame, cfg: ValidityConfig = ValidityConfig(),
-                   acoustic: AcousticConfig = AcousticConfig()) -> DataFrame:
-    """FLT-2 on a binary file scan: (path, size_kb, duration, is_valid, reason)."""
-    dec = decode_audio(files, acoustic, keep=("length",))
+def validate_audio(files: DataFrame, cfg: ValidityConfig = ValidityConfig()) -> DataFrame:
+    """FLT-2 on a binary file scan: (path, size_kb, duration, is_valid, reason).
+
+    Only headers are parsed: the duration is the data chunk's length over the frame size and rate, so no sample is
+    decoded and no more than a file's first ``HEADER_BYTES`` reach Python; the file size comes from the scan."""
+    head = files.select("path", "length", F.substring("content", 1, HEADER_BYTES).alias("head"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for data, size in zip(pdf["head"], pdf["length"]):
+                try:
+                    rows.append((*header_info(bytes(data), int(size)), None))
+                except Exception as e:  # noqa: BLE001 - fault-isolated row
+                    rows.append((None, None, f"{type(e).__name__}: {e}"))
+            yield pd.concat([pdf[["path", "length"]].reset_index(drop=True), pd.DataFrame(rows, columns=["n_samples", "sr", "error"])], axis=1)
+
+    dec = head.mapInPandas(run, "path string, length long, n_samples long, sr int, error string")
     dur = F.when(F.col("sr") > 0, F.col("n_samples") / F.col("sr")).alias("duration")
     ok, reason = validity("length", dur, "error", cfg)
     return dec.select("path", (F.col("length") / 1024.0).alias("size_kb"), dur, ok, reason)
-
-
-def missing_files(expected: DataFrame, files: DataFrame, path_col: str = "path") -> DataFrame:
-    """Expected paths absent from the scan (the scan's form of 'file not found')."""
-    return expected.join(files.select(path_col), path_col, "left_anti")

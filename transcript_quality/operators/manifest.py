@@ -2,90 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from transcript_quality.functions.text import base_filename, sanitize_filename, strip_file_scheme
 from transcript_quality.operators import stats
+from transcript_quality.session import shared_dir
 
 
 def merge_manifest(existing: DataFrame, new: DataFrame, key: str = "audio_id",
-                   max_samples: int | None = None, top_n_limit: int = 100_000) -> DataFrame:
+                   max_samples: int | None = None) -> DataFrame:
     """JOB-6 core (JON-4, SET-1, LIM-1): existing rows, then new rows whose key is not already
     present; with ``max_samples`` existing rows come first, each part in key order.
 
     The anti-join shuffles both sides on the key (AQE handles skew); no side is broadcast since
-    both grow with the corpus.  Caps up to ``top_n_limit`` are a top-k; larger caps take the
-    first rows of each part with :func:`first_rows`, so no task holds them."""
+    both grow with the corpus.  A cap takes the first rows of one part with :func:`first_rows`."""
     fresh = new.join(existing.select(key).distinct(), key, "left_anti")
     if max_samples is None:
         return existing.unionByName(fresh)
-    if max_samples <= top_n_limit:
-        merged = existing.withColumn("_is_new", F.lit(0)).unionByName(fresh.withColumn("_is_new", F.lit(1)))
-        return merged.orderBy("_is_new", key).limit(max_samples).drop("_is_new")
     n_existing = existing.count()
     if n_existing >= max_samples:
         return first_rows(existing, key, max_samples)
     return existing.unionByName(first_rows(fresh, key, max_samples - n_existing))
 
 
-def first_rows(df: DataFrame, key: str, n: int, slice_limit: int = 100_000, sample_rows: int = 100_000,
-               seed: int = 7) -> DataFrame:
-    """The first ``n`` rows of ``df`` in ``key`` order (NULLs first, as ``orderBy``), without a
-    global sort or a single-task merge.
+def first_rows(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The first ``n`` rows of ``df`` in ``key`` order (NULLs first, as ``orderBy``; rows with equal keys in the order of
+    a hash of the whole row), without a global sort of rows.
 
-    A bracket [lo, hi] of key values around the n-th row is narrowed with a bounded random
-    sample of the keys inside it (at most ``sample_rows`` reach the driver per round) and one
-    counting pass per round, until at most ``slice_limit`` rows remain inside.  The result is
-    every row below ``lo`` plus the first rows of the bracket."""
-    k = F.col(key)
-    total = df.count()
-    if total <= n:
+    The keys are counted (a hot key is one row), dealt by range and written with their partition; the
+    partition totals, one row each, tell which partition holds the n-th row, and a running sum over that partition's
+    keys finds its key.  The result is every row before that key, and of the rows with that key the first by
+    hash, found by :func:`stats.value_at_rank`; rows that are equal as a whole fill the rest."""
+    if n < 1:
+        return df.limit(0)
+    spark = df.sparkSession
+    counted = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"))
+    path = shared_dir(spark, "first-rows", uuid.uuid4().hex)
+    counted.repartitionByRange(F.col("k").asc_nulls_first()).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    keys = spark.read.parquet(path)
+    before = 0
+    for row in keys.groupBy("part").agg(F.sum("c").alias("c")).orderBy("part").toLocalIterator():
+        if before + row["c"] >= n:
+            break
+        before += row["c"]
+    else:
         return df
-    nulls = df.where(k.isNull()).count()
-    if nulls >= n:
-        return df.where(k.isNull()).limit(n)
-    need, m = n - nulls, total - nulls
-    lo = hi = None
-    width = 3.0
-    rounds = 0
-
-    def inside():
-        cond = k.isNotNull()
-        if lo is not None:
-            cond = cond & (k >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (k <= F.lit(hi))
-        return cond
-
-    while m > slice_limit:
-        rounds += 1
-        if rounds > 50:
-            raise RuntimeError("first_rows: bracketing did not converge")
-        cur = df.where(inside())
-        frac = min(1.0, sample_rows / m)
-        sample = sorted(r[0] for r in cur.sample(False, frac, seed + rounds).select(k).collect())
-        if not sample:
-            continue
-        pos = need / m * len(sample)
-        spread_ = width * (pos ** 0.5) + 1
-        i_lo, i_hi = int(pos - spread_), int(pos + spread_)
-        t_lo = sample[i_lo] if i_lo >= 0 else lo
-        t_hi = sample[i_hi] if i_hi < len(sample) else hi
-        below_c = F.lit(False) if t_lo is None else (k < F.lit(t_lo))
-        upto_c = F.lit(True) if t_hi is None else (k <= F.lit(t_hi))
-        row = cur.agg(F.count_if(below_c).alias("below"), F.count_if(upto_c).alias("upto")).first()
-        below, at_or_below_hi = row["below"], row["upto"]
-        if not (below < need <= at_or_below_hi):
-            width *= 2  # the sample bracket missed the rank: widen and retry
-            continue
-        need -= below
-        m = at_or_below_hi - below
-        lo, hi = t_lo, t_hi
-        if lo is not None and lo == hi:
-            break  # the bracket is one repeated key: any of its rows may fill the rest
-    head = df.where(k.isNull() | (F.lit(False) if lo is None else (k < F.lit(lo))))
-    return head.unionByName(df.where(inside()).orderBy(k).limit(need))
+    order = Window.orderBy(F.col("k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    last = (keys.where(F.col("part") == row["part"]).withColumn("before", F.coalesce(F.sum("c").over(order), F.lit(0)) + before)
+            .where((F.col("before") < n) & (F.col("before") + F.col("c") >= n)).first())
+    k = F.col(key)
+    head = df.where(F.lit(False) if last["k"] is None else k.isNull() | (k < F.lit(last["k"])))
+    tied, need = df.where(k.eqNullSafe(F.lit(last["k"]))), n - last["before"]
+    if need == last["c"]:
+        return head.unionByName(tied)
+    # 52 bits of a hash of the whole row: exact as a double
+    pos = F.shiftrightunsigned(F.xxhash64(*df.columns), 12).cast("double")
+    cut, upto = stats.value_at_rank(tied.select(pos.alias("v")), last["c"], need - 1)
+    front = tied.where(pos < F.lit(cut))
+    same = tied.where(pos == F.lit(cut)).limit(need - front.count()) if upto > need else tied.where(pos == F.lit(cut))
+    return head.unionByName(front).unionByName(same)
 
 
 def existing_audio(manifest: DataFrame, files: DataFrame, path_col: str = "audio_path",
@@ -104,31 +82,26 @@ def sample_order(key, seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col(key) if isinstance(key, str) else key).cast("string")))
 
 
-def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42, top_n_limit: int = 100_000) -> DataFrame:
+def sample_exact(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """LIM-2: seeded sample without replacement of exactly min(n, rows) rows: the n first rows
     in md5(seed|key) order (ties by key), stable under repartitioning.
 
-    Up to ``top_n_limit`` rows Spark plans it as a top-k (``TakeOrderedAndProject``: each
-    partition keeps n rows and one task merges them).  Larger samples use a rank filter so that
-    no task holds the sample: the order value of the n-th row is found by distributed counting
-    (approximate-quantile brackets, as for exact quantiles), and the sample is every row before
-    it plus the few rows that share its order value."""
+    The order value of the n-th row is found by distributed counting (:func:`stats.value_at_rank`); the sample is every row
+    before it and the first of the few that share it, so no task holds the sample."""
     if n < 1:
         raise ValueError(f"sample_size must be >= 1, got {n}")
-    order = sample_order(key, seed)
-    if n <= top_n_limit:
-        return df.orderBy(order, F.col(key)).limit(n)
     # the first 13 hex digits of the md5 as a double: exact (52 bits) and in md5 order
-    pos = F.conv(F.substring(order, 1, 13), 16, 10).cast("double")
-    h = df.withColumn("_sample_pos", pos)
-    vals = h.select(F.col("_sample_pos").alias("v"))
-    total = vals.count()
+    order = sample_order(key, seed)
+    h = df.withColumn("_sample_pos", F.conv(F.substring(order, 1, 13), 16, 10).cast("double"))
+    total = h.count()
     if total <= n:
         return df
-    cut, _ = stats.values_at_ranks(vals, total, n - 1, n - 1)
+    cut, upto = stats.value_at_rank(h.select(F.col("_sample_pos").alias("v")), total, n - 1)
+    if upto == n:
+        return h.where(F.col("_sample_pos") <= F.lit(cut)).drop("_sample_pos")
     below = h.where(F.col("_sample_pos") < F.lit(cut))
-    tied = h.where(F.col("_sample_pos") == F.lit(cut)).orderBy(order, F.col(key)).limit(n - below.count())
-    return below.unionByName(tied).drop("_sample_pos")
+    tied = h.where(F.col("_sample_pos") == F.lit(cut)).withColumn("_sample_key", F.concat_ws("|", order, F.col(key).cast("string")))
+    return below.unionByName(first_rows(tied, "_sample_key", n - below.count()).drop("_sample_key")).drop("_sample_pos")
 
 
 def reference_lookup(manifest: DataFrame, path_col: str = "audio_path",

@@ -15,6 +15,7 @@ from transcript_quality.config import GBTConfig, ScoringConfig, TrainingConfig
 from transcript_quality.operators import stats
 from transcript_quality.operators.monitoring import flag_for_review
 from transcript_quality.operators.partitioning import spread
+from transcript_quality.schemas import SCORED
 
 log = logging.getLogger(__name__)
 
@@ -22,7 +23,9 @@ log = logging.getLogger(__name__)
 def gbt_pipeline(cfg: TrainingConfig = TrainingConfig(), gbt: GBTConfig | None = None) -> Pipeline:
     """ML-1: feature vector in configured order -> GBT regressor."""
     g = gbt or cfg.gbt
-    assembler = VectorAssembler(inputCols=list(cfg.feature_columns), outputCol="features")
+    # rows with a missing feature are kept (NaN in the vector); training rows are complete, and score() answers
+    # incomplete ones without a prediction
+    assembler = VectorAssembler(inputCols=list(cfg.feature_columns), outputCol="features", handleInvalid="keep")
     reg = GBTRegressor(featuresCol="features", labelCol=cfg.target_column, predictionCol="prediction",
                        maxIter=g.n_estimators, maxDepth=g.max_depth, stepSize=g.learning_rate,
                        seed=g.seed, maxBins=g.max_bins)
@@ -86,8 +89,9 @@ def feature_importance(model: PipelineModel, names=None) -> DataFrame:
 
 def diagnostics(model: PipelineModel, df: DataFrame, cfg: TrainingConfig = TrainingConfig(),
                 split_label: str = "test") -> DataFrame:
-    """ML-7: long report (section, name, metric, value) built from a handful of aggregates."""
-    pred = predict(model, df, cfg)
+    """ML-7: long report (section, name, metric, value) built from a handful of aggregates.  The predictions are
+    persisted for them (memory, spilling to disk), so the model runs once."""
+    pred = predict(model, df, cfg).persist(StorageLevel.MEMORY_AND_DISK)
     feats = list(cfg.feature_columns)
     fs = stats.feature_stats(pred, feats)
     corr = stats.feature_target_corr(pred, feats, cfg.target_column)
@@ -114,6 +118,22 @@ def diagnostics(model: PipelineModel, df: DataFrame, cfg: TrainingConfig = Train
 
 def score(model: PipelineModel, df: DataFrame, cfg: TrainingConfig = TrainingConfig(),
           scoring: ScoringConfig = ScoringConfig()) -> DataFrame:
-    """ML-6: predicted WER and review flag for feature rows (batch or streaming DataFrame)."""
-    pred = predict(model, df, cfg).withColumnRenamed("prediction", "predicted_wer")
+    """ML-6: predicted WER, review flag and status for feature rows (batch or streaming DataFrame).  Every row is answered: a
+    row with a missing feature (a file that failed) gets status 500, no prediction and no flag, the others 200."""
+    ok = F.lit(True)
+    for c in cfg.feature_columns:
+        x = F.col(c).cast("double")
+        ok = ok & x.isNotNull() & ~F.isnan(F.coalesce(x, F.lit(0.0)))
+    pred = predict(model, df.withColumn("status", F.when(ok, 200).otherwise(500)), cfg)
+    pred = pred.withColumn("predicted_wer", F.when(F.col("status") == 200, F.col("prediction"))).drop("prediction")
     return flag_for_review(pred, scoring.review_threshold)
+
+
+def scored_rows(scored: DataFrame, ts: str | None = None) -> DataFrame:
+    """SCORED rows of scored features: ``ts`` names a timestamp column (default: the time of scoring); a missing transcript is
+    NULL."""
+    have = set(scored.columns)
+    at = F.col(ts).cast("timestamp") if ts else F.current_timestamp()
+    cols = {"ts": at, "transcript": F.col("transcript") if "transcript" in have else F.lit(None)}
+    return scored.select(*[cols.get(f.name, F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in SCORED.fields])

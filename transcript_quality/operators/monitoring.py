@@ -118,18 +118,22 @@ def windowed_quantile(df: DataFrame, ts: str, col: str, window: str, q: float =
 
 # --------------------------------------------------------------------------- step series
 def step_counts(df: DataFrame, ts: str, step: str, measures: dict[str, Column],
-                group_cols=()) -> DataFrame:
-    """Per evaluation step (bucket ``[k*step, (k+1)*step)``) the given counts, on a dense grid
-    from the first to the last step of each series (missing steps count 0)."""
+                group_cols=(), fill: int = 1, max_gap: int = 10_000) -> DataFrame:
+    """Per evaluation step (bucket ``[k*step, (k+1)*step)``) the given counts.  Between two steps that have rows the missing
+    ones count 0.  Of a gap of more than ``max_gap`` steps (or ``fill``, if that is more: the steps after which every window in
+    use is empty) only so many steps are listed, and the last one, where the empty run ends.  So a stray
+    timestamp adds a bounded number of rows, and the windows and alert states of the listed steps stay exact."""
     st = seconds(step)
     k = F.floor(epoch_seconds(ts) / st).cast("long")
     counts = df.groupBy(*group_cols, k.alias("k")).agg(
         *[m.alias(name) for name, m in measures.items()])
-    bounds = counts.groupBy(*group_cols).agg(F.min("k").alias("k0"), F.max("k").alias("k1"))
-    grid = bounds.select(*group_cols, F.explode(F.sequence("k0", "k1")).alias("k"))
-    keys = list(group_cols) + ["k"]
-    dense = grid.join(counts, keys, "left").fillna(0, subset=list(measures))
-    return dense
+    following = F.lead("k").over(Window.partitionBy(*group_cols).orderBy("k"))
+    gaps = counts.withColumn("end", F.coalesce(following, F.col("k") + 1))
+    filled = F.sequence(F.col("k"), F.least(F.col("end") - 1, F.col("k") + max(fill, max_gap)))
+    steps = F.array_distinct(F.concat(filled, F.array(F.col("end") - 1)))
+    first = F.col("step") == F.col("k")
+    return gaps.withColumn("step", F.explode(steps)).select(
+        *group_cols, F.col("step").alias("k"), *[F.when(first, F.col(m)).otherwise(F.lit(0)).alias(m) for m in measures])
 
 
 def rolling(df: DataFrame, cols: list[str], steps: int, group_cols=()) -> DataFrame:
@@ -147,21 +151,19 @@ def rate_series(df: DataFrame, ts: str, windows, step: str, group_cols=(),
     n_in_window, rate) where rate = events in [step_end - w, step_end) / w seconds."""
     st = seconds(step)
     measure = F.count_if(where) if where is not None else F.count(F.lit(1))
-    dense = step_counts(df, ts, step, {"n": measure.cast("long")}, group_cols)
-    parts = []
-    for wdef in windows:
-        ws = seconds(wdef)
+    sizes = [seconds(w) for w in windows]
+    for wdef, ws in zip(windows, sizes):
         if ws % st:
             raise ValueError(f"window {wdef} must be a multiple of the step {step}")
-        r = rolling(dense, ["n"], ws // st, group_cols)
-        parts.append(r.select(*group_cols, ((F.col("k") + 1) * st).alias("step_end"),
-                              F.lit(ws).cast("long").alias("window_sec"),
-                              F.col("n_w").cast("long").alias("n_in_window"),
-                              (F.col("n_w") / F.lit(float(ws))).alias("rate")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    series = step_counts(df, ts, step, {"n": measure.cast("long")}, group_cols, max(sizes) // st)
+    # all windows side by side over one sorted series, then one row each
+    for ws in sizes:
+        over = Window.partitionBy(*group_cols).orderBy("k").rangeBetween(-(ws // st - 1), 0)
+        series = series.withColumn(f"n_{ws}", F.sum("n").over(over))
+    stacked = ", ".join(f"CAST({ws} AS BIGINT), n_{ws}" for ws in sizes)
+    return (series.selectExpr(*[f"`{g}`" for g in group_cols], f"(k + 1) * {st} AS step_end",
+                              f"stack({len(sizes)}, {stacked}) AS (window_sec, n_in_window)")
+            .withColumn("rate", F.col("n_in_window") / F.col("window_sec").cast("double")))
 
 
 def increase_series(df: DataFrame, ts: str, window: str, step: str, where: Column,
@@ -169,7 +171,7 @@ def increase_series(df: DataFrame, ts: str, window: str, step: str, where: Colum
     """WIN-4 + STM-6: ``increase(x[w])`` of a counter (events matching ``where``) per step, with
     its level."""
     st, ws = seconds(step), seconds(window)
-    dense = step_counts(df, ts, step, {"n": F.count_if(where).cast("long")})
+    dense = step_counts(df, ts, step, {"n": F.count_if(where).cast("long")}, fill=ws // st)
     r = rolling(dense, ["n"], ws // st)
     inc = F.col("n_w").cast("long")
     return r.select(((F.col("k") + 1) * st).alias("step_end"), inc.alias("increase"),
@@ -200,7 +202,7 @@ def error_rate_alert(df: DataFrame, ts: str, is_error: Column, cfg: MonitorConfi
                      threshold: float | None = None) -> DataFrame:
     """STM-8: 5xx rate over ``error_window`` > threshold per second, held ``error_hold``."""
     st, ws = seconds(cfg.step), seconds(cfg.error_window)
-    dense = step_counts(df, ts, cfg.step, {"n": F.count_if(is_error).cast("long")})
+    dense = step_counts(df, ts, cfg.step, {"n": F.count_if(is_error).cast("long")}, fill=ws // st)
     r = rolling(dense, ["n"], ws // st)
     thr = cfg.error_threshold if threshold is None else threshold
     return alert_state(r, F.col("n_w") / F.lit(float(ws)), thr, cfg.error_hold, cfg.step)
@@ -211,7 +213,7 @@ def drift_alert(df: DataFrame, ts: str, flagged: Column, cfg: MonitorConfig = Mo
     ``drift_hold`` (ratio of sums over the same rows)."""
     st, ws = seconds(cfg.step), seconds(cfg.drift_window)
     dense = step_counts(df, ts, cfg.step, {"flagged": F.count_if(flagged).cast("long"),
-                                           "requests": F.count(F.lit(1)).cast("long")})
+                                           "requests": F.count(F.lit(1)).cast("long")}, fill=ws // st)
     r = rolling(dense, ["flagged", "requests"], ws // st)
     ratio = F.try_divide(F.col("flagged_w").cast("double"), F.col("requests_w").cast("double"))
     return alert_state(r, ratio, cfg.drift_threshold, cfg.drift_hold, cfg.step)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +59,3 @@ def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42):
     s = hash_split(df, key, test_size, seed)
     return (s.where(F.col("split") == "train").drop("split"),
             s.where(F.col("split") == "test").drop("split"))
-
-
-def assemble(df: DataFrame, feature_columns, output: str = "features") -> DataFrame:
-    """PRJ-3: feature columns in the configured order -> one vector column."""
-    cols = list(feature_columns)
-    cast = df.select(*[c for c in df.columns if c not in cols],
-                     *[F.col(c).cast("double").alias(c) for c in cols])
-    return VectorAssembler(inputCols=cols, outputCol=output, handleInvalid="keep").transform(cast)

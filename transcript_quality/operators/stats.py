@@ -1,9 +1,9 @@
 """Corpus, label, feature and error statistics (one aggregate pass each where possible).
 
 Exact quantiles are computed by distributed selection (``exact_quantile``): approximate
-percentiles bracket the wanted ranks, counts locate them, and the bracket shrinks until the
-remaining slice is small enough to finish; no value set larger than ``slice_limit`` ever reaches
-one task or the driver.
+percentiles propose values around the wanted rank, counts tell which side of them it lies on, and the
+search goes on strictly between two proposed values.  Only counts and proposed values reach the
+driver, whatever the number of rows or of equal values.
 """
 
 from __future__ import annotations
@@ -21,58 +21,53 @@ def _valid(c: Column) -> Column:
 
 
 # --------------------------------------------------------------------------- exact quantile
-def exact_quantile(df: DataFrame, col: str, q: float, slice_limit: int = 200_000,
-                   accuracy: int = 100_000) -> float | None:
+def exact_quantile(df: DataFrame, col: str, q: float, accuracy: int = 10_000) -> float | None:
     """Exact linear-interpolation quantile (pandas/numpy default) of the valid values of ``col``."""
     vals = df.select(F.col(col).cast("double").alias("v")).where(_valid(F.col("v")))
     n = vals.count()
     if n == 0:
         return None
     pos = q * (n - 1)
-    r1 = int(math.floor(pos))
-    r2 = min(r1 + 1, n - 1)
-    frac = pos - r1
-    lo_v, hi_v = _select_ranks(vals, n, r1, r2, slice_limit, accuracy)
-    return lo_v + (hi_v - lo_v) * frac if frac else lo_v
-
-
-def values_at_ranks(vals: DataFrame, m: int, r1: int, r2: int, slice_limit: int = 200_000,
-                    accuracy: int = 100_000) -> tuple[float, float]:
-    """Values at 0-based ranks r1 <= r2 of the non-NaN doubles ``vals.v`` (m rows)."""
-    return _select_ranks(vals, m, r1, r2, slice_limit, accuracy)
-
-
-def _select_ranks(vals: DataFrame, m: int, r1: int, r2: int, slice_limit: int,
-                  accuracy: int) -> tuple[float, float]:
-    """Values at 0-based ranks r1 <= r2 of ``vals`` (m rows)."""
-    margin = 4.0 / accuracy
-    while m > slice_limit:
-        p1 = max(0.0, r1 / max(m - 1, 1) - margin)
-        p2 = min(1.0, r2 / max(m - 1, 1) + margin)
-        lo, hi = vals.agg(F.percentile_approx("v", [p1, p2], accuracy).alias("b")).first()["b"]
-        row = vals.agg(
-            F.count_if(F.col("v") < lo).alias("below"),
-            F.count_if(F.col("v") == lo).alias("at_lo"),
-            F.count_if((F.col("v") > lo) & (F.col("v") < hi)).alias("inside"),
-            F.count_if(F.col("v") == hi).alias("at_hi"),
-        ).first()
-        below, at_lo, inside, at_hi = row["below"], row["at_lo"], row["inside"], row["at_hi"]
-        if r1 < below or r2 >= below + at_lo + inside + (at_hi if hi != lo else 0):
-            margin *= 4  # the approximate bracket missed; widen and retry
-            if margin > 1:
-                raise RuntimeError("quantile bracketing failed")
-            continue
-        r1, r2 = r1 - below, r2 - below
-        if r2 < at_lo:  # both ranks fall on the value ``lo``
-            return lo, lo
-        if lo != hi and r1 >= at_lo + inside:  # both on ``hi``
-            return hi, hi
-        # keep the whole closed bracket [lo, hi]; shrinks by ~accuracy per round
-        vals = vals.where((F.col("v") >= lo) & (F.col("v") <= hi))
-        m = at_lo + inside + (at_hi if hi != lo else 0)
-    # bounded slice: finish on the driver (at most slice_limit doubles)
-    ordered = [r["v"] for r in vals.orderBy("v").limit(r2 + 1).collect()]
-    return ordered[r1], ordered[r2]
+    r = int(math.floor(pos))
+    value, upto = value_at_rank(vals, n, r, accuracy)
+    if pos == r or r + 1 < upto:
+        return value
+    above = vals.where(F.col("v") > F.lit(value)).agg(F.min("v")).first()[0]
+    return value + (above - value) * (pos - r)
+
+
+def value_at_rank(vals: DataFrame, n: int, r: int, accuracy: int = 10_000) -> tuple[float, int]:
+    """The value at 0-based rank ``r`` of the n non-NaN doubles ``vals.v``, and how many values are
+    not above it.
+
+    Each round proposes the approximate percentiles around the rank among the values strictly between
+    the bounds so far, and counts the values below and at each proposal.  Either a proposal holds the rank, or
+    the two neighbours of the rank become the new bounds and are left out, so every round has
+    fewer distinct values and a repeated value can't keep the search from ending."""
+    lo, hi, below, m = None, None, 0, n  # `below` values are <= lo, m values lie between the bounds
+    while True:
+        inside = F.lit(True)
+        if lo is not None:
+            inside = inside & (F.col("v") > F.lit(lo))
+        if hi is not None:
+            inside = inside & (F.col("v") < F.lit(hi))
+        part = vals.where(inside)
+        p, margin = (r - below + 0.5) / m, 2.0 / accuracy
+        probes = sorted({min(1.0, max(0.0, x)) for x in (p - margin, p, p + margin)})
+        marks = sorted(set(part.agg(F.percentile_approx("v", probes, accuracy).alias("b")).first()["b"]))
+        counts = part.agg(*[f(c).alias(f"{t}{i}") for i, x in enumerate(marks) for t, f, c in
+                            (("lt", F.count_if, F.col("v") < F.lit(x)), ("le", F.count_if, F.col("v") <= F.lit(x)))]).first()
+        new_lo, new_hi, new_below, end = lo, hi, below, below + m
+        for i, x in enumerate(marks):
+            lt, le = below + counts[f"lt{i}"], below + counts[f"le{i}"]
+            if lt <= r < le:
+                return x, le
+            if le <= r:
+                new_lo, new_below = x, le
+            else:
+                new_hi, end = x, lt
+                break
+        lo, hi, below, m = new_lo, new_hi, new_below, end - new_below
 
 
 # --------------------------------------------------------------------------- corpus stats
@@ -154,36 +149,36 @@ def error_stats(df: DataFrame, actual: str = "wer", predicted: str = "prediction
 
 
 # --------------------------------------------------------------------------- rank correlation
-def rank_buckets(n: int, rows_per_bucket: int = 1_000_000, max_buckets: int = 65_536) -> int:
-    """Value buckets for the ranking, about ``rows_per_bucket`` rows each: one window task sorts
-    at most that many distinct values (spilling if needed); below it one bucket needs no cut
-    job."""
-    return int(min(max_buckets, max(1, n // rows_per_bucket)))
-
-
-def average_ranks(values: DataFrame, col: str = "v", cuts=None) -> DataFrame:
-    """(v, rank) with the average 1-based rank of each distinct value (ties share the mean).
-
-    rank(v) = #values below v + (count(v) + 1) / 2.  Values are split into value buckets at
-    ``cuts`` (approximate quantiles).  Distinct values are counted with partial aggregation (a
-    value holding a third of all rows is one row per task here); bucket totals come straight
-    from the values (each task sends one row per bucket) and, one row per bucket, are broadcast
-    as offsets; a running sum ordered by value inside each bucket gives the rest.  No task sees
-    more than one bucket of distinct values, and nothing is collected."""
-    vals = values.select(F.col(col).cast("double").alias("v"))
-    if cuts:
+ROWS_PER_BUCKET = 50_000
+
+
+def average_ranks(values: DataFrame, col: str = "v", weight: str | None = None,
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """(v, rank) with the average 1-based rank of each distinct value (ties share the mean); a row
+    stands for ``weight`` equal values if a weight column is named.
+
+    rank(v) = #values below v + (count(v) + 1) / 2.  Values are counted first, so a value that holds
+    any share of the rows is one row.  The distinct values are dealt into value buckets of about ``rows_per_bucket``
+    at approximate quantiles; bucket totals, one row each, are added up and joined back; a running sum ordered by value inside each
+    bucket gives the rest.  No task sorts more than about one bucket."""
+    w = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = values.groupBy(F.col(col).cast("double").alias("v")).agg(w.alias("c"))
+    n = counts.count()
+    buckets = n // rows_per_bucket + 1
+    if buckets > 1:
+        probs = [i / buckets for i in range(1, buckets)]
+        cuts = counts.agg(F.percentile_approx("v", probs, max(10_000, 4 * buckets)).alias("q")).first()["q"]
         # binary search per value (JVM side): bucket i holds cuts[i-1] <= v < cuts[i]
-        splits = [float("-inf"), *sorted(set(float(c) for c in cuts)), float("inf")]
-        vals = Bucketizer(splits=splits, inputCol="v", outputCol="b", handleInvalid="keep") \
-            .transform(vals).select("v", F.col("b").cast("int").alias("bucket"))
+        splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+        counts = Bucketizer(splits=splits, inputCol="v", outputCol="b", handleInvalid="keep") \
+            .transform(counts).select("v", "c", F.col("b").cast("int").alias("bucket"))
     else:
-        vals = vals.withColumn("bucket", F.lit(0))
-    counts = vals.groupBy("bucket", "v").agg(F.count(F.lit(1)).alias("c"))
-    totals = vals.groupBy("bucket").agg(F.count(F.lit(1)).alias("t"))
+        counts = counts.withColumn("bucket", F.lit(0))
+    totals = counts.groupBy("bucket").agg(F.sum("c").alias("t"))
     offsets = totals.select("bucket", F.coalesce(F.sum("t").over(
         Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     within = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.join(F.broadcast(offsets), "bucket").select(  # offsets: one row per bucket
+    return counts.join(offsets, "bucket").select(
         "v", (F.col("offset") + F.coalesce(F.sum("c").over(within), F.lit(0)) + (F.col("c") + 1) / 2.0).alias("rank"))
 
 
@@ -191,29 +186,24 @@ def spearman_rho(df: DataFrame, x: str, y: str) -> tuple[float, int]:
     """AGG-8: Spearman rank correlation (average ranks for ties) over pairs where both values are
     valid, and the pair count: Pearson correlation of the average ranks, all distributed.
 
-    The valid pairs are persisted (memory, spilling to disk; recomputed from the scan if an
-    executor is lost) for the count, the bucket cuts, the two rankings and the join back, so
-    the source is read once."""
+    Equal pairs are counted first and weighted, so hot values shrink before anything is joined.  The counted
+    pairs are persisted (memory, spilling to disk; recomputed from the scan if an executor is lost).  The
+    mean of the ranks is (n + 1) / 2, so one weighted pass gives the correlation."""
     pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")) \
-        .where(_valid(F.col("x")) & _valid(F.col("y"))).persist(StorageLevel.MEMORY_AND_DISK)
+        .where(_valid(F.col("x")) & _valid(F.col("y"))).groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = pairs.count()
+        n = pairs.agg(F.sum("w")).first()[0] or 0
         if n < 2:
             return float("nan"), n
-        nb = rank_buckets(n)
-        cuts_x = cuts_y = None
-        if nb > 1:
-            probs = [i / nb for i in range(1, nb)]
-            acc = max(10_000, 4 * nb)
-            q = pairs.agg(F.percentile_approx("x", probs, acc).alias("qx"),
-                          F.percentile_approx("y", probs, acc).alias("qy")).first()
-            cuts_x, cuts_y = q["qx"], q["qy"]
-        rx = average_ranks(pairs.select(F.col("x").alias("v")), cuts=cuts_x).toDF("x", "rx")
-        ry = average_ranks(pairs.select(F.col("y").alias("v")), cuts=cuts_y).toDF("y", "ry")
-        ranked = pairs.join(rx, "x").join(ry, "y")
-        rho = float(ranked.agg(_pearson(F.col("rx"), F.col("ry")).alias("rho")).first()["rho"])
+        rx = average_ranks(pairs, "x", "w").toDF("x", "rx")
+        ry = average_ranks(pairs, "y", "w").toDF("y", "ry")
+        mean = (n + 1) / 2.0
+        dx, dy, w = F.col("rx") - mean, F.col("ry") - mean, F.col("w")
+        s = pairs.join(rx, "x").join(ry, "y").agg(F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"), F.sum(w * dy * dy).alias("yy")).first()
     finally:
         pairs.unpersist()
+    rho = s["xy"] / math.sqrt(s["xx"] * s["yy"]) if s["xx"] and s["yy"] else float("nan")
     if abs(abs(rho) - 1.0) < 1e-12:  # perfect (anti-)agreement up to rounding
         rho = math.copysign(1.0, rho)
     return rho, n

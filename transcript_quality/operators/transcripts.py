@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 import numpy as np
@@ -73,33 +74,46 @@ def to_feature_history(df: DataFrame, keep=()) -> DataFrame:
     return df.select(*cols, *keep)
 
 
-_MODELS: dict = {}
+_MODELS: dict = {}  # of this Python worker, by model id
+
+
+def model_of_worker(model_id: str, make_predict_fn: Callable) -> Callable:
+    """The predict function of a model, made once in each Python worker."""
+    if model_id not in _MODELS:
+        _MODELS[model_id] = make_predict_fn()
+    return _MODELS[model_id]
 
 
 def transcribe(df: DataFrame, make_predict_fn: Callable, path_col: str = "path",
-               batch_size: int = 16) -> DataFrame:
+               batch_size: int = 16, model_id: str | None = None) -> DataFrame:
     """UDF-2: batched speech-to-text through a caller-supplied model.
 
-    ``make_predict_fn()`` runs once per Python worker (the model stays loaded across tasks) and
-    returns ``predict(paths: np.ndarray) -> {"transcript": [...], "word_confidence": [[...]]}``.
-    Files go to the model ``batch_size`` at a time, inside the scan's own partitions."""
+    ``make_predict_fn()`` runs once per Python worker and ``model_id`` (the model stays loaded across tasks; two models
+    need two ids; by default one call of ``transcribe`` is one model) and returns ``predict(paths: np.ndarray) ->
+    {"transcript": [...], "word_confidence": [[...]]}``, with ``"token_confidence"`` and ``"score"`` if the model has them: the
+    columns are those that the ground-truth job reads.  Files go to the model ``batch_size`` at a time, inside the scan's own
+    partitions."""
     schema = T.StructType(list(df.schema.fields) + [
         T.StructField("transcript", T.StringType()),
         T.StructField("word_confidence", T.ArrayType(T.DoubleType())),
+        T.StructField("token_confidence", T.ArrayType(T.DoubleType())),
+        T.StructField("score", T.DoubleType()),
     ])
-    key = f"{getattr(make_predict_fn, '__module__', '')}.{getattr(make_predict_fn, '__qualname__', id(make_predict_fn))}"
+    key = model_id or uuid.uuid4().hex
 
     def run(batches):
-        predict = _MODELS.get(key)
-        if predict is None:
-            predict = _MODELS[key] = make_predict_fn()
+        # the module's cache, not a copy of it that travels with this function
+        from transcript_quality.operators.transcripts import model_of_worker
+        predict = model_of_worker(key, make_predict_fn)
         for pdf in batches:
             for start in range(0, len(pdf), batch_size):
                 chunk = pdf.iloc[start:start + batch_size].copy()
                 out = predict(chunk[path_col].to_numpy())
                 chunk["transcript"] = [None if t is None else str(t) for t in out["transcript"]]
-                chunk["word_confidence"] = [None if c is None else [float(v) for v in c]
-                                            for c in out["word_confidence"]]
+                none = [None] * len(chunk)
+                for name in ("word_confidence", "token_confidence"):
+                    chunk[name] = [None if c is None else [float(v) for v in c] for c in out.get(name, none)]
+                chunk["score"] = [None if v is None else float(v) for v in out.get("score", none)]
                 yield chunk
 
     return df.mapInPandas(run, schema)

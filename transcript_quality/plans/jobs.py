@@ -24,8 +24,8 @@ from transcript_quality.operators.audio import acoustic_features, decode_audio,
 from transcript_quality.operators.transcripts import (
     add_confidence, add_wer, attach_reference, to_feature_history, with_filename,
 )
-from transcript_quality.schemas import REGISTRY, TRANSCRIPTS
-from transcript_quality.session import path_exists, shared_dir
+from transcript_quality.schemas import REGISTRY
+from transcript_quality.session import path_exists
 from transcript_quality.sinks import writers as W
 from transcript_quality.sources import audio as SA
 from transcript_quality.sources import tables as SRC
@@ -70,14 +70,13 @@ def label_acoustics(ac: DataFrame, lookup: DataFrame | None = None,
     transcripts (JON-2) -> mean word confidence (ARR-1) -> reference by filename (JON-1) ->
     WER with the ingest policy (STR-5/6/7).  Double columns; the canonical float projection
     is :func:`to_feature_history`."""
-    spark = ac.sparkSession
-    if transcripts is None:
-        transcripts = spark.createDataFrame([], TRANSCRIPTS)
-    # the confidence list is reduced to its mean before the join, so only one double per file
-    # crosses the shuffle; a file without a transcript gets the default
-    tr = add_confidence(transcripts).select("path", "transcript", "asr_confidence")
-    rows = with_filename(join_corpus(ac, tr, "path")) \
-        .withColumn("asr_confidence", F.coalesce("asr_confidence", F.lit(DEFAULT_CONFIDENCE)))
+    if transcripts is None:  # nothing to join: no shuffle
+        joined = ac.withColumn("transcript", F.lit(None).cast("string")).withColumn("asr_confidence", F.lit(None).cast("double"))
+    else:
+        # the confidence list is reduced to its mean before the join, so only one double per file
+        # crosses the shuffle; a file without a transcript gets the default
+        joined = join_corpus(ac, add_confidence(transcripts).select("path", "transcript", "asr_confidence"), "path")
+    rows = with_filename(joined).withColumn("asr_confidence", F.coalesce("asr_confidence", F.lit(DEFAULT_CONFIDENCE)))
     if lookup is not None:
         rows = attach_reference(rows, lookup)
     else:
@@ -208,14 +207,14 @@ def production_model_path(spark: SparkSession, registry_path: str) -> str | None
 def merge_manifest_job(spark: SparkSession, existing_path: str | None, new_rows: DataFrame,
                        out_path: str, max_samples: int | None = None) -> DataFrame:
     """JOB-6: existing manifest (if any) + new rows not yet present, truncated to
-    ``max_samples`` with existing rows first; written as CSV to ``out_path``."""
+    ``max_samples`` with existing rows first; written as CSV to ``out_path``, which may be ``existing_path``.  Returns
+    a read of what was written."""
     if existing_path and path_exists(spark, existing_path):
         existing = SRC.read_manifest(spark, existing_path)
     else:
         existing = spark.createDataFrame([], new_rows.schema)
     merged = MF.merge_manifest(existing, new_rows, "audio_id", max_samples)
-    W.write_manifest(merged, out_path)
-    return merged
+    return W.replace_manifest(merged, out_path)
 
 
 def prepare_lookup(spark: SparkSession, manifest_path: str, files: DataFrame, lookup_path: str,
@@ -223,20 +222,29 @@ def prepare_lookup(spark: SparkSession, manifest_path: str, files: DataFrame, lo
     """JOB-7: seeded exact sample of the manifest, kept where the audio exists, written as the
     filename -> reference-text lookup.  Returns the copied / skipped / entry counts."""
     manifest = SRC.read_manifest(spark, manifest_path, require_rows=True)
-    sample = MF.sample_exact(manifest, "audio_id", sample_size, seed)
+    sample = MF.sample_exact(manifest, "audio_id", sample_size, seed).persist()
     present = MF.existing_audio(sample, files)
     lookup = MF.reference_lookup(present)
     W.write_reference_lookup(lookup, lookup_path, as_json=as_json)
     counts = sample.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     copied = present.count()
+    sample.unpersist()
     return {"sampled": counts, "copied": copied, "skipped": counts - copied,
             "entries": SRC.read_reference_lookup(spark, lookup_path).count()}
 
 
 # ------------------------------------------------------------------ JOB-8 / 9 score and monitor
 def score_batch(spark: SparkSession, features: DataFrame, model_path: str,
-                cfg: TrainingConfig = TrainingConfig(), scoring: ScoringConfig = ScoringConfig()) -> DataFrame:
-    return ML.score(SRC.load_model(spark, model_path), features, cfg, scoring)
+                cfg: TrainingConfig = TrainingConfig(), scoring: ScoringConfig = ScoringConfig(), ts: str | None = None) -> DataFrame:
+    """JOB-8: SCORED rows, one for every feature row (failed files with status 500); :func:`monitor` reads them."""
+    return ML.scored_rows(ML.score(SRC.load_model(spark, model_path), features, cfg, scoring), ts)
+
+
+def score_audio(files: DataFrame, model_path: str, transcripts: DataFrame | None = None, cfg: TrainingConfig = TrainingConfig(),
+                scoring: ScoringConfig = ScoringConfig(), acoustic: AcousticConfig = AcousticConfig()) -> DataFrame:
+    """JOB-8 from a binary file scan (batch or stream): decode -> features -> SCORED rows."""
+    rows = features_from_files(files, None, transcripts, acoustic)
+    return score_batch(files.sparkSession, rows, model_path, cfg, scoring)
 
 
 def monitor(scored: DataFrame, ts: str = "ts", cfg: MonitorConfig = MonitorConfig()) -> dict[str, DataFrame]:
@@ -259,16 +267,17 @@ def monitor(scored: DataFrame, ts: str = "ts", cfg: MonitorConfig = MonitorConfi
 # ------------------------------------------------------------------ JOB-10 daily cycle
 def run_daily(spark: SparkSession, landing: str, history_path: str, models_dir: str,
               registry_path: str, lookup_path: str | None = None,
-              transcripts: DataFrame | None = None, archive_dir: str | None = None,
+              transcripts: DataFrame | None = None, archive_dir: str | None = None, checkpoint: str | None = None,
               cfg: TrainingConfig = TrainingConfig(), ingest: IngestConfig = IngestConfig(),
               acoustic: AcousticConfig = AcousticConfig()) -> dict:
     """Gate on landed files -> streaming ingest (once per file) -> train -> validate -> deploy
-    only when the candidate beats production."""
+    only when the candidate beats production.  ``checkpoint`` remembers what was ingested from ``landing`` into this history; by
+    default it lies beside the history."""
     from transcript_quality.streaming.ingest import ingest_stream
     if not SA.enough_files(spark, landing, ingest.min_files, ingest.glob):
         return {"status": "waiting"}
     lookup = SRC.read_reference_lookup(spark, lookup_path) if lookup_path else None
-    ingest_stream(spark, landing, history_path, shared_dir(spark, "streams", "ingest"),
+    ingest_stream(spark, landing, history_path, checkpoint or f"{history_path.rstrip('/')}_ingest_checkpoint",
                   lookup, transcripts, archive_dir, acoustic, ingest)
     trained = train(spark, history_path, models_dir, cfg, registry_path)
     gate = validate(spark, history_path, trained["model_path"],

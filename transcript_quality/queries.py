@@ -70,7 +70,10 @@ def rd(c, nd: int = ND):
 
 # ------------------------------------------------------------------ stand-in views (Spark + SQL)
 def feature_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return feature_rows_of(table(spark, sf_dir, "lineitem"))
+
+
+def feature_rows_of(li: DataFrame) -> DataFrame:
     return li.select(
         F.concat(F.lit("file:/landing/"), F.col("l_orderkey").cast("string"), F.lit("_"),
                  F.col("l_linenumber").cast("string"), F.lit(".wav")).alias("path"),
@@ -286,9 +289,9 @@ def confidence_mean(spark, sf_dir):
 @register("confidence_fallback", """
 WITH c AS (
   SELECT vec_id,
-    list_avg(list_filter(list_transform(embedding[1:3], lambda x: CASE WHEN x > 0 THEN CAST(x AS DOUBLE) ELSE CAST('NaN' AS DOUBLE) END),
+    list_avg(list_filter(list_transform(list_filter(embedding, lambda x, i: i % 2 = 1), lambda x: CASE WHEN x > 0.25 THEN CAST(x AS DOUBLE) ELSE CAST('NaN' AS DOUBLE) END),
                          lambda v: v IS NOT NULL AND NOT isnan(v))) AS w,
-    list_avg(list_filter(list_transform(embedding[4:6], lambda x: CASE WHEN x > 0 THEN CAST(x AS DOUBLE) END),
+    list_avg(list_filter(list_transform(list_filter(embedding, lambda x, i: i % 2 = 0), lambda x: CASE WHEN x > 0.25 THEN CAST(x AS DOUBLE) END),
                          lambda v: v IS NOT NULL AND NOT isnan(v))) AS t,
     CASE WHEN label > 2 THEN label / 10.0 END AS s
   FROM embeddings)
@@ -300,8 +303,9 @@ def confidence_fallback(spark, sf_dir):
     from transcript_quality.functions.confidence import confidence_chain
     emb = table(spark, sf_dir, "embeddings")
     e = F.col("embedding").cast("array<double>")
-    word = F.transform(F.slice(e, 1, 3), lambda x: F.when(x > 0, x).otherwise(F.lit(float("nan"))))
-    token = F.transform(F.slice(e, 4, 3), lambda x: F.when(x > 0, x))
+    # all items: every other one is a word's confidence, the rest are token confidences
+    word = F.transform(F.filter(e, lambda x, i: i % 2 == 0), lambda x: F.when(x > 0.25, x).otherwise(F.lit(float("nan"))))
+    token = F.transform(F.filter(e, lambda x, i: i % 2 == 1), lambda x: F.when(x > 0.25, x))
     score = F.when(F.col("label") > 2, F.col("label") / 10.0)
     src = (F.when(valid_mean(word).isNotNull(), "word").when(valid_mean(token).isNotNull(), "token")
            .when(score.isNotNull(), "score").otherwise("default"))
@@ -782,19 +786,18 @@ SELECT vec_id, label, n_samples, round(duration, 6) AS duration, round(rms_db, 6
        round(snr_db, 6) AS snr_db FROM ac""")
 def stream_acoustic_features(spark, sf_dir):
     """STM-1 on the stand-in: waveforms read with ``readStream``, featurised by the same
-    stateless expressions, appended through the exactly-once file sink, read back as a table."""
+    stateless expressions, each micro-batch written to its own folder, read back as a table."""
     import uuid
 
     from transcript_quality.session import shared_dir
+    from transcript_quality.sinks.writers import write_stream
     schema = table(spark, sf_dir, "embeddings").schema
     src = (spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet")
            .option("maxFilesPerTrigger", 1).parquet(sf_dir))
     feats = array_acoustic_features(src, "embedding", STANDIN_SR, STANDIN_ACOUSTIC, keep=("vec_id", "label"))
     run = shared_dir(spark, "streams", f"acoustic_{uuid.uuid4().hex}")
-    q = (feats.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{run}/checkpoint")
-         .trigger(availableNow=True).start(f"{run}/out"))
-    q.awaitTermination()
-    out = spark.read.parquet(f"{run}/out")
+    write_stream(feats, f"{run}/out", f"{run}/checkpoint")
+    out = spark.read.schema(feats.schema).option("recursiveFileLookup", True).parquet(f"{run}/out")
     return out.select("vec_id", "label", "n_samples", rd("duration").alias("duration"),
                       rd("rms_db").alias("rms_db"), rd("snr_db").alias("snr_db"))
 
@@ -804,17 +807,16 @@ def _standin_path(prefix: str, key: str) -> Column:
     return F.concat(F.lit(prefix), F.col(key).cast("string"), F.lit(".wav"))
 
 
-def _word_confidences(words: Column, min_len: int = 0, cap: int = 10, invalid=None) -> Column:
-    """Stand-in model output: a word's confidence grows with its length (capped at ``cap``
-    letters); words of ``min_len`` letters or fewer get ``invalid`` (NULL or NaN)."""
+def _word_confidences(words: Column, min_len: int = 0, invalid=None) -> Column:
+    """Stand-in model output: a word's confidence 1 - 1 / (1 + length) grows with its length; words of ``min_len`` letters or
+    fewer get ``invalid`` (NULL or NaN)."""
     bad = F.lit(invalid).cast("double")
-    return F.transform(words, lambda w: F.when(F.length(w) > min_len, F.least(F.length(w), F.lit(cap)) / float(cap))
-                       .otherwise(bad))
+    return F.transform(words, lambda w: F.when(F.length(w) > min_len, 1.0 - 1.0 / (1.0 + F.length(w))).otherwise(bad))
 
 
-def _word_conf_sql(words: str, min_len: int = 0, cap: int = 10, invalid: str = "NULL") -> str:
+def _word_conf_sql(words: str, min_len: int = 0, invalid: str = "NULL") -> str:
     return (f"list_transform({words}, lambda w: CASE WHEN length(w) > {min_len} "
-            f"THEN least(length(w), {cap}) / {float(cap)} ELSE CAST({invalid} AS DOUBLE) END)")
+            f"THEN CAST(1 AS DOUBLE) - CAST(1 AS DOUBLE) / (1 + length(w)) ELSE CAST({invalid} AS DOUBLE) END)")
 
 
 def _valid_avg_sql(lst: str) -> str:
@@ -873,8 +875,8 @@ feats AS (SELECT replace(files.path, 'file:', '') AS audio_path, ac.rms_db, ac.s
           FROM ac JOIN files USING (vec_id)),
 hyp AS (SELECT '/corpus/audio/a' || lpad(CAST(item_id AS VARCHAR), 7, '0') || '.wav' AS audio_path,
                text AS hypothesis_text,
-               {_valid_avg_sql(_word_conf_sql(tokens_sql('text'), 6, 10, "'NaN'"))} AS wc,
-               {_valid_avg_sql(_word_conf_sql(tokens_sql('text'), 3, 8))} AS tc,
+               {_valid_avg_sql(_word_conf_sql(tokens_sql('text'), 6, "'NaN'"))} AS wc,
+               {_valid_avg_sql(_word_conf_sql(tokens_sql('text'), 3))} AS tc,
                CASE WHEN length(text) > 100 THEN 0.7 END AS sc
         FROM benchmark),
 r AS (SELECT p.audio_id, p.audio_path, p.reference_text, coalesce(h.hypothesis_text, '') AS hypothesis_text,
@@ -907,9 +909,161 @@ def ground_truth_rows(spark, sf_dir):
         F.concat(F.lit("/corpus/audio/a"), F.lpad(F.col("item_id").cast("string"), 7, "0"), F.lit(".wav"))
         .alias("audio_path"),
         F.col("text").alias("hypothesis_text"),
-        _word_confidences(words, 6, 10, float("nan")).alias("word_confidence"),
-        _word_confidences(words, 3, 8).alias("token_confidence"),
+        _word_confidences(words, 6, float("nan")).alias("word_confidence"),
+        _word_confidences(words, 3).alias("token_confidence"),
         F.when(F.length("text") > 100, F.lit(0.7)).alias("score"))
     rows = J.ground_truth_rows(present, feats, hyp)
     return rows.select("audio_id", "audio_path", "hypothesis_text",
                        *[rd(c).alias(c) for c in ("wer", "asr_confidence", "duration", "rms_db", "snr_db")])
+
+
+# ------------------------------------------------------------------ written and read again
+def _run_dir(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from transcript_quality.session import shared_dir
+    return shared_dir(spark, "queries", f"{name}_{uuid.uuid4().hex}")
+
+
+@register("manifest_union", f"""
+WITH {MANIFEST_SQL} SELECT audio_id, audio_path, speaker_id, gender, n_chars FROM m""")
+def manifest_union(spark, sf_dir):
+    """JON-4 / SET-1 without a cap: the labelled documents' manifest, then all rows not yet in it."""
+    m = _manifest(table(spark, sf_dir, "documents"))
+    existing = m.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return MF.merge_manifest(existing, m, key="audio_id").select("audio_id", "audio_path", "speaker_id", "gender", "n_chars")
+
+
+@register("manifest_roundtrip", f"""
+WITH {MANIFEST_SQL} SELECT audio_id, audio_path, md5(reference_text) AS text_md5, speaker_id, gender FROM m""")
+def manifest_roundtrip(spark, sf_dir):
+    """SNK-3 / SRC-4 / JOB-6: the labelled rows are written as CSV, then all rows are merged into that manifest in place;
+    texts have quotes and line breaks."""
+    from transcript_quality.plans.jobs import merge_manifest_job
+    path = _run_dir(spark, "manifest")
+    m = _manifest(table(spark, sf_dir, "documents"))
+    labels = table(spark, sf_dir, "labels")
+    rows = m.select("audio_id", "audio_path", "reference_text", "speaker_id", "gender")
+    merge_manifest_job(spark, None, rows.join(labels.select(F.concat(F.lit("a"), F.lpad(F.col("doc_id").cast("string"), 7, "0")).alias("audio_id")), "audio_id", "left_semi"), path)
+    out = merge_manifest_job(spark, path, rows, path)
+    return out.select("audio_id", "audio_path", F.md5("reference_text").alias("text_md5"), "speaker_id", "gender")
+
+
+@register("lookup_roundtrip", f"""
+WITH {MANIFEST_SQL} SELECT string_split(audio_path, '/')[-1] AS filename, md5(reference_text) AS text_md5 FROM m WHERE reference_text <> ''""")
+def lookup_roundtrip(spark, sf_dir):
+    """SNK-4 / SRC-2 / JSN-1: the reference lookup written as JSON objects and read back."""
+    from transcript_quality.sinks.writers import write_reference_lookup
+    from transcript_quality.sources.tables import read_reference_lookup
+    path = _run_dir(spark, "lookup")
+    write_reference_lookup(MF.reference_lookup(_manifest(table(spark, sf_dir, "documents"))), path, as_json=True)
+    return read_reference_lookup(spark, path).select("filename", F.md5("reference_text").alias("text_md5"))
+
+
+@register("history_rows", f"""
+WITH {FEATURE_VIEW_SQL} SELECT path, {', '.join(f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 4) AS {c}" for c in (*FEATURES, 'wer'))} FROM feat""")
+def history_rows(spark, sf_dir):
+    """SNK-1 / SNK-7 / SRC-3 / SET-3: half of the rows are appended in batch, half by a stream to the same history."""
+    from transcript_quality.schemas import FEATURE_HISTORY
+    from transcript_quality.sinks import writers as W
+    from transcript_quality.sources.tables import read_features
+    run = _run_dir(spark, "history")
+    half = F.pmod(F.crc32(F.col("path").cast("binary")), F.lit(2)) == 0
+    rows = feature_view(spark, sf_dir)
+    W.append_features(rows.where(half), f"{run}/history")
+    schema = table(spark, sf_dir, "lineitem").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    late = feature_rows_of(stream).where(~half)
+    W.write_stream(late.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURE_HISTORY.fields]), f"{run}/history", f"{run}/checkpoint")
+    back = read_features(spark, f"{run}/history")
+    return back.select("path", *[rd(F.col(c).cast("double"), 4).alias(c) for c in (*FEATURES, "wer")])
+
+
+# ------------------------------------------------------------------ rank correlation with its p-value
+@register("spearman_p", """
+WITH v AS (SELECT list_avg(embedding) AS x, CAST(label AS DOUBLE) AS y FROM embeddings),
+r AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+             rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM v),
+s AS (SELECT corr(rx, ry) AS rho, count(*) AS n FROM r),
+t AS (SELECT rho, n, n - 2 AS dof, abs(rho) * sqrt((n - 2) / ((1 - rho) * (1 + rho))) AS t FROM s),
+-- Simpson's rule over the density of Student's t from 0 to |t|
+g AS (SELECT rho, n, t, sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+                            * exp(lgamma((dof + 1) / 2.0) - lgamma(dof / 2.0)) / sqrt(dof * pi())
+                            * pow(1 + pow(t * i / 2000, 2) / dof, -(dof + 1) / 2.0)) * t / 2000 / 3 AS half
+      FROM t, range(0, 2001) q(i) GROUP BY rho, n, t)
+SELECT round(rho, 6) AS rho, round(1 - 2 * half, 6) AS p_value, CAST(n AS BIGINT) AS n FROM g""")
+def spearman_p(spark, sf_dir):
+    """AGG-8 / AGG-9: mean item of a vector against its label."""
+    emb = table(spark, sf_dir, "embeddings")
+    mean = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double")) / F.size("embedding")
+    out = ST.spearman(emb.select(mean.alias("x"), F.col("label").cast("double").alias("y")), "x", "y")
+    return out.select(rd("rho").alias("rho"), rd("p_value").alias("p_value"), "n")
+
+
+# ------------------------------------------------------------------ files as bytes
+QUANT_SQL = """quant AS (SELECT vec_id, label, list_transform(embedding, lambda x: greatest(-32768, least(32767, round(CAST(x AS DOUBLE) * 32768))) / 32768.0) AS embedding FROM embeddings)"""
+
+
+def _le_hex(n: Column, width: int) -> Column:
+    """An integer column as little-endian bytes in hex."""
+    return F.concat(*[F.lpad(F.hex(F.pmod(F.floor(n / F.lit(float(256 ** i))).cast("long"), F.lit(256))), 2, "0") for i in range(width)])
+
+
+def wav_files(emb: DataFrame, sr: Column) -> DataFrame:
+    """binaryFile rows (path, length, content): each vector as a 16-bit PCM file; every tenth has a broken header."""
+    v = F.transform("embedding", lambda x: F.greatest(F.lit(-32768.0), F.least(F.lit(32767.0), F.round(x.cast("double") * 32768))))
+    size = F.size("embedding") * 2
+    tag = F.when(F.col("vec_id") % 10 == 3, F.lit("4A554E4B")).otherwise(F.lit("52494646"))
+    head = F.concat(tag, _le_hex(size + 36, 4), F.lit("57415645666D74201000000001000100"), _le_hex(sr, 4), _le_hex(sr * 2, 4),
+                    F.lit("0200100064617461"), _le_hex(size, 4))
+    content = F.unhex(F.concat(head, F.array_join(F.transform(v, lambda x: _le_hex(F.pmod(x, F.lit(65536.0)), 2)), "")))
+    return emb.select(F.concat(F.lit("file:/landing/"), F.col("vec_id").cast("string"), F.lit(".wav")).alias("path"), content.alias("content")) \
+        .withColumn("length", F.length("content").cast("long"))
+
+
+def _vec_of(path: str = "path") -> Column:
+    return F.regexp_extract(path, r"(\d+)\.wav$", 1).cast("long").alias("vec_id")
+
+
+@register("decoded_features", f"""
+WITH {QUANT_SQL}, {ACOUSTIC_SQL.replace("FROM embeddings", "FROM quant")}
+SELECT vec_id, vec_id % 10 = 3 AS failed, CASE WHEN vec_id % 10 <> 3 THEN round(duration, 6) END AS duration,
+       CASE WHEN vec_id % 10 <> 3 THEN round(rms_db, 5) END AS rms_db, CASE WHEN vec_id % 10 <> 3 THEN round(snr_db, 5) END AS snr_db FROM ac""")
+def decoded_features(spark, sf_dir):
+    """DEC-1 / PRJ-2: bytes -> decode -> acoustics; a broken file leaves its row without features."""
+    from transcript_quality.operators import audio as A
+    files = wav_files(table(spark, sf_dir, "embeddings"), F.lit(STANDIN_SR))
+    out = A.acoustic_features(A.decode_audio(files, STANDIN_ACOUSTIC), STANDIN_ACOUSTIC)
+    return out.select(_vec_of(), F.col("error").isNotNull().alias("failed"), rd("duration").alias("duration"), rd("rms_db", 5).alias("rms_db"), rd("snr_db", 5).alias("snr_db"))
+
+
+@register("decoded_validity", """
+WITH f AS (SELECT vec_id, 44 + 2 * len(embedding) AS length, len(embedding) / (16.0 * (1 + vec_id % 12)) AS duration, vec_id % 10 = 3 AS broken FROM embeddings)
+SELECT vec_id, round(length / 1024.0, 6) AS size_kb, CASE WHEN NOT broken THEN round(duration, 6) END AS duration, NOT broken AND duration >= 0.5 AS is_valid,
+       CASE WHEN broken THEN 'invalid_header' WHEN duration < 0.5 THEN 'too_short' END AS reason FROM f""")
+def decoded_validity(spark, sf_dir):
+    """FLT-2 from the headers of files of several rates."""
+    from transcript_quality.config import ValidityConfig
+    from transcript_quality.operators import audio as A
+    files = wav_files(table(spark, sf_dir, "embeddings"), F.lit(STANDIN_SR) * (1 + F.col("vec_id") % 12))
+    out = A.validate_audio(files, ValidityConfig(min_size_kb=0.1))
+    return out.select(_vec_of(), rd("size_kb").alias("size_kb"), rd("duration").alias("duration"), "is_valid", "reason")
+
+
+# ------------------------------------------------------------------ scoring
+SCORE_TREE = TrainingConfig(gbt=GBTConfig(n_estimators=1, max_depth=3, max_bins=64))
+
+
+@register("score_rows", f"""
+WITH {FEATURE_VIEW_SQL},
+s AS (SELECT path, snr_db, CASE WHEN snr_db IS NOT NULL AND NOT isnan(snr_db) AND asr_confidence IS NOT NULL THEN 200 ELSE 500 END AS status,
+             CASE WHEN rms_db > -10 THEN 0.2 WHEN rms_db > -30 THEN 0.35 ELSE 0.6 END AS p FROM feat)
+SELECT path, CAST(status AS INTEGER) AS status, CASE WHEN status = 200 THEN CAST(p AS DOUBLE) END AS predicted_wer, status = 200 AND p > 0.4 AS review_recommended FROM s""")
+def score_rows(spark, sf_dir):
+    """ML-6 / JOB-8: SCORED rows for every file, failed ones with status 500.  The model is a tree fitted to a target with three values, so
+    its predictions are those values."""
+    from transcript_quality.operators import model as ML
+    target = F.when(F.col("rms_db") > -10, 0.2).when(F.col("rms_db") > -30, 0.35).otherwise(0.6)
+    model = ML.fit(prepared_view(spark, sf_dir).withColumn("wer", target), SCORE_TREE)
+    out = ML.scored_rows(ML.score(model, feature_view(spark, sf_dir), SCORE_TREE))
+    return out.select("path", "status", rd("predicted_wer").alias("predicted_wer"), "review_recommended")

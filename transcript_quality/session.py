@@ -49,10 +49,6 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *parts]) if parts else base
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check that works for any Hadoop file system, not only the driver's disk."""
     if path.startswith("/") and os.path.exists(path):

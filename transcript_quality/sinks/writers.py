@@ -3,6 +3,8 @@ executor re-runs its tasks without leaving partial files behind."""
 
 from __future__ import annotations
 
+import threading
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
@@ -10,6 +12,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from transcript_quality.schemas import FEATURE_HISTORY, GROUND_TRUTH, MANIFEST, REGISTRY
+from transcript_quality.session import shared_dir
+from transcript_quality.sources.tables import read_manifest
 
 
 def _canonical(df: DataFrame, schema) -> DataFrame:
@@ -35,30 +39,40 @@ def write_ground_truth(df: DataFrame, path: str) -> None:
 
 
 def write_manifest(df: DataFrame, path: str) -> None:
-    """SNK-3: manifest CSV with header (a directory of part files)."""
-    _canonical(df, MANIFEST).write.mode("overwrite").option("header", True) \
-        .option("escape", '"').csv(path)
+    """SNK-3: manifest CSV with header (a directory of part files).  ``df`` must not read ``path``; an update in
+    place goes through :func:`replace_manifest`."""
+    _canonical(df, MANIFEST).write.mode("overwrite").option("header", True).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
-MAX_JSON_LOOKUP_ENTRIES = 100_000
+def replace_manifest(df: DataFrame, path: str) -> DataFrame:
+    """SNK-3 for a manifest that ``df`` may itself be read from: the rows are written to a folder of their own in the
+    shared location first, and only then copied over ``path``.  Returns a read of what was written."""
+    spark = df.sparkSession
+    side = shared_dir(spark, "manifest", uuid.uuid4().hex)
+    write_manifest(df, side)
+    write_manifest(read_manifest(spark, side), path)
+    return read_manifest(spark, path)
+
+
+JSON_ENTRIES_PER_PART = 20_000
 
 
 def write_reference_lookup(df: DataFrame, path: str, as_json: bool = False,
-                           max_json_entries: int = MAX_JSON_LOOKUP_ENTRIES) -> None:
-    """SNK-4: (filename, reference_text) as Parquet (the scalable form), or as one JSON object
-    for parity with the single-file lookup format.  A JSON object is one value built by one
-    task, so that form refuses lookups above ``max_json_entries`` instead of gathering an
-    unbounded map."""
+                           entries_per_part: int = JSON_ENTRIES_PER_PART) -> None:
+    """SNK-4: (filename, reference_text) as Parquet, or as JSON objects in the lookup's format: a folder
+    ``part=<hash part>`` with one object of about ``entries_per_part`` entries each, so no task builds an unbounded
+    map.  Of rows with the same filename one (the largest text) is kept."""
     rows = df.select("filename", "reference_text").where(
         F.col("reference_text").isNotNull() & (F.col("reference_text") != ""))
     if not as_json:
         rows.write.mode("overwrite").parquet(path)
         return
-    if rows.limit(max_json_entries + 1).count() > max_json_entries:
-        raise ValueError(f"lookup has more than {max_json_entries} entries; write it as Parquet")
-    obj = rows.agg(F.to_json(F.map_from_entries(F.collect_list(
-        F.struct("filename", "reference_text")))).alias("value"))
-    obj.coalesce(1).write.mode("overwrite").text(path)
+    rows = rows.groupBy("filename").agg(F.max("reference_text").alias("reference_text"))
+    parts = rows.count() // entries_per_part + 1
+    obj = rows.groupBy(F.pmod(F.xxhash64("filename"), F.lit(parts)).alias("part")).agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("filename", "reference_text")))).alias("value"))
+    obj.write.mode("overwrite").partitionBy("part").text(path)
 
 
 def save_model(model: PipelineModel, output_dir: str, ts: datetime | None = None) -> tuple[str, str]:
@@ -74,9 +88,21 @@ def append_registry(df: DataFrame, path: str) -> None:
     _canonical(df, REGISTRY).write.mode("append").parquet(path)
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-                 fmt: str = "parquet"):
-    """SNK-7: streaming append; the checkpoint makes the file sink exactly-once."""
-    w = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w
-    return w.start(path)
+def write_stream(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", available_now: bool = True):
+    """SNK-7 / SNK-1: streaming append to a table that batch jobs append to as well.  Each micro-batch overwrites its own
+    folder ``stream=<query id>/batch=<id>``: a retried batch replaces its rows, a new checkpoint (a new query id) never
+    touches older rows, and no file log hides the files that others wrote.  With ``available_now`` the call
+    waits until all input there is has been written."""
+    started, run = threading.Event(), []
+
+    def write(rows: DataFrame, batch: int) -> None:
+        started.wait()  # the first batch may come before start() returns; the id is the checkpoint's
+        rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/stream={run[0]}/batch={batch}")
+
+    w = df.writeStream.outputMode(output_mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    query = w.trigger(availableNow=True).start() if available_now else w.start()
+    run.append(query.id)
+    started.set()
+    if available_now:
+        query.awaitTermination()
+    return query

@@ -15,8 +15,8 @@ log = logging.getLogger(__name__)
 
 
 def read_reference_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-2: ``{filename: text}`` JSON object -> (filename, reference_text) rows; a Parquet
-    lookup (the scalable form) is read directly.  Missing path -> warning and an empty lookup."""
+    """SRC-2: ``{filename: text}`` JSON objects (a file, or a folder with one object a file) -> (filename,
+    reference_text) rows; a Parquet lookup is read directly.  Missing path -> warning and an empty lookup."""
     if not path_exists(spark, path):
         log.warning("Reference lookup not found at %s", path)
         return spark.createDataFrame([], REFERENCE_LOOKUP)
@@ -40,10 +40,11 @@ def _is_parquet(spark: SparkSession, path: str) -> bool:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-3: feature history (file or directory) in the canonical schema; missing path raises."""
+    """SRC-3: feature history (file or directory) in the canonical schema, with everything that batch and
+    streaming runs appended below it; missing path raises."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Feature history not found: {path}")
-    return spark.read.schema(FEATURE_HISTORY).parquet(path)
+    return spark.read.schema(FEATURE_HISTORY).option("recursiveFileLookup", True).parquet(path)
 
 
 def read_manifest(spark: SparkSession, path: str, require_rows: bool = False) -> DataFrame:

@@ -1,9 +1,9 @@
 """Streaming ingest and scoring.
 
 Feature extraction is stateless per file (decode -> array expressions -> joins with static
-lookups), so it runs natively on a stream and writes through Spark's file sink, whose metadata
-log plus the checkpoint make every landed file appear in the history exactly once, even when
-executors are lost mid-batch."""
+lookups), so it runs natively on a stream.  Each micro-batch overwrites a folder of its own in the history
+(`sinks.writers.write_stream`), so every landed file appears exactly once, even when executors are lost mid-batch or a
+batch is retried, and rows that batch jobs appended stay visible."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from transcript_quality.config import AcousticConfig, IngestConfig, ScoringConfig, TrainingConfig
 from transcript_quality.operators.model import score
+from transcript_quality.sinks.writers import write_stream
 from transcript_quality.sources.audio import stream_audio
 
 
@@ -19,20 +20,16 @@ def ingest_stream(spark: SparkSession, landing: str, history_path: str, checkpoi
                   lookup: DataFrame | None = None, transcripts: DataFrame | None = None,
                   archive_dir: str | None = None, acoustic: AcousticConfig = AcousticConfig(),
                   ingest: IngestConfig = IngestConfig(), available_now: bool = True):
-    """STM-1: landed audio -> feature rows appended to ``history_path`` (own directory: the
-    file sink's log decides which files belong to the table)."""
+    """STM-1: landed audio -> feature rows appended to ``history_path``.  ``checkpoint`` belongs to this landing
+    folder and history and must outlive the session."""
     from transcript_quality.plans.jobs import features_from_files
     files = stream_audio(spark, landing, ingest.glob, archive_dir)
     rows = features_from_files(files, lookup, transcripts, acoustic, ingest)
-    w = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    if available_now:
-        q = w.trigger(availableNow=True).start(history_path)
-        q.awaitTermination()
-        return q
-    return w.start(history_path)
+    return write_stream(rows, history_path, checkpoint, available_now=available_now)
 
 
 def score_stream(features: DataFrame, model: PipelineModel, cfg: TrainingConfig = TrainingConfig(),
                  scoring: ScoringConfig = ScoringConfig()) -> DataFrame:
-    """STM-2: streaming scoring (the fitted pipeline transforms streaming DataFrames)."""
+    """STM-2: streaming scoring (the fitted pipeline transforms streaming DataFrames); every row is answered, see
+    :func:`transcript_quality.operators.model.score`."""
     return score(model, features, cfg, scoring)
