@@ -1067,3 +1067,54 @@ def score_rows(spark, sf_dir):
     model = ML.fit(prepared_view(spark, sf_dir).withColumn("wer", target), SCORE_TREE)
     out = ML.scored_rows(ML.score(model, feature_view(spark, sf_dir), SCORE_TREE))
     return out.select("path", "status", rd("predicted_wer").alias("predicted_wer"), "review_recommended")
+
+
+# ------------------------------------------------------------------ diagnostics
+def _diag_sql(col: str, name: str, section: str) -> str:
+    return (f"SELECT '{section}' AS section, '{name}' AS name, unnest(['mean', 'std', 'min', 'max']) AS metric, "
+            f"unnest([avg({col}), stddev_pop({col}), min({col}), max({col})]) AS value FROM s")
+
+
+@register("diagnostics", f"""
+WITH {FEATURE_VIEW_SQL},
+s AS (SELECT * EXCLUDE (wer), CASE WHEN rms_db > -10 THEN 0.2 WHEN rms_db > -30 THEN 0.35 ELSE 0.6 END + CASE WHEN duration > 5 THEN 0.1 ELSE 0 END AS wer,
+             CASE WHEN rms_db > -10 THEN 0.2 WHEN rms_db > -30 THEN 0.35 ELSE 0.6 END AS prediction FROM prepared),
+r AS ({' UNION ALL '.join(_diag_sql(c, c, 'feature_stats') for c in FEATURES)}
+      UNION ALL {' UNION ALL '.join(f"SELECT 'feature_target_corr', '{c}', 'corr', corr({c}, wer) FROM s" for c in FEATURES)}
+      UNION ALL {_diag_sql('wer', 'actual', 'prediction_stats')} UNION ALL {_diag_sql('prediction', 'predicted', 'prediction_stats')}
+      UNION ALL SELECT 'error_stats', 'error', 'mae', avg(abs(wer - prediction)) FROM s
+      UNION ALL SELECT 'error_stats', 'error', 'rmse', sqrt(avg((wer - prediction) * (wer - prediction))) FROM s)
+SELECT section, name, metric, round(CAST(value AS DOUBLE), 6) AS value FROM r""")
+def diagnostics(spark, sf_dir):
+    """ML-7: the statistics of a model's predictions (its importances are the ``importance`` query).  The model is fitted to a target
+    with three values and judged against one that differs for long files."""
+    from transcript_quality.operators import model as ML
+    level = F.when(F.col("rms_db") > -10, 0.2).when(F.col("rms_db") > -30, 0.35).otherwise(0.6)
+    rows = prepared_view(spark, sf_dir)
+    model = ML.fit(rows.withColumn("wer", level), SCORE_TREE)
+    out = ML.diagnostics(model, rows.withColumn("wer", level + F.when(F.col("duration") > 5, 0.1).otherwise(0.0)), SCORE_TREE)
+    return out.where("section <> 'importance'").select("section", "name", "metric", rd("value").alias("value"))
+
+
+# ------------------------------------------------------------------ sliding stream with late and repeated rows
+@register("stream_snr_histogram", f"""
+WITH e AS (SELECT epoch(ts) AS s, value / 5.0 - 10 AS v FROM events),
+w AS (SELECT CAST((floor(s / 86400) - o) * 86400 AS BIGINT) AS window_start, v FROM e, range(0, 2) r(o))
+SELECT window_start, CAST(count(*) AS BIGINT) AS n, round(sum(v), 4) AS sum,
+       {', '.join(f"CAST(count(*) FILTER (WHERE v <= {b if b != float('inf') else "CAST('inf' AS DOUBLE)"}) AS BIGINT) AS b{i}" for i, b in enumerate(STANDIN_MONITOR.snr_buckets))}
+FROM w GROUP BY window_start""")
+def stream_snr_histogram(spark, sf_dir):
+    """STM-3 / STM-10: SNR histogram over sliding windows of two days.  The events are landed twice and read in two micro-batches: of
+    the second, rows older than the watermark are late and the others repeat an id, so both are left out."""
+    from transcript_quality.streaming import monitor as SM
+    run = _run_dir(spark, "snr_histogram")
+    ev = table(spark, sf_dir, "events")
+    for _ in range(2):
+        ev.coalesce(1).write.mode("append").parquet(f"{run}/landing")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/landing")
+    scored = stream.select("event_id", "ts", (F.col("value") / 5.0 - 10).alias("snr_db"))
+    hist = SM.windowed_histogram_stream(scored, "ts", "snr_db", "2 days", STANDIN_MONITOR.snr_buckets, watermark="3 days",
+                                        dedupe_key="event_id", slide="1 day")
+    SM.run_to_table(hist, f"{run}/out", f"{run}/checkpoint")
+    out = SM.latest_per_key(spark, f"{run}/out", ["window_start"])
+    return out.select("window_start", "n", rd("sum", 4).alias("sum"), *[f"b{i}" for i in range(len(STANDIN_MONITOR.snr_buckets))])
