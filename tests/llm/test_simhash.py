@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 
 from transcript_quality.llm import queries, simhash
-from transcript_quality.llm.components import components
+from transcript_quality.llm.components import bit_links, components
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,3 +93,14 @@ def test_components_chain(spark):
     got = {r.node: r.root for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(n + 1)}, 100: 100, 101: 100}
     assert components(edges.limit(0)).collect() == []
+
+
+def test_large_keys_are_split(spark):
+    """Keys over the cap give the same groups as small ones."""
+    rng = np.random.default_rng(9)
+    values = sorted({int(x) for x in rng.integers(0, 2**20, 900)})
+    rows = spark.createDataFrame([(k, v) for k in (1, 2, 7) for v in (values if k != 2 else values[:30])], "key long, v long")
+    want = brute_groups([(v, v) for v in values])
+    for cap in (40, 300, 4096):
+        got = {r.node: r.root for r in components(bit_links(rows, 4, cap)).collect()}
+        assert {v: got.get(v, v) for v in values} == {v: r for (v, _), r in want.items()}

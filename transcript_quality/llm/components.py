@@ -61,8 +61,54 @@ def bucket_cells(rows: DataFrame, cap: int) -> DataFrame:
 def bit_links(rows: DataFrame, max_bits: int, cap: int = 4096) -> DataFrame:
     """Edges (a, b) between values v (64-bit, distinct inside a key) of the same key that differ in ``max_bits`` bits at
     most: a spanning forest of the links of each cell, so that a dense group of m values gives m - 1
-    edges and not m squared."""
-    cells = bucket_cells(rows.select("key", "v"), cap)
+    edges and not m squared.
+
+    The rows are dealt by key once.  Keys of up to ``cap`` rows are compared where they are; the rows of larger keys are handed on
+    as they stream by and are compared in cells, spread over many tasks."""
+    def run(batches):
+        rest, large = [np.zeros(0, np.int64)] * 2, None
+        for b in batches:
+            k, v = (np.concatenate([r, b.column(c).to_numpy()]) for c, r in enumerate(rest))
+            if large is not None:  # more rows of the key whose rows are being handed on
+                n = int(np.searchsorted(k, large, side="right"))
+                yield from _handed_on(k[:n], v[:n])
+                k, v = k[n:], v[n:]
+            starts = run_starts(k)
+            sizes = np.diff(np.append(starts, len(k)))
+            if len(starts):
+                sizes[-1] = min(sizes[-1], cap)  # the last key may go on in the next batch
+                big = np.repeat(sizes > cap, np.diff(np.append(starts, len(k))))
+                cut = int(starts[-1])
+                yield from _handed_on(k[big], v[big])
+                yield from _found(_edges([k[:cut][~big[:cut]], v[:cut][~big[:cut]]], max_bits))
+                rest, large = [k[cut:], v[cut:]], None
+                if len(rest[0]) > cap:
+                    large = int(k[cut])
+                    yield from _handed_on(*rest)
+                    rest = [np.zeros(0, np.int64)] * 2
+            else:
+                rest = [k, v]
+        yield from _found(_edges(rest, max_bits))
+
+    first = stored(rows.select("key", "v").repartition("key").sortWithinPartitions("key", "v").mapInArrow(run, "a long, b long, key long"), "links")
+    links, more = first.where("key is null").select("a", "b"), first.where("key is not null").select("key", F.col("a").alias("v"))
+    if not more.isEmpty():
+        links = links.union(_cell_links(more, max_bits, cap))
+    return links.distinct()
+
+
+def _handed_on(k: np.ndarray, v: np.ndarray):
+    if len(k):
+        yield pa.record_batch([pa.array(v), pa.nulls(len(v), pa.int64()), pa.array(k)], ["a", "b", "key"])
+
+
+def _found(edges):
+    for e in edges:
+        yield pa.record_batch([e.column(0), e.column(1), pa.nulls(e.num_rows, pa.int64())], ["a", "b", "key"])
+
+
+def _cell_links(rows: DataFrame, max_bits: int, cap: int) -> DataFrame:
+    cells = bucket_cells(rows, cap)
 
     def run(batches):
         rest = None
@@ -78,15 +124,15 @@ def bit_links(rows: DataFrame, max_bits: int, cap: int = 4096) -> DataFrame:
             yield from _edges(rest, max_bits)
 
     return (cells.select("key", "i", "j", "v").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "v")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "a long, b long"))
 
 
 def _edges(cols: list[np.ndarray], max_bits: int):
-    v = cols[3].astype(np.int64)
+    v = cols[-1].astype(np.int64)
     if not len(v):
         return
     u = v.view(np.uint64)
-    starts = run_starts(*cols[:3])
+    starts = run_starts(*cols[:-1])
     sizes = np.diff(np.append(starts, len(v)))
     group = np.repeat(np.arange(len(starts)), sizes)
     small = 24
