@@ -28,7 +28,7 @@ def test_query_against_library(spark):
 
 
 def test_chunks_are_exact():
-    texts = ["a  b\n\n c\t\td ", "  x", "don't  stop'll\r\n", "a\x1cb \x1c c", "x\xa0y \xa0 z\xa0", "\x85 a\x85b  c　d", "<|endoftext|> a<|endoftext|>b", "!!! ??\n!", "日本語 テキスト", " ", "\n", "q" * 300 + " w", "1 22  333"]
+    texts = ["a  b\n\n c\t\td ", "  x", "don't  stop'll\r\n", "a\x1cb \x1c c", "x\xa0y \xa0 z\xa0", "\x85 a\x85b  c　d", "<|endoftext|> a<|endoftext|>b", "!!! ??\n!", "a½.b²,c e\u0301.x _y_.z a_b.c x's't. 3.a a.3 ...", "it's John's're 'tis", "日本語 テキスト", " ", "\n", "q" * 300 + " w", "1 22  333"]
     enc = tokenfiles.Encoder(PATH)
     for _ in range(2):
         for t, got in zip(texts, enc.encode(texts), strict=True):

@@ -35,10 +35,11 @@ END = 0
 BLOCK = 256
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 20
-CACHE_CHUNKS = 200_000
+CACHE_CHUNKS = 300_000
 MAGIC = b"TQPF"
 _HEADER = struct.Struct("<4sIIIQ")  # magic, ids in a block, documents, blocks, ids
 _CHUNK = re.compile(r"\s*\S+|\s+")
+_HEAD = re.compile(r"\s*[^\W\d_]+(?=[^\w\s])")  # letters before punctuation
 _WHOLE = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
 
@@ -121,32 +122,60 @@ def read_segment(data: bytes, first: int = 0, last: int | None = None) -> tuple[
 
 
 # ------------------------------------------------------------------ encoding
-class Encoder:
-    """The tokenizers library with a bounded cache.  Its pre-tokens never run from a character that is no white space into one
-    that is, so a text's ids are those of its chunks (white space, then what follows up to the next white space)."""
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable Latin-1 characters for themselves, the others get the
+    code points from 256 on, in order."""
+    plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Encoder(dict):
+    """Ids (little-endian 32-bit) of chunks, by the tokenizers library, in a bounded cache.
+
+    The library's pre-tokens never run from a character that is no white space into one that is, nor from a letter into
+    punctuation, so a text's ids are those of its chunks: white space, then what follows up to the next white space, cut before
+    punctuation after letters.  A chunk of letters, with a blank before them or none, is one pre-token and goes to the library's model
+    at once; all others go to the whole library."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        self.model = self.lib.model
+        self.letters = byte_letters()
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        out = self.old.get(chunk)
+        if out is not None:
+            return self._keep(chunk, out)
+        head = _HEAD.match(chunk)
+        if chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha():
+            ids = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.letters))]
+            return self._keep(chunk, struct.pack(f"<{len(ids)}I", *ids))
+        if head:  # not kept: its two parts are
+            return self[chunk[:head.end()]] + self[chunk[head.end():]]
+        if chunk[:1] in "\n\t" and chunk[1:].isalpha():
+            return self[chunk[0]] + self[chunk[1:]]
+        ids = self.lib.encode(chunk, add_special_tokens=False).ids
+        return self._keep(chunk, struct.pack(f"<{len(ids)}I", *ids))
+
+    def _keep(self, chunk: str, out: bytes) -> bytes:
+        """Two generations: what was used lately outlives the next turnover."""
+        if len(chunk) <= 64:
+            if len(self) >= CACHE_CHUNKS:
+                self.old = dict(self)
+                self.clear()
+            self[chunk] = out
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers, without the end id."""
-        chunks = [_CHUNK.findall(t) if t and not _WHOLE.search(t) else [t] if t else [] for t in texts]
-        every = {c for cs in chunks for c in cs}
-        if len(self.known) + len(every) > CACHE_CHUNKS:
-            self.known = {c: self.known[c] for c in every & self.known.keys()}
-        new = sorted(every - self.known.keys())
-        self.known.update(zip(new, self._ids(new), strict=True))
-        out = [b"".join(map(self.known.__getitem__, cs)) for cs in chunks]
-        if any(len(c) > 64 for c in new):
-            self.known = {c: v for c, v in self.known.items() if len(c) <= 64}
-        return out
+        """Ids of each text, without the end id."""
+        get = self.__getitem__
+        return [b"" if not t else b"".join(map(get, _CHUNK.findall(t) if not _WHOLE.search(t) else [t])) for t in texts]
 
 
 _encoders: dict[str, Encoder] = {}
