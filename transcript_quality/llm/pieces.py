@@ -19,6 +19,7 @@ reads as a blank, as in the library; any other text is decoded to itself.  An em
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from transcript_quality.llm.common import slices
 
 MARK = "▁"
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000  # in each of two generations
 CACHE_PAIRS = 1_000_000
 CACHED_LENGTH = 64
 _MARKED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
@@ -50,7 +51,7 @@ class Pieces:
         self.unknown = sp.unk_id()
         self.id = {names[i]: i for i in plain}
         self.score = {names[i]: sp.get_score(i) for i in plain}
-        self.longest = max(map(len, self.id), default=1)
+        self.tails = {name[k:] for name in self.id for k in range(len(name))}  # no piece ends with anything else
         self.text = [b""] * n
         for name, i in self.id.items():
             self.text[i] = name.replace(MARK, " ").encode()
@@ -58,8 +59,10 @@ class Pieces:
             self.text[i] = bytes([byte])
         self.text[self.unknown] = " ⁇ ".encode()
         self.whole: dict[str, bool] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.n_pairs = 0
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def merges(self, text: str) -> list[str]:
         """The merges themselves, on a short text: best score first, leftmost of equals."""
@@ -76,11 +79,12 @@ class Pieces:
         return parts
 
     def stays(self, a: str, b: str) -> bool:
-        ok = self.pairs.get((a, b))
-        if ok is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[a, b] = self.merges(a + b) == [a, b]
+        """Whether the merges leave the pair as it is; kept for the next time."""
+        if self.n_pairs >= CACHE_PAIRS:
+            self.pairs.clear()
+            self.n_pairs = 0
+        ok = self.pairs.setdefault(a, {})[b] = self.merges(a + b) == [a, b]
+        self.n_pairs += 1
         return ok
 
     def is_whole(self, piece: str) -> bool:
@@ -100,42 +104,65 @@ class Pieces:
         """(word, ids) of sorted distinct words; state[i]: the last piece on the path to position i."""
         state: list[str] = [""]
         before = ""
-        known, longest = self.id, self.longest
+        known, tails, pairs = self.id, self.tails, self.pairs
         for w in words:
             n, top = 0, min(len(w), len(before))
             while n < top and w[n] == before[n]:
                 n += 1
             del state[n + 1:]
             for end in range(n + 1, len(w) + 1):
-                last = w[end - 1]  # a character is a piece of its own if no longer one fits
-                for size in range(min(longest, end), 0, -1):
-                    piece = w[end - size:end]
-                    if size > 1 and piece not in known:
-                        continue
-                    prev = state[end - size]
-                    if self.stays(prev, piece) if prev else self.is_whole(piece):
-                        last = piece
+                last = piece = w[end - 1]  # a character is a piece of its own if no longer one fits
+                start = end - 1
+                while True:
+                    if piece in known or start == end - 1:
+                        prev = state[start]
+                        if prev:
+                            ok = (pairs.get(prev) or {}).get(piece)
+                            if ok is None:
+                                ok = self.stays(prev, piece)
+                        else:
+                            ok = self.is_whole(piece)
+                        if ok:
+                            last = piece
+                            break
+                    start -= 1
+                    if start < 0:
+                        break
+                    piece = w[start:end]
+                    if piece not in tails:
                         break
                 state.append(last)
-            ids, end = [], len(w)
+            path, end = [], len(w)
             while end:
-                ids.append(state[end])
+                path.append(state[end])
                 end -= len(state[end])
-            yield w, [i for p in reversed(ids) for i in self.code(p)]
+            path.reverse()
+            ids = []
+            for p in path:
+                i = known.get(p)
+                if i is None:
+                    ids += self.code(p)
+                else:
+                    ids.append(i)
+            yield w, ids
             before = w
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         marked = [None if t is None else _MARKED.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = sorted({w for m in marked if m for w in m} - self.words.keys())
-        if len(self.words) + len(new) > CACHE_WORDS:
-            new = sorted({w for m in marked if m for w in m})
-            self.words.clear()
+        every: set[str] = set()
+        for m in marked:
+            if m:
+                every.update(m)
+        new = every - self.words.keys()
+        old = self.old_words
+        back = new & old.keys()  # a word of the older generation stays for one more
         words = self.words
-        for w, ids in self.walk(new):
-            words[w] = np.asarray(ids, np.int32).tobytes()
+        words.update((w, old[w]) for w in back)
+        for w, ids in self.walk(sorted(new - back)):
+            words[w] = array("i", ids).tobytes()
         out = [None if m is None else np.frombuffer(b"".join(map(words.__getitem__, m)), np.int32) for m in marked]
-        if len(words) > CACHE_WORDS or any(len(w) > CACHED_LENGTH for w in new):
-            self.words = {w: words[w] for w in list(words)[:CACHE_WORDS] if len(w) <= CACHED_LENGTH}
+        if len(words) > CACHE_WORDS:
+            self.old_words, self.words = {w: x for w, x in words.items() if len(w) <= CACHED_LENGTH}, {}
         return out
 
     def decode(self, ids: list[int]) -> str:
