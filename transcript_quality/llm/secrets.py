@@ -138,8 +138,12 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text:
 
 
 def judge(found: DataFrame, labelled: DataFrame) -> DataFrame:
-    """found with score and is_secret; labelled: findings (f, label) to learn from."""
-    pick = stored(labelled.where("label in (0, 1)").orderBy(F.xxhash64("f", "label"), "label").limit(MAX_LABELLED).select(array_to_vector("f").alias("features"), F.col("label").cast("double").alias("label")), "findings")
+    """found with score and is_secret; labelled: findings (f, label, h: a hash that spreads them) to learn from."""
+    usable = labelled.where("label in (0, 1)")
+    # about twice the sample passes by hash, wherever it lies; of these the first are taken
+    share = min(1.0, 2 * MAX_LABELLED / max(1, usable.count()))
+    pool = usable.where(F.pmod("h", F.lit(1 << 20)) < F.lit(round(share * (1 << 20))))
+    pick = stored(pool.orderBy("h", "label").limit(MAX_LABELLED).select(array_to_vector("f").alias("features"), F.col("label").cast("double").alias("label")), "findings")
     kinds = {int(r["label"]): r["n"] for r in pick.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(kinds) < 2:
         score = F.lit({0: 0.0, 1: 1.0}[next(iter(kinds))] if kinds else 0.5)
@@ -153,5 +157,5 @@ def judge(found: DataFrame, labelled: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = "source", folds: int = 5) -> DataFrame:
     """Findings of all documents: doc_id, start, length, held_out, score, is_secret and the format's verdict (null: none)."""
     found = stored(candidates(docs, dictionary(docs, text), id_col, text, path), "candidates")
-    learn = found.where((F.col("held") % folds != 0) & F.col("rule").isNotNull()).select("f", F.col("rule").alias("label"))
+    learn = found.where((F.col("held") % folds != 0) & F.col("rule").isNotNull()).select("f", F.col("rule").alias("label"), F.xxhash64("doc_id", "start", "f").alias("h"))
     return judge(found, learn).select("doc_id", "start", "length", (F.col("held") % folds == 0).alias("held_out"), "score", "is_secret", "rule")
