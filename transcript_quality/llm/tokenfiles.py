@@ -35,7 +35,7 @@ END = 0
 BLOCK = 256
 PERCENTILE = 0.9
 SEGMENT_IDS = 1 << 20
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 400_000
 MAGIC = b"TQPF"
 _HEADER = struct.Struct("<4sIIIQ")  # magic, ids in a block, documents, blocks, ids
 _CHUNK = re.compile(r"\s*\S+|\s+")
@@ -50,12 +50,16 @@ def _widths(delta: np.ndarray) -> np.ndarray:
 
 def _pack(delta: np.ndarray, width: int) -> np.ndarray:
     """(n, BLOCK) values -> (n, bytes): the low ``width`` bits of each."""
+    if width in (8, 16):  # whole bytes: the same layout without taking bits apart
+        return np.ascontiguousarray(delta.astype(f"<u{width // 8}")).view(np.uint8).reshape(len(delta), -1)
     bits = np.unpackbits(np.ascontiguousarray(delta, "<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
     return np.packbits(bits[:, :width].reshape(len(delta), -1), axis=1, bitorder="little")
 
 
 def _unpack(data: np.ndarray, width: int) -> np.ndarray:
     n = len(data)
+    if width in (8, 16):
+        return np.ascontiguousarray(data).view(f"<u{width // 8}").astype("<u4")
     bits = np.unpackbits(data, axis=1, bitorder="little")[:, :BLOCK * width].reshape(n * BLOCK, width)
     full = np.zeros((n * BLOCK, 32), np.uint8)
     full[:, :width] = bits
@@ -156,10 +160,10 @@ class Encoder(dict):
         if chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha():
             ids = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.letters))]
             return self._keep(chunk, struct.pack(f"<{len(ids)}I", *ids))
-        if head:  # not kept: its two parts are
-            return self[chunk[:head.end()]] + self[chunk[head.end():]]
+        if head:
+            return self._keep(chunk, self[chunk[:head.end()]] + self[chunk[head.end():]])
         if chunk[:1] in "\n\t" and chunk[1:].isalpha():
-            return self[chunk[0]] + self[chunk[1:]]
+            return self._keep(chunk, self[chunk[0]] + self[chunk[1:]])
         ids = self.lib.encode(chunk, add_special_tokens=False).ids
         return self._keep(chunk, struct.pack(f"<{len(ids)}I", *ids))
 
@@ -227,6 +231,7 @@ def read(files: DataFrame) -> DataFrame:
     base = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("seg")) - F.col("n_ids")
     starts = files.select("part", "seg", "n_ids").withColumn("inside", inside).join(base, "part").select("part", "seg", (F.col("base") + F.col("inside")).alias("start"))
+    starts = stored(starts, "token-starts")  # small and of known size, so that the segments themselves need no shuffle
     kind = dict(files.dtypes)["doc_ids"].removeprefix("array<").removesuffix(">")
 
     def run(batches):
