@@ -39,6 +39,8 @@ def test_edges(spark):
     got = {r.doc_id: r for r in pieces.round_trip(df, PATH).collect()}
     assert all(got[i].ids == LIB.encode(t) and got[i].decoded_same for i, t, *_ in rows if t is not None)
     assert got[len(ODD)].ids is None and got[len(ODD)].n_pieces == 0 and got[len(ODD)].decoded_same is None
+    back = df.select("doc_id", "text", pieces.decode(pieces.encode(F.col("text"), PATH), PATH).alias("again"))
+    assert back.where(~F.col("again").eqNullSafe(F.col("text"))).count() == 0
     out = pieces.with_ids(df, PATH)
     assert out.columns == [*df.columns, "piece_ids"] and out.where(F.col("n_pieces") > 0).count() == len(rows) - 2
     assert pieces.round_trip(df.limit(0), PATH).collect() == []

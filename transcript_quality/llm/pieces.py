@@ -182,17 +182,24 @@ def model(path: str) -> Pieces:
     return _models[path]
 
 
+def _coded(t: pa.Array, path: str) -> list[np.ndarray | None]:
+    out: list[np.ndarray | None] = []
+    for a, b in slices([len(x) if (x := s.as_buffer()) else 0 for s in t.cast(pa.binary())]):
+        out += model(path).encode(t.slice(a, b - a).to_pylist())
+    return out
+
+
+def _lists(rows: list[np.ndarray | None]) -> pa.Array:
+    sizes = np.asarray([0 if x is None else len(x) for x in rows], np.int64)
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.asarray([x is None for x in rows] + [False]))
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([x for x in rows if x is not None] or [np.zeros(0, np.int32)]), pa.int32()))
+
+
 def encode(text: Column, path: str) -> Column:
     """Piece ids (array of int) of a text column.  The model file must be on every worker."""
     @F.arrow_udf("array<int>")
     def run(t: pa.Array) -> pa.Array:
-        out: list[np.ndarray | None] = []
-        for a, b in slices([len(x) if (x := s.as_buffer()) else 0 for s in t.cast(pa.binary())]):
-            out += model(path).encode(t.slice(a, b - a).to_pylist())
-        sizes = np.asarray([0 if x is None else len(x) for x in out], np.int64)
-        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.asarray([x is None for x in out] + [False]))
-        flat = np.concatenate([x for x in out if x is not None] or [np.zeros(0, np.int32)])
-        return pa.ListArray.from_arrays(ends, pa.array(flat, pa.int32()))
+        return _lists(_coded(t, path))
     return run(text)
 
 
@@ -201,15 +208,25 @@ def decode(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def run(t: pa.Array) -> pa.Array:
         m = model(path)
-        return pa.array([None if not s.is_valid else m.decode(s.values.to_pylist()) for s in t], pa.string())
+        return pa.array([None if not s.is_valid else m.decode(s.values.to_numpy(zero_copy_only=False).tolist()) for s in t], pa.string())
     return run(ids)
 
 
+def encode_checked(text: Column, path: str) -> Column:
+    """Struct (ids, same) of a text column: its piece ids, and whether decoding them gives the text again (null: no text).  One call, so
+    that the text is encoded once."""
+    @F.arrow_udf("struct<ids: array<int>, same: boolean>")
+    def run(t: pa.Array) -> pa.Array:
+        rows, m = _coded(t, path), model(path)
+        same = [None if x is None else m.decode(x.tolist()) == s for x, s in zip(rows, t.to_pylist(), strict=True)]
+        return pa.StructArray.from_arrays([_lists(rows), pa.array(same, pa.bool_())], ["ids", "same"])
+    return run(text)
+
+
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids, n_pieces, decoded_same: whether decoding the ids gives the text again (null: no text)."""
-    coded = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("t"), encode(F.col(text), path).alias("ids"))
-    return coded.select("doc_id", "ids", F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).alias("n_pieces"),
-                        (decode(F.col("ids"), path) == F.col("t")).alias("decoded_same"))
+    coded = docs.select(F.col(id_col).alias("doc_id"), encode_checked(F.col(text), path).alias("r"))
+    return coded.select("doc_id", "r.ids", F.when(F.col("r.ids").isNull(), 0).otherwise(F.size("r.ids")).alias("n_pieces"), F.col("r.same").alias("decoded_same"))
 
 
 def with_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
