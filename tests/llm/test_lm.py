@@ -107,3 +107,10 @@ def test_learns():
     for _ in range(80):
         adam.learn(texts)
     assert net.score(texts[:1])[0] > before / 5
+
+
+def test_every_token_trains(spark):
+    texts = [" ".join(f"w{(i + j) % 9}" for j in range(n)) for i, n in enumerate((0, 3, 191, 192, 1000, 20_000))]
+    train = spark.createDataFrame([(bytearray(t.encode()),) for t in texts], "t binary")
+    rows = lm._replica(train, {b"w1": 2}, gru.Gru().theta, 1).where("block = 0")
+    assert sum(r.tokens for r in rows.collect()) == sum(len(t.split()) + 1 for t in texts)

@@ -48,36 +48,42 @@ class Gru:
         return n + z * (h - n), z, r, n, gh[:, 2 * k:]
 
     def output(self, hs: np.ndarray, target: np.ndarray, grad: bool = False):
-        """ln probability of each target, and the gradients of their sum if wanted."""
-        cls, member = target // self.w, target % self.w
-        rows = np.arange(len(target))
-        lc = hs @ self.wc + self.bc
-        lc -= lc.max(1, keepdims=True)
-        e = np.exp(lc)
-        s = e.sum(1, keepdims=True)
-        logp = (lc[rows, cls] - np.log(s[:, 0])).astype(np.float64)
+        """ln probability of each target, and the gradients of their sum if wanted.  Targets are sorted by class and lie side by side in
+        the arrays' last dimension, so that sums over classes and members run along memory."""
+        cls, at = target // self.w, np.arange(len(target))
         order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.c + 1))
-        if grad:
-            dc = e / -s
-            dc[rows, cls] += 1
-            dh = dc @ self.wc.T
-            dww, dbw = np.zeros_like(self.ww), np.zeros_like(self.bw)
-        for c in np.flatnonzero(np.diff(cuts)):
-            at = order[cuts[c]:cuts[c + 1]]
-            hc = hs[at]
-            lw = hc @ self.ww[c] + self.bw[c]
-            lw -= lw.max(1, keepdims=True)
-            ew = np.exp(lw)
-            sw = ew.sum(1, keepdims=True)
-            i = np.arange(len(at))
-            logp[at] += lw[i, member[at]] - np.log(sw[:, 0])
+        cls, member = cls[order], (target % self.w)[order]
+        cuts = np.searchsorted(cls, np.arange(self.c + 1))
+        some = [(c, slice(cuts[c], cuts[c + 1])) for c in np.flatnonzero(np.diff(cuts)).tolist()]
+        ht = np.ascontiguousarray(hs[order].T)
+        lc = self.wc.T @ ht
+        lc += self.bc[:, None]
+        lw = np.empty((self.w, len(at)), lc.dtype)
+        for c, i in some:
+            lw[:, i] = self.ww[c].T @ ht[:, i]
+            lw[:, i] += self.bw[c][:, None]
+        sorted_logp = np.zeros(len(at))
+        for x, y in ((lc, cls), (lw, member)):
+            x -= x.max(0)
+            own = x[y, at]
+            np.exp(x, out=x)
+            s = x.sum(0)
+            sorted_logp += own - np.log(s)
             if grad:
-                dw = ew / -sw
-                dw[i, member[at]] += 1
-                dww[c], dbw[c] = hc.T @ dw, dw.sum(0)
-                dh[at] += dw @ self.ww[c].T
-        return (logp, dh, hs.T @ dc, dc.sum(0), dww, dbw) if grad else logp
+                x *= -1 / s
+                x[y, at] += 1
+        logp = np.empty(len(at))
+        logp[order] = sorted_logp
+        if not grad:
+            return logp
+        dht = self.wc @ lc
+        dww, dbw = np.zeros_like(self.ww), np.zeros_like(self.bw)
+        for c, i in some:
+            dww[c], dbw[c] = ht[:, i] @ lw[:, i].T, lw[:, i].sum(1)
+            dht[:, i] += self.ww[c] @ lw[:, i]
+        dh = np.empty_like(hs)
+        dh[order] = dht.T
+        return logp, dh, ht @ lc.T, lc.sum(1), dww, dbw
 
     # -------------------------------------------------------------- scoring
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -109,36 +115,37 @@ class Gru:
         """One window (time, streams): sum of ln p, its gradient and the state at the end.  Backpropagation stops at the window's start;
         the state is reset where a text begins; targets below 0 are padding."""
         steps, b = x.shape
-        fresh = (x == 0)[:, :, None]
-        hs, keep = np.zeros((steps, b, self.h), np.float32), []
+        k, ut = self.h, np.ascontiguousarray(self.u.T)
+        goes_on = (x != 0).astype(np.float32)[:, :, None]
+        hs, before, g = (np.zeros((steps, b, k), np.float32) for _ in range(3))
+        zr, n = np.zeros((steps, b, 2 * k), np.float32), np.zeros((steps, b, k), np.float32)
         for t in range(steps):
-            before = np.where(fresh[t], np.float32(0), h)
-            h, z, r, n, g = self.step(x[t], before)
-            hs[t] = h
-            keep.append((before, z, r, n, g))
+            before[t] = h * goes_on[t]
+            h, z, r, n[t], g[t] = self.step(x[t], before[t])
+            hs[t], zr[t, :, :k], zr[t, :, k:] = h, z, r
         real = np.flatnonzero(y.ravel() >= 0)
-        logp, dreal, dwc, dbc, dww, dbw = self.output(hs.reshape(-1, self.h)[real], y.ravel()[real], True)
-        dhs = np.zeros((steps * b, self.h), np.float32)
+        logp, dreal, dwc, dbc, dww, dbw = self.output(hs.reshape(-1, k)[real], y.ravel()[real], True)
+        dhs = np.zeros((steps * b, k), np.float32)
         dhs[real] = dreal
         dhs = dhs.reshape(hs.shape)
-        dx, dgh = np.zeros((steps, b, 3 * self.h), np.float32), np.zeros((steps, b, 3 * self.h), np.float32)
-        carry = np.zeros((b, self.h), np.float32)
+        # what a state's gradient is multiplied with on its way to each gate, for all steps at once
+        z, r = zr[:, :, :k], zr[:, :, k:]
+        dan = (1 - z) * (1 - n * n)
+        factor = np.stack([(before - n) * z * (1 - z), dan * g * r * (1 - r), dan * r], 2)
+        dgh, carry = np.zeros((steps, b, 3 * k), np.float32), np.zeros((b, k), np.float32)
         for t in range(steps - 1, -1, -1):
-            before, z, r, n, g = keep[t]
-            dh = dhs[t] + carry
-            dan = dh * (1 - z) * (1 - n * n)
-            daz = dh * (before - n) * z * (1 - z)
-            dar = dan * g * r * (1 - r)
-            dx[t] = np.concatenate([daz, dar, dan], 1)
-            dgh[t] = np.concatenate([daz, dar, dan * r], 1)
-            carry = np.where(fresh[t], np.float32(0), dh * z + dgh[t] @ self.u.T)
+            dhs[t] += carry
+            np.multiply(dhs[t][:, None, :], factor[t], out=dgh[t].reshape(b, 3, k))
+            carry = (dhs[t] * z[t] + dgh[t] @ ut) * goes_on[t]
+        dx = dgh.copy()
+        dx[:, :, 2 * k:] = dhs * dan
         grad = np.zeros_like(self.theta)
         gx, gu, gwc, gbc, gww, gbw = self._views(grad)
         ids = x.ravel()
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         gx[ids[order[first]]] = np.add.reduceat(dx.reshape(-1, 3 * self.h)[order], first, axis=0)
-        gu[:] = np.stack([k[0] for k in keep]).reshape(-1, self.h).T @ dgh.reshape(-1, 3 * self.h)
+        gu[:] = before.reshape(-1, self.h).T @ dgh.reshape(-1, 3 * self.h)
         gwc[:], gbc[:], gww[:], gbw[:] = dwc, dbc, dww, dbw
         return float(logp.sum()), len(real), grad, h
 

@@ -6,9 +6,9 @@ join by word, one row for each distinct word of a document, and come back as one
 
 The recurrent model (`gru`) knows the most frequent words.  A word outside its vocabulary costs the probability of that token times a
 byte-bigram spelling learned from all such words' counts.  Training: ``WARM_DOCS`` documents (an expected number, chosen by hash) give the start values in one
-task; then each task continues from them over its share of all training documents, by truncated backpropagation, and the
-parameters are averaged with the tokens as weights.  Each document gives ``SEGMENT`` tokens from a place that follows from its hash (all of
-them if it has fewer), so the work grows with the corpus.  Scoring walks whole documents, the state carried from window to window.
+task, from ``SEGMENT`` tokens each; then each task continues from them over its share of all training documents, every token of every text, by
+truncated backpropagation, and the parameters are averaged with the tokens as weights.  Scoring walks whole documents, the state carried
+from window to window.
 
 Defined results: a null or empty text is the end token alone.  A null id is a training document.  Without training documents the counts are 0, the base
 score is 0 and the model is at its start values.  Repeated rows get equal base scores, and model scores equal up to the rounding of 32-bit sums;
@@ -20,6 +20,7 @@ import itertools
 import math
 import zlib
 from collections import Counter
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -99,8 +100,12 @@ def _segment(text: bytes, number: dict[bytes, int]) -> np.ndarray:
     return ids[a:a + SEGMENT]
 
 
-def _replica(train: DataFrame, number: dict[bytes, int], theta: np.ndarray, passes: int) -> DataFrame:
-    """Each task trains from theta on its documents; returns its parameters in blocks, times its tokens, with the tokens."""
+def _whole(text: bytes, number: dict[bytes, int]) -> np.ndarray:
+    return _ids(text.lower().split(), number)
+
+
+def _replica(train: DataFrame, number: dict[bytes, int], theta: np.ndarray, passes: int, cut: Callable[[bytes, dict[bytes, int]], np.ndarray] = _whole) -> DataFrame:
+    """Each task trains from theta on its documents (what ``cut`` takes of them); returns its parameters in blocks, times its tokens, with the tokens."""
     shared = train.sparkSession.sparkContext.broadcast((number, theta))
 
     def run(batches):
@@ -108,10 +113,11 @@ def _replica(train: DataFrame, number: dict[bytes, int], theta: np.ndarray, pass
         net = Gru(theta)
         adam, tokens = Adam(net, RATE), 0
         for b in batches:
-            texts = [_segment(t.as_py() or b"", number) for t in b.column(0)]
-            for i, j in slices([len(t) for t in texts], 1 << 18):
-                for _ in range(passes):
-                    tokens += adam.learn(texts[i:j])
+            for a, z in slices([t.as_buffer().size if t.is_valid else 0 for t in b.column(0)], 24 << 20):
+                texts = [cut(t.as_py() or b"", number) for t in b.column(0).slice(a, z - a)]
+                for i, j in slices([len(t) for t in texts], 1 << 18):
+                    for _ in range(passes):
+                        tokens += adam.learn(texts[i:j])
         if tokens:
             part = TaskContext.get().partitionId() % 64
             flat = net.theta.astype(np.float64) * tokens
@@ -155,7 +161,7 @@ def train_model(train: DataFrame, n_docs: int, number: dict[bytes, int]) -> np.n
         return theta
     every = max(1, n_docs // WARM_DOCS)
     warm = train.where(F.pmod(F.xxhash64("i", "t"), F.lit(every)) == 0).select("t").repartition(1)
-    theta = _average(_replica(warm, number, theta, WARM_PASSES), theta)
+    theta = _average(_replica(warm, number, theta, WARM_PASSES, _segment), theta)
     return _average(_replica(train, number, theta, 1), theta)
 
 
