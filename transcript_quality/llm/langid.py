@@ -25,6 +25,10 @@ SEED = 20240611
 UNKNOWN = "und"
 #: Bound on the prototypes that are broadcast (1024 floats each: 40 MB).
 MAX_LANGUAGES = 10_000
+#: The filter: standard deviations of noise; letters under which a cosine doesn't decide; share of a language's letters that a letter must hold.
+NOISE = 4.0
+FEW = 50
+COMMON = 10_000
 SEGMENT = 1 << 20  # characters of one text worked on at a time
 CHUNK = 256        # texts whose count matrix is built at a time
 _CODES = 0x110000
@@ -194,8 +198,53 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
             .select("doc_id", "held_out", "p.lang_pred", "p.score"))
 
 
-def keep_languages(docs: DataFrame, text: str = "text", lang: str = "lang", min_score: float = 0.02) -> DataFrame:
-    """Filter: rows whose language is known and whose cosine reaches ``min_score``; same columns."""
+def noise_bound(languages: int, dim: int = DIM) -> float:
+    """Cosine that a text in none of so many languages hardly reaches: unrelated vectors have a standard deviation of 1 / sqrt(dim),
+    whatever their letters, and the largest of several cosines lies sqrt(2 ln languages) of them higher."""
+    return (NOISE + float(np.sqrt(2 * np.log(max(1, languages))))) / float(np.sqrt(dim))
+
+
+def alphabet(docs: DataFrame, text: str = "text", lang: str = "lang") -> frozenset[str]:
+    """Letters that hold 1 / ``COMMON`` of a language's letters or more: at most ``COMMON`` a language."""
+    def count(batches):
+        for b in batches:
+            texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for i, j in _chunks(texts):
+                for name in sorted(set(langs[i:j])):
+                    codes = np.frombuffer("".join(t for t, x in zip(texts[i:j], langs[i:j], strict=True) if x == name).lower().encode("utf-32-le", "surrogatepass"), "<u4")
+                    n = np.bincount(codes, minlength=1)
+                    at = np.flatnonzero(n * _letter_flags()[:len(n)])
+                    yield pa.record_batch({"lang": pa.array([name] * len(at), pa.string()), "code": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
+
+    known = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).where("t is not null and l is not null")
+    counts = known.mapInArrow(count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    whole = counts.groupBy("lang").agg(F.sum("n").alias("all"))
+    rows = counts.join(whole, "lang").where(F.col("n") * COMMON >= F.col("all")).select("code").distinct()
+    return frozenset(map(chr, rows.toArrow().column(0).to_pylist()))
+
+
+def short_known(text: Column, letters: frozenset[str]) -> Column:
+    """Whether a text has letters, fewer than ``FEW``, and half of them or more are in ``letters``."""
+    @F.arrow_udf("boolean")
+    def run(t: pa.Array) -> pa.Array:
+        out = []
+        for s in t.to_pylist():
+            n = hit = 0
+            for c in s or "":
+                if c.isalpha():
+                    n += 1
+                    hit += c.lower()[0] in letters
+                    if n == FEW:
+                        break
+            out.append(0 < n < FEW and 2 * hit >= n)
+        return pa.array(out, pa.bool_())
+    return run(text)
+
+
+def keep_languages(docs: DataFrame, text: str = "text", lang: str = "lang", min_score: float | None = None) -> DataFrame:
+    """Filter: rows whose language is known and whose cosine reaches ``min_score`` (`noise_bound` if not given); same columns.  A text of fewer
+    than ``FEW`` letters, whose cosine may lie under the noise in its own language too, also stays if half of its letters are a language's."""
     prototypes = learn(docs, text, lang)
+    least = noise_bound(len(prototypes)) if min_score is None else min_score
     return with_language(docs, prototypes, text).where(
-        (F.col("__language.lang_pred") != UNKNOWN) & (F.col("__language.score") >= min_score)).drop("__language")
+        (F.col("__language.lang_pred") != UNKNOWN) & ((F.col("__language.score") >= least) | short_known(F.col(text), alphabet(docs, text, lang)))).drop("__language")
