@@ -44,3 +44,15 @@ def test_edges(spark):
     out = pieces.with_ids(df, PATH)
     assert out.columns == [*df.columns, "piece_ids"] and out.where(F.col("n_pieces") > 0).count() == len(rows) - 2
     assert pieces.round_trip(df.limit(0), PATH).collect() == []
+
+
+def test_stage_decodes(spark):
+    import corpus_pipeline
+    rows = [(i, t) for i, t in enumerate([*ODD, None, "un été à l'île", "\u2581 marked"])]
+    out = corpus_pipeline.sentencepiece(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert out.columns == ["doc_id", "text", "piece_ids", "n_pieces", "decoded_same"]
+    for r in out.collect():
+        ids = None if r.text is None else LIB.encode(r.text)
+        assert (r.piece_ids, r.n_pieces) == (ids, len(ids or []))
+        assert r.decoded_same is (None if ids is None else pieces.model(PATH).decode(ids) == r.text)
+    assert {r.doc_id for r in out.where("decoded_same").collect()} >= set(range(len(ODD)))

@@ -233,3 +233,10 @@ def with_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs with ``piece_ids`` and ``n_pieces`` (columns of these names are replaced)."""
     out = docs.withColumn("piece_ids", encode(F.col(text), path))
     return out.withColumn("n_pieces", F.when(F.col("piece_ids").isNull(), 0).otherwise(F.size("piece_ids")))
+
+
+def with_checked_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """`with_ids` and ``decoded_same``: whether decoding the ids gives the text again (null: no text).  A text is encoded once."""
+    out = docs.withColumn("__coded", encode_checked(F.col(text), path)).withColumn("piece_ids", F.col("__coded.ids"))
+    return (out.withColumn("n_pieces", F.when(F.col("piece_ids").isNull(), 0).otherwise(F.size("piece_ids")))
+            .withColumn("decoded_same", F.col("__coded.same")).drop("__coded"))
