@@ -60,3 +60,16 @@ def test_coverage():
     words = frozenset(["pass", "word", "password", "the"])
     assert secrets.coverage("thepassword1", words, 8) == 11 / 12 and secrets.coverage("x9", words, 8) == 0
     assert secrets.luhn("4532015112830366") and not secrets.luhn("4532015112830367")
+
+
+def test_each_label_has_its_share(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(secrets, "MAX_LABELLED", 30)
+    rng = random.Random(5)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    dates = [(i, f"on 20{rng.randrange(10, 30)}-0{rng.randrange(1, 10)}-{rng.randrange(10, 29)}-build-{rng.randrange(10**6)} of") for i in range(6000)]
+    copies = [(10_000 + i, "on 2024-01-15-build-7 of") for i in range(3000)]  # one passage in a third of all documents
+    real = [(20_000 + i, f"password={hexa(18)}9 of") for i in range(12)]
+    df = spark.createDataFrame([(d, t, "a.log") for d, t in dates + copies + real], "doc_id long, text string, source string")
+    got = {r.doc_id: r.is_secret for r in secrets.scan(df).collect()}
+    assert all(got[d] for d, _ in real) and sum(got[d] for d, _ in dates + copies) == 0

@@ -7,8 +7,8 @@ parts).  The dictionary is the words that hold 1 / ``DICTIONARY`` of all words o
 
 Labelled findings come from a table or, if there is none, from published formats: an access key id of a cloud provider or a value
 assigned to a credential's name is a secret; a payment card number (Luhn), an id in hyphens, a number next to a date or a
-phone's + is none; others have no label.  The forest never sees a rule's verdict as a feature, is trained on at most ``MAX_LABELLED`` labelled findings
-(those with the smallest hash) outside the held-out fold of texts, and judges every candidate.
+phone's + is none; others have no label.  The forest never sees a rule's verdict as a feature, is trained on at most ``MAX_LABELLED`` labelled findings of each
+label (those with the smallest hash of the value; equal values are one) outside the held-out fold, and judges every candidate.
 
 Defined results: null and empty texts have no candidates; a null path has no path features.  With labels of one kind only all candidates get it;
 with none, score 0.5.  Repeated rows repeat their findings.  Empty tables give no rows.  Other columns are not read.  Texts are scanned whole."""
@@ -21,6 +21,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -107,14 +108,14 @@ def dictionary(docs: DataFrame, text: str = "text") -> list[str]:
 
 
 def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """doc_id, start (code points), length, f (features), rule (label by format or null), held (crc32 of the value, the fold)."""
+    """doc_id, start (code points), length, f (features), rule (label by format or null), held (crc32 of the value, the fold), value (its 64-bit hash)."""
     kind = dict(docs.dtypes)[id_col]
     shared = docs.sparkSession.sparkContext.broadcast((frozenset(words), max(map(len, words), default=0)))
 
     def run(batches):
         known, longest = shared.value
         for b in batches:
-            at, start, size, f, rule, crc = [], [], [], [], [], []
+            at, start, size, f, rule, crc, value = [], [], [], [], [], [], []
             for r, (t, p) in enumerate(zip(b.column(1), b.column(2).to_pylist(), strict=True)):
                 s = t.as_py()
                 if not s:
@@ -130,24 +131,29 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text:
                     f.append(features(v, before, after, p, known, longest))
                     rule.append(rule_label(v, before))
                     crc.append(zlib.crc32(v.encode()))
-            yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(f, pa.list_(pa.float64())), pa.array(rule, pa.int32()), pa.array(crc, pa.int64())],
-                                  ["doc_id", "start", "length", "f", "rule", "held"])
+                    value.append(xxhash.xxh3_64_intdigest(v.encode()) - (1 << 63))
+            yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(f, pa.list_(pa.float64())), pa.array(rule, pa.int32()), pa.array(crc, pa.int64()), pa.array(value, pa.int64())],
+                                  ["doc_id", "start", "length", "f", "rule", "held", "value"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("t"), F.col(path).cast("string").alias("p") if path in docs.columns else F.lit(None).cast("string").alias("p"))
-    return rows.mapInArrow(run, f"doc_id {kind}, start long, length long, f array<double>, rule int, held long")
+    return rows.mapInArrow(run, f"doc_id {kind}, start long, length long, f array<double>, rule int, held long, value long")
 
 
 def judge(found: DataFrame, labelled: DataFrame) -> DataFrame:
-    """found with score and is_secret; labelled: findings (f, label, h: a hash that spreads them) to learn from."""
+    """found with score and is_secret; labelled: findings (f, label, h: a hash of the value, so that equal findings are one) to learn from."""
     usable = labelled.where("label in (0, 1)")
-    # about twice the sample passes by hash, wherever it lies; of these the first are taken
-    share = min(1.0, 2 * MAX_LABELLED / max(1, usable.count()))
-    pool = usable.where(F.pmod("h", F.lit(1 << 20)) < F.lit(round(share * (1 << 20))))
-    pick = stored(pool.orderBy("h", "label").limit(MAX_LABELLED).select(array_to_vector("f").alias("features"), F.col("label").cast("double").alias("label")), "findings")
-    kinds = {int(r["label"]): r["n"] for r in pick.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kinds = {int(r["label"]): r["n"] for r in usable.select("label", "h").distinct().groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(kinds) < 2:
         score = F.lit({0: 0.0, 1: 1.0}[next(iter(kinds))] if kinds else 0.5)
         return found.withColumn("score", score).withColumn("is_secret", score >= CUT)
+    # of each label about twice its sample passes by hash, wherever it lies; of these the first are taken
+    picks = []
+    for label, n in sorted(kinds.items()):
+        share = min(1.0, 2 * MAX_LABELLED / n)
+        pool = usable.where((F.col("label") == label) & (F.pmod("h", F.lit(1 << 40)) < F.lit(round(share * (1 << 40)))))
+        picks.append(pool.groupBy("h").agg(F.min("f").alias("f")).orderBy("h").limit(MAX_LABELLED).select(array_to_vector("f").alias("features"), F.lit(float(label)).alias("label")))
+    pick = stored(picks[0].union(picks[1]), "findings")
+    kinds = {k: min(n, MAX_LABELLED) for k, n in kinds.items()}
     weight = F.when(F.col("label") == 1, F.lit(0.5 / kinds[1])).otherwise(F.lit(0.5 / kinds[0])) * sum(kinds.values())
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, weightCol="w", probabilityCol="p", predictionCol="y", rawPredictionCol="r").fit(pick.withColumn("w", weight))
     out = forest.transform(found.withColumn("features", array_to_vector("f"))).withColumn("score", vector_to_array("p")[1])
@@ -157,5 +163,5 @@ def judge(found: DataFrame, labelled: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = "source", folds: int = 5) -> DataFrame:
     """Findings of all documents: doc_id, start, length, held_out, score, is_secret and the format's verdict (null: none)."""
     found = stored(candidates(docs, dictionary(docs, text), id_col, text, path), "candidates")
-    learn = found.where((F.col("held") % folds != 0) & F.col("rule").isNotNull()).select("f", F.col("rule").alias("label"), F.xxhash64("doc_id", "start", "f").alias("h"))
+    learn = found.where((F.col("held") % folds != 0) & F.col("rule").isNotNull()).select("f", F.col("rule").alias("label"), F.col("value").alias("h"))
     return judge(found, learn).select("doc_id", "start", "length", (F.col("held") % folds == 0).alias("held_out"), "score", "is_secret", "rule")
