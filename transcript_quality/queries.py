@@ -707,15 +707,15 @@ def latest_version(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ models (rows-only checks)
-SMALL_GBT = TrainingConfig(gbt=GBTConfig(n_estimators=10, max_depth=4), split_key="path")
+FULL_GBT = TrainingConfig()
 
 
 @register("gbt_metrics")
 def gbt_metrics(spark, sf_dir):
     from transcript_quality.operators import model as ML
     train, test = PR.train_test(prepared_view(spark, sf_dir), "path", 0.2, 42)
-    m = ML.fit(train, SMALL_GBT)
-    met = ML.metrics(ML.predict(m, test, SMALL_GBT), SMALL_GBT)
+    m = ML.fit(train, FULL_GBT)
+    met = ML.metrics(ML.predict(m, test, FULL_GBT), FULL_GBT)
     return spark.createDataFrame([(met["spearman_rho"], met["spearman_p_value"], met["rmse"], met["num_samples"])],
                                  "spearman_rho double, spearman_p_value double, rmse double, num_samples long")
 
@@ -724,7 +724,7 @@ def gbt_metrics(spark, sf_dir):
 def importance(spark, sf_dir):
     from transcript_quality.operators import model as ML
     train, _ = PR.train_test(prepared_view(spark, sf_dir), "path", 0.2, 42)
-    return ML.feature_importance(ML.fit(train, SMALL_GBT), list(FEATURES))
+    return ML.feature_importance(ML.fit(train, FULL_GBT), list(FEATURES))
 
 
 # ------------------------------------------------------------------ streaming (stream = batch)
