@@ -1110,11 +1110,11 @@ def stream_snr_histogram(spark, sf_dir):
     run = _run_dir(spark, "snr_histogram")
     ev = table(spark, sf_dir, "events")
     for _ in range(2):
-        ev.coalesce(1).write.mode("append").parquet(f"{run}/landing")
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/landing")
-    scored = stream.select("event_id", "ts", (F.col("value") / 5.0 - 10).alias("snr_db"))
-    hist = SM.windowed_histogram_stream(scored, "ts", "snr_db", "2 days", STANDIN_MONITOR.snr_buckets, watermark="3 days",
-                                        dedupe_key="event_id", slide="1 day")
-    SM.run_to_table(hist, f"{run}/out", f"{run}/checkpoint")
+        ev.write.mode("append").parquet(f"{run}/landing")
+        stream = spark.readStream.schema(ev.schema).parquet(f"{run}/landing")
+        scored = stream.select("event_id", "ts", (F.col("value") / 5.0 - 10).alias("snr_db"))
+        hist = SM.windowed_histogram_stream(scored, "ts", "snr_db", "2 days", STANDIN_MONITOR.snr_buckets, watermark="3 days",
+                                            dedupe_key="event_id", slide="1 day")
+        SM.run_to_table(hist, f"{run}/out", f"{run}/checkpoint")  # all files of a landing are one micro-batch
     out = SM.latest_per_key(spark, f"{run}/out", ["window_start"])
     return out.select("window_start", "n", rd("sum", 4).alias("sum"), *[f"b{i}" for i in range(len(STANDIN_MONITOR.snr_buckets))])
