@@ -73,3 +73,16 @@ def test_each_label_has_its_share(spark, monkeypatch):
     df = spark.createDataFrame([(d, t, "a.log") for d, t in dates + copies + real], "doc_id long, text string, source string")
     got = {r.doc_id: r.is_secret for r in secrets.scan(df).collect()}
     assert all(got[d] for d, _ in real) and sum(got[d] for d, _ in dates + copies) == 0
+
+
+def test_assigned_values_of_any_kind(spark):
+    rows = [(1, "password=Sup3rPass9 of"), (2, "the client_secret=qWeRtYuIoPasdfghjk, it"), (3, "pwd: \"p@ss!w0rd\" is"), (4, "token = 7f6a4438a367e265b6e1 it"), (5, "at 10:30 a=b, password="), (6, "no value")]
+    df = spark.createDataFrame([(d, t, "a.py") for d, t in rows], "doc_id long, text string, source string")
+    texts = dict(rows)
+    got = sorted((r.doc_id, texts[r.doc_id][r.start:r.start + r.length], r.rule) for r in secrets.candidates(df, []).collect())
+    assert got == [(1, "Sup3rPass9", None), (2, "qWeRtYuIoPasdfghjk", None), (3, "p@ss!w0rd", None), (4, "7f6a4438a367e265b6e1", 1)]
+    import random
+    rng = random.Random(4)
+    many = [(10 + i, f"password={''.join(rng.choice('0123456789abcdef') for _ in range(18))}9 of" if i % 2 else f"on 2024-01-15-build-{rng.randrange(10**6)} of", "a.py") for i in range(200)]
+    judged = {r.doc_id: r.is_secret for r in secrets.scan(df.union(spark.createDataFrame(many, df.schema))).collect()}
+    assert judged[1] and judged[2] and judged.keys() >= {1, 2, 3, 4}

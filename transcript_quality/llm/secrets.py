@@ -1,6 +1,7 @@
 """Secret scans: candidate strings, and a random forest that removes the false ones.
 
-A candidate is a run of at least ``SHORTEST`` letters, digits, ``+ / _ -`` (and closing ``=``) that has a digit or is a provider's key format.  Its features: length, character
+A candidate is a run of at least ``SHORTEST`` letters, digits, ``+ / _ -`` (and closing ``=``) that has a digit or is a provider's key format, or
+any value that stands behind an assignment to a credential's name, whatever its length and characters (the formats don't label such a value).  Its features: length, character
 shares, entropy, the rates of the 16 transitions between lower case, upper case, digit and other, the share of its characters that dictionary
 words cover, what stands right before it, key words and hashed words among its neighbours, and its path (hashed
 parts).  The dictionary is the words that hold 1 / ``DICTIONARY`` of all words of all documents or more, so at most that many.
@@ -43,6 +44,8 @@ _DIGIT = re.compile("[0-9]")
 GOOD_WORDS = ("key", "token", "secret", "password", "passwd", "pwd", "auth", "bearer", "credential", "login")
 BAD_WORDS = ("card", "order", "invoice", "phone", "isbn", "uuid", "sha", "md5", "commit", "checksum", "version", "date")
 _ASSIGNED = re.compile(r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)[\"']?\s*[:=]\s*[\"']?$", re.I)
+_SIGN = re.compile(r"[:=]\s*[\"']?")
+_VALUE = re.compile(r"[^\s\"'`,;]+")
 _PROVIDER = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{10,}")
 _UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
 _DATED = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}.*")
@@ -107,6 +110,19 @@ def dictionary(docs: DataFrame, text: str = "text") -> list[str]:
     return sorted({w for w in text_words if len(w) > 2 and w.isalpha()})
 
 
+def found(s: str):
+    """(start, end, assigned) of a text's candidates; assigned: only what stands before makes it one, so the formats don't label it."""
+    starts = set()
+    for m in _RUN.finditer(s):
+        if _DIGIT.search(m.group()) or _PROVIDER.fullmatch(m.group()):
+            starts.add(m.start())
+            yield m.start(), m.end(), False
+    for sign in _SIGN.finditer(s):
+        a = sign.end()
+        if a not in starts and _ASSIGNED.search(s[max(0, a - AROUND):a]) and (m := _VALUE.match(s, a)):
+            yield a, m.end(), True
+
+
 def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
     """doc_id, start (code points), length, f (features), rule (label by format or null), held (crc32 of the value, the fold), value (its 64-bit hash)."""
     kind = dict(docs.dtypes)[id_col]
@@ -120,16 +136,13 @@ def candidates(docs: DataFrame, words: list[str], id_col: str = "doc_id", text:
                 s = t.as_py()
                 if not s:
                     continue
-                for m in _RUN.finditer(s):
-                    v = m.group()
-                    if not _DIGIT.search(v) and not _PROVIDER.fullmatch(v):
-                        continue
-                    before, after = s[max(0, m.start() - AROUND):m.start()], s[m.end():m.end() + AROUND]
+                for a, e, assigned in found(s):
+                    v, before, after = s[a:e], s[max(0, a - AROUND):a], s[e:e + AROUND]
                     at.append(r)
-                    start.append(m.start())
+                    start.append(a)
                     size.append(len(v))
                     f.append(features(v, before, after, p, known, longest))
-                    rule.append(rule_label(v, before))
+                    rule.append(None if assigned else rule_label(v, before))
                     crc.append(zlib.crc32(v.encode()))
                     value.append(xxhash.xxh3_64_intdigest(v.encode()) - (1 << 63))
             yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(f, pa.list_(pa.float64())), pa.array(rule, pa.int32()), pa.array(crc, pa.int64()), pa.array(value, pa.int64())],
