@@ -92,7 +92,7 @@ def local(rows, sizes, monkeypatch):
     return rows, sorted(out)
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(2))
 @pytest.mark.parametrize("sizes", [{}, {"PIECE": 300, "SLICE": 900, "SORTED": 500}, {"PIECE": 70, "SLICE": 1, "SORTED": 10}])
 def test_steps_against_brute_force(monkeypatch, seed, sizes):
     rows, got = local(made(seed), sizes, monkeypatch)

@@ -34,10 +34,12 @@ WINDOW = 50
 GRAM = 16
 #: Bytes hashed at a time; bytes of a slice that are packed together; bytes whose suffixes are sorted together.
 PIECE = 2 << 20
-SLICE = 12 << 20
+SLICE = 16 << 20
 SORTED = 1 << 20
 #: Region bytes of a shard, roughly.
-SHARD = 12 << 20
+SHARD = 24 << 20
+#: A region's hash travels with so many bytes; more regions than equal ones may share them, which only makes them meet.
+NAME_BYTES = 3
 ID_BITS = 26
 LAST = (1 << 63) - 1
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -113,28 +115,49 @@ def _send(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, shards: int):
     h, doc, start, n = h[keep], doc[keep], start[keep], n[keep]
     spread = mix(h + np.uint64(1))
     shard = (spread % np.uint64(shards)).astype(np.int64)
-    by = np.lexsort((spread, shard))
+    by = np.lexsort((start, doc, shard))
     cuts = np.append(run_starts(shard[by]), len(by))
-    pack = zstandard.ZstdCompressor(level=1)
+    pack = zstandard.ZstdCompressor(level=3)
     packed = []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         x = by[a:b]
-        body = b"".join([texts[d][s:s + k] for d, s, k in zip(doc[x].tolist(), start[x].tolist(), (n[x] + WINDOW - 1).tolist(), strict=True)])
-        head = np.unique(doc[x], return_inverse=True)
-        meta = (spread[x].astype(np.uint32).tobytes(), ids[head[0]].tobytes(), keys[head[0]].tobytes(), head[1].astype(np.int32).tobytes(), start[x].tobytes(), n[x].astype(np.int32).tobytes())
-        packed.append((int(shard[x[0]]), len(x), len(head[0]), pack.compress(b"".join(meta)), pack.compress(body)))
+        d = doc[x]
+        body = b"".join([texts[i][s:s + k] for i, s, k in zip(d.tolist(), start[x].tolist(), (n[x] + WINDOW - 1).tolist(), strict=True)])
+        own = np.unique(d)
+        at = np.searchsorted(own, d)
+        gap = np.where(np.diff(at, prepend=-1) == 0, np.diff(start[x], prepend=0), start[x])
+        name = (spread[x] >> np.uint64(64 - 8 * NAME_BYTES)).astype(np.int64)
+        meta = _planes(name, NAME_BYTES) + _planes(np.diff(at, prepend=0)) + _planes(gap) + _planes(n[x]) + ids[own].tobytes() + keys[own].tobytes()
+        packed.append((int(shard[x[0]]), len(x), len(own), pack.compress(meta), pack.compress(body)))
     return packed, (ids[inner[0]], keys[inner[0]], inner[1], inner[2])
 
 
+def _planes(x: np.ndarray, size: int = 8) -> bytes:
+    """Numbers byte by byte: all first bytes, all second bytes ...; the zeros of small numbers then lie together."""
+    return x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes()
+
+
+def _unplaned(raw: bytes, at: int, n: int, size: int = 8) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T
+    return out.view("<i8").ravel()
+
+
 def _unpack(rows: list[tuple]):
     """Arrays of all regions of a shard: hash, id, key, start, windows, offset of the text, and the joined texts."""
     un, parts, bodies = zstandard.ZstdDecompressor(), [], []
     for n, docs, meta, body in rows:
         raw, at, cols = un.decompress(meta), 0, []
-        for kind, k in ((np.uint32, n), (np.int64, docs), (np.int64, docs), (np.int32, n), (np.int64, n), (np.int32, n)):
-            cols.append(np.frombuffer(raw, kind, k, at))
-            at += cols[-1].nbytes
-        parts.append((cols[0], cols[1][cols[3]], cols[2][cols[3]], cols[4], cols[5].astype(np.int64)))
+        for size in (NAME_BYTES, 8, 8, 8):
+            cols.append(_unplaned(raw, at, n, size))
+            at += n * size
+        name, doc, gap, count = cols
+        doc = np.cumsum(doc)
+        far = np.cumsum(gap)
+        first = np.diff(doc, prepend=-1) != 0
+        start = far - np.repeat((far - gap)[first], np.diff(np.append(np.flatnonzero(first), n)))
+        ids, keys = np.frombuffer(raw, np.int64, docs, at), np.frombuffer(raw, np.int64, docs, at + 8 * docs)
+        parts.append((name, ids[doc], keys[doc], start, count))
         bodies.append(un.decompress(body))
     h, ids, keys, start, n = (np.concatenate(c) for c in zip(*parts, strict=True))
     size = n + WINDOW - 1
@@ -248,6 +271,8 @@ def _judge(rows: list[tuple]):
     return ids[new[d]], keys[new[d]], start, n
 
 
+#: Repeats of one row on their way.
+THROUGH = 1 << 14
 _FOUND = "id long, key long, start long, n long"
 
 
@@ -265,21 +290,23 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         for b in batches:
             texts = [x.as_py() for x in b.column(2)]
             for lo, hi in slices([len(x) for x in texts], SLICE):
-                packed, inner = _send(texts[lo:hi], b.column(0).to_numpy()[lo:hi], b.column(1).to_numpy()[lo:hi], shards)
-                if packed:
-                    s, k, d, meta, body = zip(*packed, strict=True)
-                    nil = pa.nulls(len(s), pa.int64())
-                    yield pa.record_batch([pa.array(s, pa.int32()), pa.array(k, pa.int64()), pa.array(d, pa.int64()), pa.array(meta, pa.binary()), pa.array(body, pa.binary()), nil, nil, nil, nil],
-                                          ["shard", "k", "d", "meta", "body", "id", "key", "start", "n"])
-                if len(inner[0]):
-                    m = len(inner[0])
-                    yield pa.record_batch([pa.nulls(m, pa.int32()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()), *_found(inner).columns],
-                                          ["shard", "k", "d", "meta", "body", "id", "key", "start", "n"])
+                packed, (i, key, start, n) = _send(texts[lo:hi], b.column(0).to_numpy()[lo:hi], b.column(1).to_numpy()[lo:hi], shards)
+                # repeats found here already go through as rows of any shard
+                for a in range(0, len(i), THROUGH):
+                    c = slice(a, a + THROUGH)
+                    packed.append((int(i[a] % shards), -len(i[c]), 0, b"".join(x[c].astype(np.int64).tobytes() for x in (i, key, start, n)), b""))
+                for row in packed:
+                    yield pa.record_batch([pa.array([x]) for x in row], schema=sent)
+
+    sent = pa.schema([("shard", pa.int64()), ("k", pa.int64()), ("d", pa.int64()), ("meta", pa.binary()), ("body", pa.binary())])
 
     def judge(batches):
         rows, shard = [], None
         for b in batches:
-            for s, *row in zip(*(b.column(c).to_pylist() for c in range(5)), strict=True):
+            for s, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if row[0] < 0:
+                    yield _found(np.frombuffer(row[2], np.int64).reshape(4, -1))
+                    continue
                 if s != shard and rows:
                     if out := _judge(rows):
                         yield _found(out)
@@ -289,11 +316,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         if rows and (out := _judge(rows)):
             yield _found(out)
 
-    sent = stored(docs.select("id", "key", "t").mapInArrow(send, f"shard int, k long, d long, meta binary, body binary, {_FOUND}"), "regions")
-    inner = sent.where("shard is null").select("id", "key", "start", "n")
-    judged = (sent.where("shard is not null").select("shard", "k", "d", "meta", "body").repartition(partitions, "shard")
-              .sortWithinPartitions("shard").mapInArrow(judge, _FOUND))
-    return stored(inner.unionByName(judged), "repeats")
+    return stored(docs.select("id", "key", "t").mapInArrow(send, "shard long, k long, d long, meta binary, body binary").repartition(partitions, "shard")
+                  .sortWithinPartitions("shard").mapInArrow(judge, _FOUND), "repeats")
 
 
 def _cut(text: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[int, int, bytes]:
