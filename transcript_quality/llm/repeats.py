@@ -5,8 +5,8 @@ id.  Windows that are equal must meet in one shard, so each goes where its small
 neighbours mostly share it, and a run of them is sent once, as one region of text.  A slice of documents sends equal regions once, from
 its first document (in the others they are repeats already); copies of a passage therefore cost a shard one region a slice.
 
-A shard takes the regions of each hash that comes from two documents or more, keeps equal ones once, sorts the suffixes of their joined
-bytes by induced sorting (`suffixes`), and computes the permuted common prefixes.  Neighbours in the suffix array with ``WINDOW``
+A shard takes the regions of each hash that comes from two documents or more, keeps equal ones once (the first document's stands for all), sorts the
+suffixes of the joined bytes of those that differ by induced sorting (`suffixes`), and computes the permuted common prefixes.  Neighbours in the suffix array with ``WINDOW``
 common bytes are one group; a window of a later document than the group's first is a repeat.  Hashes only choose where windows
 meet: equal regions are compared as bytes.
 
@@ -34,7 +34,7 @@ WINDOW = 50
 GRAM = 16
 #: Bytes hashed at a time; bytes of a slice that are packed together; bytes whose suffixes are sorted together.
 PIECE = 2 << 20
-SLICE = 16 << 20
+SLICE = 8 << 20
 SORTED = 1 << 20
 #: Region bytes of a shard, roughly.
 SHARD = 24 << 20
@@ -95,14 +95,13 @@ def _send(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, shards: int):
     """The slice's regions, packed for each shard, and the repeats inside the slice as (document, start, windows)."""
     order = sorted(range(len(texts)), key=lambda i: (ids[i], keys[i]))
     texts, ids, keys = [texts[i] for i in order], ids[order], keys[order]
-    h, doc, start, n = regions(texts)
-    by = np.lexsort((start, doc, h))
-    h, doc, start, n = h[by], doc[by], start[by], n[by]
-    heads = run_starts(h)
-    several = np.repeat(ids[doc[heads]] != ids[doc[np.append(heads[1:], len(h)) - 1]], np.diff(np.append(heads, len(h)))) if len(h) else np.zeros(0, bool)
+    h, doc, start, n = regions(texts)  # in the order of ids and starts
+    by = np.argsort(h, kind="stable")
+    heads = run_starts(h[by])
+    several = np.repeat(ids[doc[by[heads]]] != ids[doc[by[np.append(heads[1:], len(h)) - 1]]], np.diff(np.append(heads, len(h)))) if len(h) else np.zeros(0, bool)
     seen: dict[bytes, int] = {}
     again, last = [], -1
-    for x in np.flatnonzero(several).tolist():
+    for x in by[several].tolist():
         if h[x] != last:
             seen, last = {}, h[x]
         d, s = doc[x], start[x]
@@ -115,7 +114,7 @@ def _send(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, shards: int):
     h, doc, start, n = h[keep], doc[keep], start[keep], n[keep]
     spread = mix(h + np.uint64(1))
     shard = (spread % np.uint64(shards)).astype(np.int64)
-    by = np.lexsort((start, doc, shard))
+    by = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
     cuts = np.append(run_starts(shard[by]), len(by))
     pack = zstandard.ZstdCompressor(level=3)
     packed = []
@@ -238,11 +237,15 @@ def _judge(rows: list[tuple]):
     own = np.asarray(own)
     copy = ids > ids[own[rep]]
     found = [(ids[copy], keys[copy], start[copy], n[copy])]
-    texts = [body[a:a + m] for a, m in zip(at[own].tolist(), (n[own] + WINDOW - 1).tolist(), strict=True)]
-    later: list = []
-    for a, b in _groups_of_texts(n[own] + WINDOW - 1, h[own]):
-        big = (h[own[a]] == h[own[b - 1]])
-        later += (_split if big else later_windows)(texts[a:b], ids[own[a:b]])
+    # a hash with one region left has no other text to be compared with
+    heads = run_starts(h[own])
+    sort = np.flatnonzero(np.repeat(np.diff(np.append(heads, len(own))) > 1, np.diff(np.append(heads, len(own)))))
+    texts = [body[a:a + m] for a, m in zip(at[own[sort]].tolist(), (n[own[sort]] + WINDOW - 1).tolist(), strict=True)]
+    later = [np.zeros(m, bool) for m in n[own].tolist()]
+    for a, b in _groups_of_texts(n[own[sort]] + WINDOW - 1, h[own[sort]]):
+        x = own[sort[a:b]]
+        for i, y in zip(sort[a:b].tolist(), (_split if h[x[0]] == h[x[-1]] else later_windows)(texts[a:b], ids[x]), strict=True):
+            later[i] = y
     own_size = np.asarray([len(x) for x in later])
     flat = np.concatenate(later) if later else np.zeros(0, bool)
     offset = np.cumsum(own_size) - own_size

@@ -71,32 +71,42 @@ def _induce_letters(t: np.ndarray, lms: np.ndarray, first: np.ndarray, last: np.
 
 
 def _ranks(keys: np.ndarray) -> np.ndarray:
-    """Dense ranks: 0 for the smallest key."""
-    order = np.argsort(keys)
-    out = np.zeros(len(keys), np.int64)
-    out[order[1:]] = np.cumsum(keys[order[1:]] != keys[order[:-1]])
+    """Dense ranks: 0 for the smallest key (keys are not negative)."""
+    n, out = len(keys), np.zeros(len(keys), np.int64)
+    bits = max(1, (n - 1).bit_length())
+    if n and int(keys.max()).bit_length() + bits < 64:  # sorting numbers is several times faster than sorting their places
+        both = np.sort(keys << bits | np.arange(n))
+        order, keys = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(keys)
+        keys = keys[order]
+    out[order[1:]] = np.cumsum(keys[1:] != keys[:-1])
     return out
 
 
-def _induce_names(t: np.ndarray, lms: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Ranks of all suffixes by their names up to the next leftmost-smaller suffix, and by that one's ``rank``.
+def _induce_names(t: np.ndarray, lms: np.ndarray, rank: np.ndarray | None) -> np.ndarray:
+    """Ranks of all suffixes by their names up to the next leftmost-smaller suffix, and by that one's ``rank`` (None: by its name alone).
 
     A suffix reaches the next leftmost-smaller one by a chain of followers; the chains are followed by doubling.  A name's
     class goes before what comes later: at the same name a suffix larger than its follower is smaller."""
-    m = len(t)
-    kind = np.append(2 * t + _smaller(t) + 1, 0)  # the end is smallest
+    m, here = len(t), np.arange(len(t))
+    kind = 2 * t + _smaller(t)
+    of_lms = np.bincount(kind[lms], minlength=int(kind.max()) + 1)
+    fewer = np.cumsum(of_lms) - of_lms  # leftmost-smaller suffixes of smaller kinds
     known = np.zeros(m + 1, np.int64)
-    known[lms] = rank
-    end = np.append(lms, m)[np.searchsorted(lms, np.arange(m), side="right")]
-    r, h, longest = _ranks(kind[:-1]), 1, int((end - np.arange(m)).max())
+    known[lms] = fewer[kind[lms]] if rank is None else rank
+    end = np.append(lms, m)[np.searchsorted(lms, here, side="right")]
+    r, h, longest = (np.cumsum(np.bincount(kind) > 0) - 1)[kind], 1, int((end - here).max())
+    one = np.zeros(m, np.int64)
     while h <= longest:
-        to = np.minimum(np.arange(m) + h, end)
-        inside = np.arange(m) + h < end
-        then = np.where(inside, r[np.minimum(to, m - 1)], known[to])
-        done = np.arange(m) + h > end
-        kinds = kind[to]
-        kinds[done] = then[done] = 0
-        r = _ranks((r * (int(kind.max()) + 1) + kinds) * (m + 1) + then)
+        one[r] = here
+        upto = np.cumsum(np.bincount(kind[one[:int(r.max()) + 1]], minlength=len(fewer)))  # ranks of kinds up to each
+        far = here + h
+        to = np.minimum(far, np.minimum(end, m - 1))
+        k = kind[to]
+        then = 1 + np.where(far < end, r[to] + fewer[k], known[to] + upto[k])
+        then[(far > end) | (far >= m)] = 0  # nothing follows, or it is in the rank already
+        r = _ranks(r * (2 * m + 2) + then)
         h *= 2
     return r
 
@@ -124,7 +134,7 @@ def _name_ranks(t: np.ndarray) -> np.ndarray:
     if len(t) < 2:
         return np.zeros(len(t), np.int64)
     lms = _leftmost(t)
-    names = _ranks(_induce_names(t, lms, np.zeros(len(lms), np.int64))[lms])
+    names = _ranks(_induce_names(t, lms, None)[lms])
     if len(lms) and names.max() + 1 < len(lms):
         names = _name_ranks(names)
     return _induce_names(t, lms, names)
