@@ -23,6 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from transcript_quality.llm.suffixes import permuted_common_prefixes, suffix_arr
 WINDOW = 50
 GRAM = 16
 #: Bytes hashed at a time; bytes of a slice that are packed together; bytes whose suffixes are sorted together.
-PIECE = 2 << 20
+PIECE = 1 << 19
 SLICE = 8 << 20
 SORTED = 1 << 20
 #: Region bytes of a shard, roughly.
@@ -291,9 +292,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 
     def send(batches):
         for b in batches:
-            texts = [x.as_py() for x in b.column(2)]
-            for lo, hi in slices([len(x) for x in texts], SLICE):
-                packed, (i, key, start, n) = _send(texts[lo:hi], b.column(0).to_numpy()[lo:hi], b.column(1).to_numpy()[lo:hi], shards)
+            for lo, hi in slices(pc.binary_length(b.column(2)).to_pylist(), SLICE):
+                texts = b.column(2).slice(lo, hi - lo).to_pylist()
+                packed, (i, key, start, n) = _send(texts, b.column(0).to_numpy()[lo:hi], b.column(1).to_numpy()[lo:hi], shards)
                 # repeats found here already go through as rows of any shard
                 for a in range(0, len(i), THROUGH):
                     c = slice(a, a + THROUGH)
