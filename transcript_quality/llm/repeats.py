@@ -38,7 +38,7 @@ PIECE = 1 << 19
 SLICE = 8 << 20
 SORTED = 1 << 20
 #: Region bytes of a shard, roughly.
-SHARD = 24 << 20
+SHARD = 12 << 20
 #: A region's hash travels with so many bytes; more regions than equal ones may share them, which only makes them meet.
 NAME_BYTES = 3
 ID_BITS = 26
@@ -287,8 +287,8 @@ def _found(cols) -> pa.RecordBatch:
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """docs (id, key, t) -> (id, key, start, n): n windows from start on also start in a document of a smaller id."""
     total = docs.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    partitions = max(1, -(-total * 4 // (4 * SHARD)))
-    shards = 4 * partitions
+    partitions = max(1, -(-total * 4 // (2 * SHARD)))  # regions overlap: they hold about four times the text
+    shards = 2 * partitions
 
     def send(batches):
         for b in batches:
@@ -307,7 +307,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     def judge(batches):
         rows, shard = [], None
         for b in batches:
-            for s, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for s, *row in (tuple(x.as_py() for x in r) for r in zip(*b.columns, strict=True)):
                 if row[0] < 0:
                     yield _found(np.frombuffer(row[2], np.int64).reshape(4, -1))
                     continue
