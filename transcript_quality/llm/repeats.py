@@ -21,7 +21,6 @@ long text is worked on in overlapping pieces of ``PIECE`` bytes."""
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
@@ -35,7 +34,7 @@ WINDOW = 50
 GRAM = 16
 #: Bytes hashed at a time; bytes of a slice that are packed together; bytes whose suffixes are sorted together.
 PIECE = 1 << 19
-SLICE = 8 << 20
+SLICE = 6 << 20
 SORTED = 1 << 20
 #: Region bytes of a shard, roughly.
 SHARD = 12 << 20
@@ -365,10 +364,10 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     found = repeated_windows(rows)
     shared = docs.sparkSession.sparkContext.broadcast(_id_bitmap(found.select("id").distinct()))
 
-    @F.pandas_udf("boolean")
-    def bitmap_test(at: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def bitmap_test(at: pa.Array) -> pa.Array:
         x = at.to_numpy()
-        return pd.Series((shared.value[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool))
+        return pa.array((shared.value[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool))
 
     asked = rows.withColumn("hit", bitmap_test(_id_bit("id")))
     spans = found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
@@ -377,14 +376,15 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
     def run(batches):
         for b in batches:
-            out = []
-            for t, s, n in zip(b.column(1), b.column(2), b.column(3), strict=True):
-                t = t.as_py()
-                none = not s.is_valid
-                out.append((len(t), *_cut(t, *(np.zeros(0, np.int64) if none else c.values.to_numpy() for c in (s, n)))))
-            size, gone, spans_, kept = zip(*out, strict=True)
-            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans_, pa.int64()), pa.array(kept, pa.binary())],
-                                  ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            for lo, hi in slices(pc.binary_length(b.column(1)).to_pylist()):
+                part, out = b.slice(lo, hi - lo), []
+                for t, s, n in zip(*part.columns[1:], strict=True):
+                    t = t.as_py()
+                    at = (c.values.to_numpy() if c.is_valid else np.zeros(0, np.int64) for c in (s, n))
+                    out.append((len(t), *_cut(t, *at)))
+                size, gone, runs, kept = zip(*out, strict=True)
+                yield pa.record_batch([part.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
+                                      ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
     return hit.unionByName(free).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
