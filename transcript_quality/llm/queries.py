@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transcript_quality.llm import decontaminate, langid, linededup, lm, pieces, quality, repeats, rules, secrets, simhash, tokenfiles
+from transcript_quality.llm import decontaminate, langid, linededup, lm, pieces, quality, repeats, rules, secrets, simhash, tokenfiles, variants
 from transcript_quality.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.cut_repeats(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
