@@ -4,8 +4,11 @@ The trie is a table: one row a node (a prefix of some word) with its children, e
 ends there, and the letters that go on from it.  A state (word, position, node, edits) is joined with its node's row once a level and
 gives the states of the next level: the same letter (no edit), another letter, a letter of the trie only, or, on the spot, a letter of the word
 only.  A state with an edit is made only where the trie goes on with its next letter or ends.  States whose word is used up at the end of another word, with
-one edit, are that word's neighbours.  The frontier is written every ``LEVELS`` levels.  Shallow nodes, where all words meet, are kept
-``SALT`` times and the words dealt over them.
+one edit, are that word's neighbours.  The frontier is written every ``LEVELS`` levels.
+
+One edit leaves the first or the second half of a word as it is.  So every word walks twice, from the left and, in a trie of reversed words, from the
+right, and enters at the node of its first half: edits come only where the trie is deep and thin.  The two tries are one table: a mark before the first letter tells them apart.
+The shallowest nodes, where many words enter, are kept ``SALT`` times and the words dealt over them.
 
 Words over ``LONGEST`` letters would need a level a letter; a pair with such a word shares its first or its second half (cut by the
 shorter word's length), so these are joined by the hash of a half and checked with the edit distance.
@@ -31,7 +34,8 @@ RUN = re.compile("[a-zÀ-ÿ]+")
 SHORTEST, RAREST, MODULUS = 5, 3, 97
 LONGEST = 64
 LEVELS = 3
-SALT, SHALLOW = 32, 3
+#: A node of a mark and two letters, the shallowest at which a word enters.
+SALT, SHALLOW = 16, 1 + SHORTEST // 2
 
 
 def runs_of(doc_id, text: bytes) -> Counter:
@@ -65,14 +69,14 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """(node, salt, children: array of (ch, n, next)); n is null where no word ends."""
-    prefix = words.select("word", "n", F.explode(F.expr("sequence(1, char_length(word))")).alias("d"))
+    """(node, salt, children: array of (ch, n, next)) of nodes of SHALLOW letters or more; n is null where no word ends."""
+    prefix = words.select("word", "n", F.explode(F.expr(f"sequence({SHALLOW + 1}, char_length(word))")).alias("d"))
     nodes = (prefix.select(F.expr("substring(word, 1, d)").alias("child"), F.when(F.expr("d = char_length(word)"), F.col("n")).alias("n"),
                            F.expr("substring(word, d + 1, 1)").alias("go"))
              .groupBy("child").agg(F.max("n").alias("n"), F.array_join(F.array_sort(F.collect_set("go")), "").alias("next")))
     rows = (nodes.select(F.expr("substring(child, 1, char_length(child) - 1)").alias("node"), F.struct(F.expr("right(child, 1)").alias("ch"), "n", "next").alias("c"))
             .groupBy("node").agg(F.collect_list("c").alias("children")))
-    salts = F.when(F.length("node") < SHALLOW, F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
+    salts = F.when(F.length("node") <= SHALLOW, F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
     return rows.withColumn("salt", F.explode(salts))
 
 
@@ -92,11 +96,14 @@ _ALIVE = """s.e = 0 OR (s.i = char_length(word) AND s.n IS NOT NULL) OR (s.i < c
 def _near_in_trie(words: DataFrame) -> DataFrame:
     """(word, near, n) for all words of LONGEST letters at most."""
     spark = words.sparkSession
-    words = words.where(F.length("word") <= LONGEST)
+    short = words.where(F.length("word") <= LONGEST)
+    words = short.select(F.concat(F.lit(">"), "word").alias("word"), "n").union(short.select(F.concat(F.lit("<"), F.reverse("word")), "n"))
     nodes = stored(trie(words), "trie")
-    salt = F.when(F.length("node") < SHALLOW, F.pmod(F.xxhash64("word"), F.lit(SALT))).otherwise(F.lit(0)).cast("int")
-    now = words.select("word", F.explode(F.expr("array(struct(0 AS i, 0 AS e), struct(1 AS i, 1 AS e))")).alias("s")).select(
-        "word", F.col("s.i").alias("i"), F.lit("").alias("node"), F.col("s.e").alias("e"), F.lit(None).cast("long").alias("n"))
+    salt = F.when(F.length("node") <= SHALLOW, F.pmod(F.xxhash64("word"), F.lit(SALT))).otherwise(F.lit(0)).cast("int")
+    half = "1 + (char_length(word) - 1) div 2"
+    now = words.select("word", F.explode(F.expr(f"array(struct(cast({half} AS int) AS i, 0 AS e), struct(cast({half} + 1 AS int) AS i, 1 AS e))")).alias("s"),
+                       F.expr(f"substring(word, 1, cast({half} AS int))").alias("node")).select(
+        "word", F.col("s.i").alias("i"), "node", F.col("s.e").alias("e"), F.lit(None).cast("long").alias("n"))
     found = spark.createDataFrame([], "word string, near string, n long")
     ended = "e = 1 AND i = char_length(word)"
     while True:
@@ -110,7 +117,8 @@ def _near_in_trie(words: DataFrame) -> DataFrame:
         found = found.union(now.where(ended).select("word", F.col("node").alias("near"), "n"))
         now = now.where(f"NOT ({ended})")
         if now.isEmpty():
-            return found.distinct()
+            own = [F.when(F.startswith(F.col(c), F.lit("<")), F.reverse(F.substring(c, F.lit(2), F.length(c)))).otherwise(F.substring(c, F.lit(2), F.length(c))).alias(c) for c in ("word", "near")]
+            return found.select(*own, "n").distinct()
 
 
 def _near_long(words: DataFrame) -> DataFrame:
