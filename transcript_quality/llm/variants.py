@@ -1,10 +1,10 @@
 """Spelling variants: words one edit apart, found by a frontier that walks a distributed trie level by level.
 
-The trie is a table: one row a node (a prefix of some word) with its children, each with its letter, the count of the word that
-ends there, and the letters that go on from it.  A state (word, position, node, edits) is joined with its node's row once a level and
+The trie is a table of edges: node (a prefix of some word), letter, the count of the word that ends behind it, and a 64-bit mark of the letters that
+go on from there.  A state (word, position, node, edits) is joined with its node's edges once a level and
 gives the states of the next level: the same letter (no edit), another letter, a letter of the trie only, or, on the spot, a letter of the word
 only.  A state with an edit is made only where the trie goes on with its next letter or ends.  States whose word is used up at the end of another word, with
-one edit, are that word's neighbours.  The frontier is written every ``LEVELS`` levels.
+one edit, are that word's neighbours.  The frontier is written once a level.
 
 One edit leaves the first or the second half of a word as it is.  So every word walks twice, from the left and, in a trie of reversed words, from the
 right, and enters at the node of its first half: edits come only where the trie is deep and thin.  The two tries are one table: a mark before the first letter tells them apart.
@@ -33,7 +33,6 @@ from transcript_quality.llm.common import slices, stored
 RUN = re.compile("[a-zÀ-ÿ]+")
 SHORTEST, RAREST, MODULUS = 5, 3, 97
 LONGEST = 64
-LEVELS = 3
 #: A node of a mark and two letters, the shallowest at which a word enters.
 SALT, SHALLOW = 16, 1 + SHORTEST // 2
 
@@ -68,29 +67,29 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= RAREST)
 
 
+def _mark(letter: str) -> str:
+    """SQL of a letter's bit (0 for the empty string)."""
+    return f"CASE WHEN {letter} = '' THEN 0L ELSE shiftleft(1L, ascii({letter}) % 64) END"
+
+
 def trie(words: DataFrame) -> DataFrame:
-    """(node, salt, children: array of (ch, n, next)) of nodes of SHALLOW letters or more; n is null where no word ends."""
+    """Edges (node, salt, ch, ends, go) from nodes of SHALLOW letters or more; ends is the count of the word that ends behind the edge, or null."""
     prefix = words.select("word", "n", F.explode(F.expr(f"sequence({SHALLOW + 1}, char_length(word))")).alias("d"))
-    nodes = (prefix.select(F.expr("substring(word, 1, d)").alias("child"), F.when(F.expr("d = char_length(word)"), F.col("n")).alias("n"),
-                           F.expr("substring(word, d + 1, 1)").alias("go"))
-             .groupBy("child").agg(F.max("n").alias("n"), F.array_join(F.array_sort(F.collect_set("go")), "").alias("next")))
-    rows = (nodes.select(F.expr("substring(child, 1, char_length(child) - 1)").alias("node"), F.struct(F.expr("right(child, 1)").alias("ch"), "n", "next").alias("c"))
-            .groupBy("node").agg(F.collect_list("c").alias("children")))
+    edges = (prefix.select(F.expr("substring(word, 1, d)").alias("child"), F.expr("CASE WHEN d = char_length(word) THEN n END").alias("n"),
+                           F.expr(_mark("substring(word, d + 1, 1)")).alias("bit"))
+             .groupBy("child").agg(F.max("n").alias("ends"), F.bit_or("bit").alias("go")))
+    rows = edges.select(F.expr("substring(child, 1, char_length(child) - 1)").alias("node"), F.expr("right(child, 1)").alias("ch"), "ends", "go")
     salts = F.when(F.length("node") <= SHALLOW, F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
     return rows.withColumn("salt", F.explode(salts))
 
 
-#: What follows a state at a node with the given children.
-_STEP = """
-CASE WHEN children IS NULL THEN array()
-     WHEN e = 1 THEN transform(filter(children, c -> c.ch = substring(word, i + 1, 1)), c -> struct(i + 1 AS i, concat(node, c.ch) AS node, 1 AS e, c.n AS n, c.next AS next))
-     ELSE flatten(transform(children, c -> CASE WHEN i < char_length(word) THEN array(
-            struct(i + 1 AS i, concat(node, c.ch) AS node, CASE WHEN c.ch = substring(word, i + 1, 1) THEN 0 ELSE 1 END AS e, c.n AS n, c.next AS next),
-            struct(i AS i, concat(node, c.ch) AS node, 1 AS e, c.n AS n, c.next AS next),
-            struct(CASE WHEN c.ch = substring(word, i + 1, 1) THEN i + 2 ELSE 1000000 END AS i, concat(node, c.ch) AS node, 1 AS e, c.n AS n, c.next AS next))
-          ELSE array(struct(i AS i, concat(node, c.ch) AS node, 1 AS e, c.n AS n, c.next AS next)) END)) END"""
-#: Whether a state can still end in a word.
-_ALIVE = """s.e = 0 OR (s.i = char_length(word) AND s.n IS NOT NULL) OR (s.i < char_length(word) AND instr(s.next, substring(word, s.i + 1, 1)) > 0)"""
+#: What follows a state along an edge: letters that meet, a letter of the trie only, or, behind letters that meet, a letter of the word only.
+_STEP = """explode(array(struct(i + 1 AS i, CASE WHEN e = 1 OR same THEN e ELSE 1 END AS e, i < char_length(word) AS ok),
+                         struct(i AS i, 1 AS e, e = 0 AS ok),
+                         struct(i + 2 AS i, 1 AS e, e = 0 AND same AND i + 1 < char_length(word) AS ok)))"""
+#: Whether the new state can still end in a word.
+_ALIVE = f"""s.ok AND (s.e = 0 OR (s.i = char_length(word) AND ends IS NOT NULL)
+             OR (s.i < char_length(word) AND (go & {_mark("substring(word, s.i + 1, 1)")}) != 0))"""
 
 
 def _near_in_trie(words: DataFrame) -> DataFrame:
@@ -102,20 +101,15 @@ def _near_in_trie(words: DataFrame) -> DataFrame:
     salt = F.when(F.length("node") <= SHALLOW, F.pmod(F.xxhash64("word"), F.lit(SALT))).otherwise(F.lit(0)).cast("int")
     half = "1 + (char_length(word) - 1) div 2"
     now = words.select("word", F.explode(F.expr(f"array(struct(cast({half} AS int) AS i, 0 AS e), struct(cast({half} + 1 AS int) AS i, 1 AS e))")).alias("s"),
-                       F.expr(f"substring(word, 1, cast({half} AS int))").alias("node")).select(
-        "word", F.col("s.i").alias("i"), "node", F.col("s.e").alias("e"), F.lit(None).cast("long").alias("n"))
+                       F.expr(f"substring(word, 1, cast({half} AS int))").alias("node")).select("word", F.col("s.i").alias("i"), "node", F.col("s.e").alias("e"))
     found = spark.createDataFrame([], "word string, near string, n long")
     ended = "e = 1 AND i = char_length(word)"
     while True:
-        for _ in range(LEVELS):
-            # ended states find no node and go through as they are
-            met = now.withColumn("salt", salt).withColumn("at", F.expr(f"CASE WHEN {ended} THEN NULL ELSE node END"))
-            met = met.join(nodes.select(F.col("node").alias("at"), "salt", "children"), ["at", "salt"], "left")
-            step = F.expr(f"CASE WHEN {ended} THEN array(struct(i AS i, node AS node, e AS e, n AS n, '' AS next)) ELSE filter({_STEP}, s -> {_ALIVE}) END")
-            now = met.select("word", F.explode(step).alias("s")).select("word", "s.i", "s.node", "s.e", "s.n")
-        now = stored(now, "frontier")
-        found = found.union(now.where(ended).select("word", F.col("node").alias("near"), "n"))
-        now = now.where(f"NOT ({ended})")
+        met = now.withColumn("salt", salt).join(nodes, ["node", "salt"]).where("e = 0 OR ch = substring(word, i + 1, 1)")
+        step = met.withColumn("same", F.expr("ch = substring(word, i + 1, 1)")).select("word", "node", "ch", "ends", "go", F.expr(_STEP).alias("s"))
+        now = stored(step.where(_ALIVE).select("word", "s.i", F.concat("node", "ch").alias("node"), "s.e", "ends"), "frontier")
+        found = found.union(now.where(ended).select("word", F.col("node").alias("near"), F.col("ends").alias("n")))
+        now = now.where(f"NOT ({ended})").drop("ends")
         if now.isEmpty():
             own = [F.when(F.startswith(F.col(c), F.lit("<")), F.reverse(F.substring(c, F.lit(2), F.length(c)))).otherwise(F.substring(c, F.lit(2), F.length(c))).alias(c) for c in ("word", "near")]
             return found.select(*own, "n").distinct()
