@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from transcript_quality.llm import decontaminate, langid, linededup, lm, pieces, quality, repeats, rules, secrets, simhash, tokenfiles, variants
+from transcript_quality.llm import decontaminate, langid, linededup, lm, pieces, quality, repeats, rules, secrets, signatures, simhash, tokenfiles, variants
 from transcript_quality.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,11 @@ def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signatures.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_ranked_search"] = signatures.ORACLE.strip()
