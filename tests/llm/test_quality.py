@@ -60,3 +60,9 @@ def test_edges(spark):
     assert len(rows) == 7 and got[2] == got[3] == 0 and got[1] > 0.5 > got[4] and got[None] > 0.5
     assert all(r.score == 0 for r in Q.quality(docs, labels.limit(0)).collect())
     assert Q.quality(docs.limit(0), labels).collect() == []
+
+
+def test_labels_of_absent_texts_take_no_place(spark):
+    docs = spark.createDataFrame([(i, "good text %d" % i if i % 2 else "BAD BAD %d" % i) for i in range(40)] + [(1000 + i, None) for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(1000 + i, i % 2) for i in range(600)], "doc_id long, quality int")
+    assert sorted(Q.learn(docs, labels, per_class=20).y.tolist()) == [0] * 20 + [1] * 20

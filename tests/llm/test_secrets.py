@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from transcript_quality.llm import queries, secrets
 
 SF = "/root/testdata/sf0.01"
@@ -86,3 +88,12 @@ def test_assigned_values_of_any_kind(spark):
     many = [(10 + i, f"password={''.join(rng.choice('0123456789abcdef') for _ in range(18))}9 of" if i % 2 else f"on 2024-01-15-build-{rng.randrange(10**6)} of", "a.py") for i in range(200)]
     judged = {r.doc_id: r.is_secret for r in secrets.scan(df.union(spark.createDataFrame(many, df.schema))).collect()}
     assert judged[1] and judged[2] and judged.keys() >= {1, 2, 3, 4}
+
+
+def test_runs_in_a_session_that_observed_a_write(spark, tmp_path):
+    """A fitted forest with its training summary can't be sent to tasks once an Observation was made."""
+    from pyspark.sql import Observation
+    seen = Observation("rows")
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(str(tmp_path / "t"))
+    assert seen.get["n"] == 3
+    queries.op9_secret_scan(spark, SF).write.format("noop").mode("overwrite").save()

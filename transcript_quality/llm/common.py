@@ -78,3 +78,28 @@ def run_starts(*keys: np.ndarray) -> np.ndarray:
     for k in keys:
         new[1:] |= k[1:] != k[:-1]
     return np.flatnonzero(new)
+
+
+#: Bits of a bitmap of ids.
+ID_BITS = 26
+
+
+def id_bit(c: str):
+    return F.xxhash64(c).bitwiseAND(F.lit((1 << ID_BITS) - 1))
+
+
+def id_bitmap(ids: DataFrame) -> np.ndarray:
+    """A bitmap of 2 ** ID_BITS bits (8 MB) in which the ids' bits are set."""
+    def run(batches):
+        for b in batches:
+            for c, bits in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                piece = np.zeros(1 << 15, bool)
+                piece[bits.values.to_numpy()] = True
+                yield pa.record_batch([pa.array([c], pa.int32()), pa.array([np.packbits(piece, bitorder="little").tobytes()], pa.binary())], ["piece", "bits"])
+    at = id_bit("id")
+    pieces = ids.select(F.shiftright(at, 15).cast("int").alias("piece"), at.bitwiseAND(F.lit(0x7FFF)).cast("int").alias("bit")).groupBy("piece").agg(F.collect_set("bit").alias("bits"))
+    out = np.zeros((1 << (ID_BITS - 15), 1 << 12), np.uint8)
+    got = pieces.mapInArrow(run, "piece int, bits binary").toArrow()
+    for c, bits in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
+        out[c] = np.frombuffer(bits, np.uint8)
+    return out.ravel()

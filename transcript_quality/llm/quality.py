@@ -101,7 +101,8 @@ def _first(cos: np.ndarray, k: int) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", per_class: int = PER_CLASS) -> Model:
     """docs and labels are what may be learned from."""
     agreed = (labels.where("quality in (0, 1)").groupBy(F.col(id_col).alias("i")).agg(F.min("quality").alias("y"), F.max("quality").alias("y1"))
-              .where("y = y1 and i is not null").withColumn("h", F.xxhash64("i")))
+              .where("y = y1 and i is not null").withColumn("h", F.xxhash64("i"))
+              .join(docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("i")), "i", "left_semi"))  # labels of absent or null texts take no place
     pick = [agreed.where(F.col("y") == y).orderBy("h", "i").limit(per_class) for y in (0, 1)]
     chosen = F.broadcast(pick[0].union(pick[1]).select("i", "y", "h"))  # at most 2 * per_class rows
     rows = (docs.select(F.col(id_col).alias("i"), F.col(text).cast("binary").alias("t")).where("t is not null").join(chosen, "i")

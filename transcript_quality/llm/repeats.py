@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transcript_quality.llm.common import run_starts, slices, stored
+from transcript_quality.llm.common import id_bit, id_bitmap, run_starts, slices, stored
 from transcript_quality.llm.suffixes import permuted_common_prefixes, suffix_array, words8
 
 WINDOW = 50
@@ -40,7 +40,6 @@ SORTED = 1 << 20
 SHARD = 12 << 20
 #: A region's hash travels with so many bytes; more regions than equal ones may share them, which only makes them meet.
 NAME_BYTES = 3
-ID_BITS = 26
 LAST = (1 << 63) - 1
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -335,41 +334,20 @@ def _cut(text: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[int, int,
     return int((b - a).sum()), len(a), b"".join(keep)
 
 
-def _id_bit(c: str):
-    return F.xxhash64(c).bitwiseAND(F.lit((1 << ID_BITS) - 1))
-
-
-def _id_bitmap(ids: DataFrame) -> np.ndarray:
-    """A bitmap of 2 ** ID_BITS bits (8 MB) in which the ids' bits are set."""
-    def run(batches):
-        for b in batches:
-            for c, bits in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                piece = np.zeros(1 << 15, bool)
-                piece[bits.values.to_numpy()] = True
-                yield pa.record_batch([pa.array([c], pa.int32()), pa.array([np.packbits(piece, bitorder="little").tobytes()], pa.binary())], ["piece", "bits"])
-    at = _id_bit("id")
-    pieces = ids.select(F.shiftright(at, 15).cast("int").alias("piece"), at.bitwiseAND(F.lit(0x7FFF)).cast("int").alias("bit")).groupBy("piece").agg(F.collect_set("bit").alias("bits"))
-    out = np.zeros((1 << (ID_BITS - 15), 1 << 12), np.uint8)
-    got = pieces.mapInArrow(run, "piece int, bits binary").toArrow()
-    for c, bits in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
-        out[c] = np.frombuffer(bits, np.uint8)
-    return out.ravel()
-
-
 def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans, and ``kept`` (the bytes that are left)."""
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t"))
     rows = rows.withColumn("key", F.xxhash64("t"))
     found = repeated_windows(rows)
-    shared = docs.sparkSession.sparkContext.broadcast(_id_bitmap(found.select("id").distinct()))
+    shared = docs.sparkSession.sparkContext.broadcast(id_bitmap(found.select("id").distinct()))
 
     @F.arrow_udf("boolean")
     def bitmap_test(at: pa.Array) -> pa.Array:
         x = at.to_numpy()
         return pa.array((shared.value[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool))
 
-    asked = rows.withColumn("hit", bitmap_test(_id_bit("id")))
+    asked = rows.withColumn("hit", bitmap_test(id_bit("id")))
     spans = found.groupBy("id", "key").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     hit = asked.where("hit").join(spans, ["id", "key"], "left").select("doc_id", "t", F.col("spans.start").alias("s"), F.col("spans.n").alias("n"))
     free = asked.where("not hit").select("doc_id", "t", F.lit(None).cast("array<long>").alias("s"), F.lit(None).cast("array<long>").alias("n"))

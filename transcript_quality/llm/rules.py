@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from transcript_quality.llm.common import id_bit, id_bitmap
+
 BUCKETS = 1 << 16
 THRESHOLD = -0.2
 SYMBOLS = b"#*$%&|<>"
@@ -73,22 +75,32 @@ def grams(words: list[bytes]) -> np.ndarray:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> np.ndarray:
     """ln(p_target / p_raw) of each bucket, from all documents."""
-    good = labels.groupBy(F.col(id_col).alias("i")).agg(F.min("quality").alias("q")).where("q = 1").select("i", F.lit(True).alias("good"))
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text).cast("binary").alias("t")).where("t is not null").join(good, "i", "left").select("t", "good")
-
-    def count(batches):
-        total = np.zeros((2, BUCKETS), np.int64)
-        for b in batches:
-            for t, g in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                n = np.bincount(grams(t.as_py().split()), minlength=BUCKETS)
-                total[0] += n
-                if g:
-                    total[1] += n
-        at = np.flatnonzero(total[0])
-        yield pa.record_batch({"bucket": pa.array(at.astype(np.int32)), "raw": pa.array(total[0][at]), "target": pa.array(total[1][at])})
+    good = labels.groupBy(F.col(id_col).alias("i")).agg(F.min("quality").alias("q")).where("q = 1 and i is not null").select("i")
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text).cast("binary").alias("t")).where("t is not null")
+
+    def counts(texts: DataFrame, name: str) -> DataFrame:
+        def count(batches):
+            total = np.zeros(BUCKETS, np.int64)
+            for b in batches:
+                for t in b.column(0):
+                    total += np.bincount(grams(t.as_py().split()), minlength=BUCKETS)
+            at = np.flatnonzero(total)
+            yield pa.record_batch({"bucket": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
+        return texts.mapInArrow(count, "bucket int, n long").select("bucket", *(F.col("n").alias(c) if c == name else F.lit(0).cast("long").alias(c) for c in ("raw", "target")))
+
+    # the corpus is counted where it is read; only texts whose id may be a trusted one (a fixed bitmap tells) go to the join
+    shared = docs.sparkSession.sparkContext.broadcast(id_bitmap(good.select(F.col("i").alias("id"))))
+
+    @F.arrow_udf("boolean")
+    def may_be_good(at: pa.Array) -> pa.Array:
+        x = at.to_numpy()
+        return pa.array((shared.value[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool))
+
+    trusted = rows.where(may_be_good(id_bit("i"))).join(good.hint("merge"), "i", "left_semi").select("t")
+    both = counts(rows.select("t"), "raw").union(counts(trusted, "target"))
 
     # at most BUCKETS rows reach the driver
-    found = rows.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
+    found = both.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
     raw, target = np.ones(BUCKETS), np.ones(BUCKETS)
     at = found.column("bucket").to_numpy()
     raw[at] += found.column("raw").to_numpy()

@@ -18,18 +18,20 @@ from __future__ import annotations
 
 
 import re
+import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from transcript_quality.llm.common import stored
 from transcript_quality.llm.lm import END, token_counts
+from transcript_quality.session import shared_dir
 
 SHORTEST = 12
 DICTIONARY = 1 << 14
@@ -169,6 +171,10 @@ def judge(found: DataFrame, labelled: DataFrame) -> DataFrame:
     kinds = {k: min(n, MAX_LABELLED) for k, n in kinds.items()}
     weight = F.when(F.col("label") == 1, F.lit(0.5 / kinds[1])).otherwise(F.lit(0.5 / kinds[0])) * sum(kinds.values())
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, weightCol="w", probabilityCol="p", predictionCol="y", rawPredictionCol="r").fit(pick.withColumn("w", weight))
+    # scored with the forest alone, read back from the shared folder: a fitted one keeps its training summary, and with it the session
+    path = shared_dir(found.sparkSession, "llm", f"forest-{uuid.uuid4().hex}")
+    forest.write().overwrite().save(path)
+    forest = RandomForestClassificationModel.load(path)
     out = forest.transform(found.withColumn("features", array_to_vector("f"))).withColumn("score", vector_to_array("p")[1])
     return out.withColumn("is_secret", F.col("score") >= CUT).drop("features", "p", "y", "r")
 
