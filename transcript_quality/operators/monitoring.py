@@ -1,17 +1,18 @@
 """Batch monitoring of scored traffic: histograms, rates, quantiles, levels and alerts.
 
 Counter and histogram series are rebuilt from event-time rows.  Everything is pre-aggregated to
-evaluation steps first (partial aggregation, one row per step and series), so the windows that
-follow run over a series whose length is bounded by time span / step, not by data volume.
+evaluation steps first (partial aggregation, one row per step and series).  Trailing windows and alert states are intervals
+(`operators.intervals`): exact over any gap, with no row for steps at which nothing changes.
 Rates are exact counts over event time divided by the window length (no counter extrapolation).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from transcript_quality.config import MonitorConfig
+from transcript_quality.operators.intervals import each_step, state_intervals, window_intervals
 
 
 def seconds(duration: str) -> int:
@@ -117,103 +118,83 @@ def windowed_quantile(df: DataFrame, ts: str, col: str, window: str, q: float =
 
 
 # --------------------------------------------------------------------------- step series
-def step_counts(df: DataFrame, ts: str, step: str, measures: dict[str, Column],
-                group_cols=(), fill: int = 1, max_gap: int = 10_000) -> DataFrame:
-    """Per evaluation step (bucket ``[k*step, (k+1)*step)``) the given counts.  Between two steps that have rows the missing
-    ones count 0.  Of a gap of more than ``max_gap`` steps (or ``fill``, if that is more: the steps after which every window in
-    use is empty) only so many steps are listed, and the last one, where the empty run ends.  So a stray
-    timestamp adds a bounded number of rows, and the windows and alert states of the listed steps stay exact."""
-    st = seconds(step)
-    k = F.floor(epoch_seconds(ts) / st).cast("long")
-    counts = df.groupBy(*group_cols, k.alias("k")).agg(
-        *[m.alias(name) for name, m in measures.items()])
-    following = F.lead("k").over(Window.partitionBy(*group_cols).orderBy("k"))
-    gaps = counts.withColumn("end", F.coalesce(following, F.col("k") + 1))
-    filled = F.sequence(F.col("k"), F.least(F.col("end") - 1, F.col("k") + max(fill, max_gap)))
-    steps = F.array_distinct(F.concat(filled, F.array(F.col("end") - 1)))
-    first = F.col("step") == F.col("k")
-    return gaps.withColumn("step", F.explode(steps)).select(
-        *group_cols, F.col("step").alias("k"), *[F.when(first, F.col(m)).otherwise(F.lit(0)).alias(m) for m in measures])
-
-
-def rolling(df: DataFrame, cols: list[str], steps: int, group_cols=()) -> DataFrame:
-    """Trailing sums over the last ``steps`` evaluation steps (inclusive of the current one)."""
-    w = Window.partitionBy(*group_cols).orderBy("k").rangeBetween(-(steps - 1), 0)
-    out = df
-    for c in cols:
-        out = out.withColumn(f"{c}_w", F.sum(c).over(w))
-    return out
+def step_counts(df: DataFrame, ts: str, step: str, measures: dict[str, Column], group_cols=()) -> DataFrame:
+    """Counts of each evaluation step (bucket ``[k*step, (k+1)*step)``) that has rows."""
+    k = F.floor(epoch_seconds(ts) / seconds(step)).cast("long")
+    return df.groupBy(*group_cols, k.alias("k")).agg(*[m.cast("long").alias(name) for name, m in measures.items()])
 
 
-def rate_series(df: DataFrame, ts: str, windows, step: str, group_cols=(),
-                where: Column | None = None) -> DataFrame:
-    """WIN-3: ``rate(x[w])`` for each w in ``windows``: rows (group..., step_end, window_sec,
-    n_in_window, rate) where rate = events in [step_end - w, step_end) / w seconds."""
+def rate_intervals(df: DataFrame, ts: str, windows, step: str, group_cols=(), where: Column | None = None) -> DataFrame:
+    """WIN-3: rows (group..., window_sec, k, to, n_in_window, rate), constant from step k up to step ``to``, for each w in ``windows``:
+    the events of the last w seconds, and these / w.  All windows are swept at once."""
     st = seconds(step)
     measure = F.count_if(where) if where is not None else F.count(F.lit(1))
     sizes = [seconds(w) for w in windows]
     for wdef, ws in zip(windows, sizes):
         if ws % st:
             raise ValueError(f"window {wdef} must be a multiple of the step {step}")
-    series = step_counts(df, ts, step, {"n": measure.cast("long")}, group_cols, max(sizes) // st)
-    # all windows side by side over one sorted series, then one row each
-    for ws in sizes:
-        over = Window.partitionBy(*group_cols).orderBy("k").rangeBetween(-(ws // st - 1), 0)
-        series = series.withColumn(f"n_{ws}", F.sum("n").over(over))
-    stacked = ", ".join(f"CAST({ws} AS BIGINT), n_{ws}" for ws in sizes)
-    return (series.selectExpr(*[f"`{g}`" for g in group_cols], f"(k + 1) * {st} AS step_end",
-                              f"stack({len(sizes)}, {stacked}) AS (window_sec, n_in_window)")
-            .withColumn("rate", F.col("n_in_window") / F.col("window_sec").cast("double")))
+    counts = step_counts(df, ts, step, {"n_in_window": measure}, group_cols).withColumn(
+        "window_sec", F.explode(F.array(*[F.lit(ws).cast("long") for ws in sizes])))
+    out = window_intervals(counts, ["n_in_window"], (F.col("window_sec") / st).cast("long"), (*group_cols, "window_sec"))
+    return out.drop("_part").withColumn("rate", F.col("n_in_window") / F.col("window_sec").cast("double"))
+
+
+def rate_series(df: DataFrame, ts: str, windows, step: str, group_cols=(),
+                where: Column | None = None) -> DataFrame:
+    """WIN-3: ``rate(x[w])`` for each w in ``windows``, a row a step: rows (group..., step_end, window_sec,
+    n_in_window, rate) where rate = events in [step_end - w, step_end) / w seconds."""
+    steps = each_step(rate_intervals(df, ts, windows, step, group_cols, where))
+    return steps.select(*group_cols, ((F.col("k") + 1) * seconds(step)).alias("step_end"), "window_sec", "n_in_window", "rate")
+
+
+def increase_intervals(df: DataFrame, ts: str, window: str, step: str, where: Column, levels=(1.0, 10.0)) -> DataFrame:
+    """WIN-4 + STM-6: rows (k, to, increase, level): ``increase(x[w])`` of a counter (events matching ``where``) with its level."""
+    counts = step_counts(df, ts, step, {"increase": F.count_if(where)})
+    out = window_intervals(counts, ["increase"], F.lit(seconds(window) // seconds(step)).cast("long"))
+    return out.drop("_part").withColumn("level", level(F.col("increase"), *levels))
 
 
 def increase_series(df: DataFrame, ts: str, window: str, step: str, where: Column,
                     levels=(1.0, 10.0)) -> DataFrame:
-    """WIN-4 + STM-6: ``increase(x[w])`` of a counter (events matching ``where``) per step, with
-    its level."""
-    st, ws = seconds(step), seconds(window)
-    dense = step_counts(df, ts, step, {"n": F.count_if(where).cast("long")}, fill=ws // st)
-    r = rolling(dense, ["n"], ws // st)
-    inc = F.col("n_w").cast("long")
-    return r.select(((F.col("k") + 1) * st).alias("step_end"), inc.alias("increase"),
-                    level(inc, *levels).alias("level"))
-
-
-def alert_state(series: DataFrame, value: Column, threshold: float, hold: str, step: str,
-                group_cols=()) -> DataFrame:
-    """WIN-5: Prometheus-style alert state per step: the condition ``value > threshold`` is
-    'pending' from its first true step and 'firing' once it has held for ``hold``.
-
-    Gaps and islands: the start of the current run of true steps is the last false step."""
-    st, hs = seconds(step), seconds(hold)
-    cond = _not_nan_gt(value, threshold)
-    s = series.withColumn("value", value).withColumn("cond", cond)
-    w = Window.partitionBy(*group_cols).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    last_false = F.max(F.when(~F.col("cond"), F.col("k"))).over(w)
-    first_k = F.min("k").over(Window.partitionBy(*group_cols))
-    run_start = F.coalesce(last_false + 1, first_k)
-    active_sec = (F.col("k") - F.col("run_start")) * st
-    return (s.withColumn("run_start", run_start)
-            .select(*group_cols, ((F.col("k") + 1) * st).alias("step_end"), "value",
-                    F.when(~F.col("cond"), "inactive")
-                    .when(active_sec >= hs, "firing").otherwise("pending").alias("state")))
+    """`increase_intervals`, a row a step."""
+    steps = each_step(increase_intervals(df, ts, window, step, where, levels))
+    return steps.select(((F.col("k") + 1) * seconds(step)).alias("step_end"), "increase", "level")
+
+
+def _hold_steps(hold: str, step: str) -> int:
+    return -(-seconds(hold) // seconds(step))
+
+
+def alert_value(hits: Column, requests: Column, window: str, mode: str) -> Column:
+    """What an alert compares: hits per second of the window ("rate"), or hits / requests ("ratio"; NULL without requests)."""
+    if mode not in ("rate", "ratio"):
+        raise ValueError(f"mode must be rate or ratio, not {mode}")
+    return (hits / F.lit(float(seconds(window))) if mode == "rate"
+            else F.try_divide(hits.cast("double"), requests.cast("double")))
+
+
+def alert_intervals(df: DataFrame, ts: str, hit: Column, window: str, hold: str, threshold: float, step: str, mode: str = "rate") -> DataFrame:
+    """WIN-5: rows (k, to, value, state), constant from step k up to step ``to``: ``value > threshold`` is 'pending' from its first true step
+    and 'firing' once it has held for ``hold``."""
+    counts = step_counts(df, ts, step, {"hits": F.count_if(hit), "requests": F.count(F.lit(1))})
+    series = window_intervals(counts, ["hits", "requests"], F.lit(seconds(window) // seconds(step)).cast("long"))
+    value = alert_value(F.col("hits"), F.col("requests"), window, mode)
+    return state_intervals(series, value, _not_nan_gt(value, threshold), _hold_steps(hold, step))
+
+
+def _alert_steps(intervals: DataFrame, step: str) -> DataFrame:
+    return each_step(intervals).select(((F.col("k") + 1) * seconds(step)).alias("step_end"), "value", "state")
 
 
 def error_rate_alert(df: DataFrame, ts: str, is_error: Column, cfg: MonitorConfig = MonitorConfig(),
-                     threshold: float | None = None) -> DataFrame:
-    """STM-8: 5xx rate over ``error_window`` > threshold per second, held ``error_hold``."""
-    st, ws = seconds(cfg.step), seconds(cfg.error_window)
-    dense = step_counts(df, ts, cfg.step, {"n": F.count_if(is_error).cast("long")}, fill=ws // st)
-    r = rolling(dense, ["n"], ws // st)
+                     threshold: float | None = None, mode: str = "rate") -> DataFrame:
+    """STM-8: 5xx rate over ``error_window`` > threshold per second (``mode="ratio"``: share of the requests), held
+    ``error_hold``; a row a step."""
     thr = cfg.error_threshold if threshold is None else threshold
-    return alert_state(r, F.col("n_w") / F.lit(float(ws)), thr, cfg.error_hold, cfg.step)
+    return _alert_steps(alert_intervals(df, ts, is_error, cfg.error_window, cfg.error_hold, thr, cfg.step, mode), cfg.step)
 
 
 def drift_alert(df: DataFrame, ts: str, flagged: Column, cfg: MonitorConfig = MonitorConfig()) -> DataFrame:
     """STM-9: low-quality rate / request rate over ``drift_window`` > threshold, held
-    ``drift_hold`` (ratio of sums over the same rows)."""
-    st, ws = seconds(cfg.step), seconds(cfg.drift_window)
-    dense = step_counts(df, ts, cfg.step, {"flagged": F.count_if(flagged).cast("long"),
-                                           "requests": F.count(F.lit(1)).cast("long")}, fill=ws // st)
-    r = rolling(dense, ["flagged", "requests"], ws // st)
-    ratio = F.try_divide(F.col("flagged_w").cast("double"), F.col("requests_w").cast("double"))
-    return alert_state(r, ratio, cfg.drift_threshold, cfg.drift_hold, cfg.step)
+    ``drift_hold`` (ratio of sums over the same rows); a row a step."""
+    return _alert_steps(alert_intervals(df, ts, flagged, cfg.drift_window, cfg.drift_hold, cfg.drift_threshold, cfg.step, "ratio"), cfg.step)

@@ -1118,3 +1118,32 @@ def stream_snr_histogram(spark, sf_dir):
         SM.run_to_table(hist, f"{run}/out", f"{run}/checkpoint")  # all files of a landing are one micro-batch
     out = SM.latest_per_key(spark, f"{run}/out", ["window_start"])
     return out.select("window_start", "n", rd("sum", 4).alias("sum"), *[f"b{i}" for i in range(len(STANDIN_MONITOR.snr_buckets))])
+
+
+def _alert_stream_sql() -> str:
+    """Both alerts without the last step, which the watermark has not passed."""
+    parts = []
+    for name, sql in (("error_rate", ORACLE["alert_error_rate"]), ("drift", ORACLE["alert_drift"])):
+        parts.append(f"SELECT '{name}' AS alert, * FROM ({sql}) WHERE step_end < (SELECT (max(CAST(floor(epoch(ts) / 3600) AS BIGINT)) + 1) * 3600 FROM events)")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("stream_alerts", _alert_stream_sql())
+def stream_alerts(spark, sf_dir):
+    """STM-8 / STM-9 on a stream: the events land in three parts of time, each read by a query of its own that goes on from the checkpoint (a restart between
+    them); the intervals of the alerts, a row a step."""
+    from transcript_quality.operators.intervals import each_step
+    from transcript_quality.sinks.writers import write_stream
+    from transcript_quality.streaming import alerts as SA
+    run = _run_dir(spark, "alerts")
+    rows = scored_view(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "status", "predicted_wer")
+    lo, hi = rows.agg(F.min("ts"), F.max("ts")).first()
+    alerts = SA.standard_alerts(F.col("status").cast("string").rlike("^5..$"), MON._not_nan_gt(F.col("predicted_wer"), 0.4), STANDIN_MONITOR)
+    for i in range(3):
+        part = rows if lo is None else rows.where((F.col("ts") >= F.lit(lo + (hi - lo) * i / 3)) & ((F.col("ts") < F.lit(lo + (hi - lo) * (i + 1) / 3)) if i < 2 else F.lit(True)))
+        part.write.mode("append").parquet(f"{run}/landing")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{run}/landing")
+        with SA.rocksdb_state(spark):
+            write_stream(SA.alert_stream(stream, "ts", alerts, STANDIN_MONITOR.step, "0 seconds"), f"{run}/out", f"{run}/checkpoint")
+    steps = each_step(spark.read.parquet(f"{run}/out").select("alert", "k", "to", "value", "state"))
+    return steps.select("alert", ((F.col("k") + 1) * 3600).alias("step_end"), rd("value").alias("value"), "state")
