@@ -8,8 +8,8 @@ The word-level distance is computed by Spark's built-in character ``levenshtein`
 a pair is coded as one supplementary-plane Unicode character, so two words are equal exactly when
 their characters are equal.  The code is a 20-bit hash of the word whenever that hash is
 injective on the pair's vocabulary (checked per pair), otherwise the word's position among the
-distinct words of the pair's shorter side (0 for words only the longer side has).  Everything stays inside the JVM; the cost is O(n*m) per pair like any edit distance,
-and nothing is shuffled.
+distinct words of the pair's shorter side (0 for words only the longer side has).  That stays inside the JVM and costs O(n*m) per pair; nothing is shuffled.
+Pairs of long texts go to the bit-parallel distance of `functions.edits` instead, which needs no code for their words.
 """
 
 from __future__ import annotations
@@ -18,9 +18,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from transcript_quality.functions.core import col_of as _c, let
+from transcript_quality.functions.edits import long_pair_edits
 
-# number of distinct words the shorter side of a pair can code: U+10001 .. U+10FFFF
-MAX_PAIR_VOCABULARY = 0x10FFFF - 0x10000
+# a pair is long from this product of its texts' characters, or of its word counts, on
+LONG_CHARS = 12_000 ** 2
+LONG_WORDS = 2_000 ** 2
 
 
 def base_filename(path) -> Column:
@@ -71,26 +73,34 @@ def _distance(r: Column, h: Column) -> Column:
     changes no distance, and the cost is O((n + m) * distinct words of the shorter side)."""
     def coded(v):
         injective = F.size(F.array_distinct(F.transform(v["u"], _hash_code))) == F.size(v["u"])
-        # no code for such a vocabulary: no distance (NULL), which the WER policy turns into its failed value
-        return (F.when(F.size(v["s"]) > MAX_PAIR_VOCABULARY, F.lit(None).cast("int"))
-                .when(injective, F.levenshtein(_hash_words(r), _hash_words(h)))
+        return (F.when(injective, F.levenshtein(_hash_words(r), _hash_words(h)))
                 .otherwise(F.levenshtein(_code_words(r, v["s"]), _code_words(h, v["s"]))))
     shorter = F.when(F.size(r) <= F.size(h), r).otherwise(h)
     return let(F.struct(F.array_distinct(F.concat(r, h)).alias("u"), F.array_distinct(shorter).alias("s")), coded)
 
 
+def _product(a: Column, b: Column) -> Column:
+    return F.coalesce(a.cast("long") * b.cast("long"), F.lit(0))
+
+
 def word_edit_distance(ref_words, hyp_words) -> Column:
     """Word-level Levenshtein distance between two ARRAY<STRING> columns."""
-    pair = F.struct(_c(ref_words).alias("r"), _c(hyp_words).alias("h"))
-    return let(pair, lambda p: _distance(p["r"], p["h"]))
+    r, h = _c(ref_words), _c(hyp_words)
+    long = _product(F.size(r), F.size(h)) >= F.lit(LONG_WORDS)
+    short = F.struct(F.when(~long, r).alias("r"), F.when(~long, h).alias("h"))
+    return F.when(long, long_pair_edits(F.when(long, r), F.when(long, h))).otherwise(let(short, lambda p: _distance(p["r"], p["h"])))
 
 
 def wer_parts(reference, hypothesis) -> Column:
     """STRUCT<ref_words INT, hyp_words INT, edits INT> with each text tokenised once."""
-    pair = F.struct(tokenize_words(reference).alias("r"), tokenize_words(hypothesis).alias("h"))
-    return let(pair, lambda p: F.struct(
-        F.size(p["r"]).alias("ref_words"), F.size(p["h"]).alias("hyp_words"),
-        _distance(p["r"], p["h"]).alias("edits")))
+    ref, hyp = _c(reference), _c(hypothesis)
+    long = _product(F.length(ref), F.length(hyp)) >= F.lit(LONG_CHARS)
+
+    def parts(r, h, edits):
+        return F.struct(F.size(r).alias("ref_words"), F.size(h).alias("hyp_words"), edits.alias("edits"))
+    short = F.struct(tokenize_words(F.when(~long, ref)).alias("r"), tokenize_words(F.when(~long, hyp)).alias("h"))
+    r, h = (F.when(long, tokenize_words(F.when(long, t))) for t in (ref, hyp))
+    return F.when(long, parts(r, h, long_pair_edits(r, h))).otherwise(let(short, lambda p: parts(p["r"], p["h"], _distance(p["r"], p["h"]))))
 
 
 def wer(reference, hypothesis) -> Column:
