@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from transcript_quality.llm import signatures as S
@@ -54,9 +55,9 @@ def test_bounds_never_below_the_score():
     docs = [(d, Counter(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(rng.randint(1, 60)))) for d in range(100)]
     held = [(d, c.total(), c) for d, c in docs]
     total, length = len(held), sum(n for _, n, _ in held)
-    row = S._block(held, {})
+    row = S._block([(d, n, np.asarray([S.hash_of(t) for t in c], np.uint64), np.asarray(list(c.values()))) for d, n, c in held])
     names = sorted({t for _, c in docs for t in c})
-    queries = [(t, [(t, 7, [S.keys_of(t, j) for j in range(len(S.LEVELS) + 1)])]) for t in names]
+    queries = [(t, [(t, 7, [[int(k[0]) for k in S.keys_of(np.asarray([S.hash_of(t)], np.uint64), j)] for j in range(len(S.LEVELS) + 1)])]) for t in names]
     exact = 0
     for t, ids, bound in S._bounds(row, queries, total, length):
         for (d, n, c), b in zip(held, bound.tolist()):

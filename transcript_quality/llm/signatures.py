@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from transcript_quality.llm.common import slices, stored
+from transcript_quality.llm.repeats import mix
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 K = 20
@@ -41,6 +42,7 @@ COLUMNS = 2048
 SLICE = 16 << 20
 ROUND = 4 << 20
 LAST = (1 << 63) - 1
+_STRIDE = 0x9E3779B97F4A7C15
 
 
 def terms_of(text: bytes | None) -> list[str]:
@@ -53,25 +55,27 @@ def share(tf, m):
     return 1000000000 * tf // (1000 * tf + 12 * m)
 
 
-def keys_of(term: str, level: int) -> list[int]:
-    raw = term.encode()
-    return [xxhash.xxh3_64_intdigest(raw, seed=level * HASHES + j) for j in range(HASHES)]
+def hash_of(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term.encode())
 
 
-def _block(docs: list[tuple[int, int, Counter]], known: dict) -> tuple[int, int, bytes, bytes, bytes]:
-    """(rows, documents, ids, lengths, slices) of documents (id, length, term counts)."""
-    entries = [[(t, 0) for t in c] + [(t, level) for t, k in c.items() if k > 1 for level, least in enumerate(LEVELS, 1) if k >= least] for _, _, c in docs]
-    rows = max(64, BITS * max(map(len, entries)))
+def keys_of(hashes: np.ndarray, level: int) -> list[np.ndarray]:
+    """The HASHES row numbers (before the modulus) of terms at a level."""
+    return [mix(hashes + np.uint64((1 + level * HASHES + j) * _STRIDE & 0xFFFFFFFFFFFFFFFF)) for j in range(HASHES)]
+
+
+def _block(docs: list[tuple[int, int, np.ndarray, np.ndarray]]) -> tuple[int, int, bytes, bytes, bytes]:
+    """(rows, documents, ids, lengths, slices) of documents (id, length, hashes of the terms, their counts)."""
+    size = [len(h) for _, _, h, _ in docs]
+    hashes, count, col = np.concatenate([h for _, _, h, _ in docs]), np.concatenate([c for *_, c in docs]), np.repeat(np.arange(len(docs)), size)
+    more = [np.flatnonzero(count >= least) for least in LEVELS]
+    entries = np.bincount(col, minlength=len(docs)) + sum(np.bincount(col[x], minlength=len(docs)) for x in more)
+    rows = max(64, BITS * int(entries.max()))
     bits = np.zeros((rows, -(-len(docs) // 8) * 8), np.uint8)
-    for col, own in enumerate(entries):
-        at = []
-        for e in own:
-            got = known.get(e)
-            if got is None:
-                got = known[e] = keys_of(*e)
-            at += got
-        bits[(np.asarray(at, np.uint64) % np.uint64(rows)).astype(np.int64), col] = 1
-    return (rows, len(docs), np.asarray([d for d, _, _ in docs], np.int64).tobytes(), np.asarray([n for _, n, _ in docs], np.int64).tobytes(), np.packbits(bits, axis=1).tobytes())
+    for level, x in enumerate([slice(None), *more]):
+        for k in keys_of(hashes[x], level):
+            bits[(k % np.uint64(rows)).astype(np.int64), col[x]] = 1
+    return (rows, len(docs), np.asarray([d[0] for d in docs], np.int64).tobytes(), np.asarray([d[1] for d in docs], np.int64).tobytes(), np.packbits(bits, axis=1).tobytes())
 
 
 _INDEX = "rows int, docs int, ids binary, lengths binary, slices binary, term string, df long"
@@ -86,21 +90,24 @@ def index(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
         for b in batches:
             for lo, hi in slices([x or 0 for x in pc.binary_length(b.column(1)).to_pylist()], SLICE):
                 held, df = [], Counter()
+                if len(known) > 1 << 18:
+                    known.clear()
                 for d, t in zip(b.column(0).slice(lo, hi - lo).to_pylist(), b.column(1).slice(lo, hi - lo), strict=True):
                     own = terms_of(t.as_py())
                     if own:
                         c = Counter(own)
                         df.update(c.keys())
-                        held.append((d, len(own), c))
+                        for t in c:
+                            if t not in known:
+                                known[t] = hash_of(t)
+                        held.append((d, len(own), np.fromiter(map(known.__getitem__, c), np.uint64, len(c)), np.fromiter(c.values(), np.int64, len(c))))
                 held.sort(key=lambda x: len(x[2]))
                 a = 0
                 while a < len(held):  # similar numbers of terms, so that the richest sets no needless rows
                     e = a + 1
                     while e < len(held) and e - a < COLUMNS and len(held[e][2]) <= max(64, 1.5 * len(held[a][2])):
                         e += 1
-                    if len(known) > 1 << 18:
-                        known.clear()
-                    yield pa.record_batch([pa.array([x]) for x in _block(held[a:e], known)] + [pa.nulls(1, pa.string()), pa.nulls(1, pa.int64())], schema=pa.schema(
+                    yield pa.record_batch([pa.array([x]) for x in _block(held[a:e])] + [pa.nulls(1, pa.string()), pa.nulls(1, pa.int64())], schema=pa.schema(
                         [("rows", pa.int64()), ("docs", pa.int64()), *((n, pa.binary()) for n in ("ids", "lengths", "slices")), ("term", pa.string()), ("df", pa.int64())])).cast(schema)
                     a = e
                 n = len(df)
@@ -123,23 +130,24 @@ def _bounds(row: tuple, queries: list, total: int, length: int):
         at = bits[keys[0] % rows]
         for k in keys[1:]:
             at = at & bits[k % rows]
-        return np.unpackbits(at)[:docs].astype(bool)
+        return at
 
     cache: dict = {}
     for item, own in queries:
         sums = np.zeros(docs, np.int64)
         for term, w, keys in own:
-            got = cache.get(term)
-            if got is None:
-                level = held(keys[0])
-                got = np.where(level, caps[0], 0)
-                for j in range(1, len(LEVELS) + 1):
-                    if not level.any():
-                        break
-                    level = level & held(keys[j])
-                    got = np.where(level, caps[j], got)
+            if term not in cache:
+                at, got = held(keys[0]), None
+                if at.any():
+                    got = np.where(np.unpackbits(at)[:docs], caps[0], 0)
+                    for j in range(1, len(LEVELS) + 1):
+                        at = at & held(keys[j])
+                        if not at.any():
+                            break
+                        got = np.where(np.unpackbits(at)[:docs], caps[j], got)
                 cache[term] = got
-            sums += w * got
+            if cache[term] is not None:
+                sums += w * cache[term]
         yield item, ids, sums
 
 
@@ -213,7 +221,7 @@ def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
         names = spark.createDataFrame([(t,) for t in sorted({t for own in mine.values() for t in own})] or [("",)], "term string")
         df = {x["term"]: x["df"] for x in made.where("term is not null").join(F.broadcast(names), "term").groupBy("term").agg(F.sum("df").alias("df")).collect()}
         weight = {t: math.floor(1000 * math.log((2 * total + 2) / (2 * n + 1))) for t, n in df.items()}
-        keys = {t: [[k for k in keys_of(t, level)] for level in range(len(LEVELS) + 1)] for t in weight}
+        keys = {t: [[int(k[0]) for k in keys_of(np.asarray([hash_of(t)], np.uint64), level)] for level in range(len(LEVELS) + 1)] for t in weight}
         queries = [(item, [(t, n * weight[t], keys[t]) for t, n in Counter(own).items() if t in weight]) for item, own in sorted(mine.items())]
         shared = spark.sparkContext.broadcast(queries)
         best = (_best(blocks, shared, total, length).withColumn("r", F.row_number().over(Window.partitionBy("item").orderBy(F.desc("bound"), "d"))).where(F.col("r") <= K).select("item", "d"))
