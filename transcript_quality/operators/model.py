@@ -66,10 +66,17 @@ def metrics(pred: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> dict:
             "rmse": rmse, "num_samples": n}
 
 
-def evaluate(model: PipelineModel | None, df: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> dict:
+def evaluate(model: PipelineModel | None, df: DataFrame, cfg: TrainingConfig = TrainingConfig(), with_diagnostics: bool = False) -> dict:
+    """ML-3: the metrics of a model on labelled rows; with ``with_diagnostics`` also the report of :func:`diagnostics` over the same predictions, as
+    a DataFrame under ``diagnostics`` (its source rows stay persisted, as there)."""
     if model is None:
         raise RuntimeError("No model loaded to evaluate.")
-    m = metrics(predict(model, df, cfg), cfg)
+    pred = predict(model, df, cfg)
+    if with_diagnostics:
+        pred = pred.persist(StorageLevel.MEMORY_AND_DISK)
+    m = metrics(pred, cfg)
+    if with_diagnostics:
+        m["diagnostics"] = _report(model, pred, cfg, "test")
     if m["spearman_rho"] < cfg.min_spearman_rho:
         log.warning("Model performance below threshold: Spearman Rho = %.4f (threshold: %s)",
                     m["spearman_rho"], cfg.min_spearman_rho)
@@ -91,7 +98,10 @@ def diagnostics(model: PipelineModel, df: DataFrame, cfg: TrainingConfig = Train
                 split_label: str = "test") -> DataFrame:
     """ML-7: long report (section, name, metric, value) built from a handful of aggregates.  The predictions are
     persisted for them (memory, spilling to disk), so the model runs once."""
-    pred = predict(model, df, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    return _report(model, predict(model, df, cfg).persist(StorageLevel.MEMORY_AND_DISK), cfg, split_label)
+
+
+def _report(model: PipelineModel, pred: DataFrame, cfg: TrainingConfig, split_label: str) -> DataFrame:
     feats = list(cfg.feature_columns)
     fs = stats.feature_stats(pred, feats)
     corr = stats.feature_target_corr(pred, feats, cfg.target_column)

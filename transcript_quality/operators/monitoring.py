@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from transcript_quality.config import MonitorConfig
 from transcript_quality.operators.intervals import each_step, state_intervals, window_intervals
+from transcript_quality.operators.stats import quantile_by
 
 
 def seconds(duration: str) -> int:
@@ -117,6 +118,14 @@ def windowed_quantile(df: DataFrame, ts: str, col: str, window: str, q: float =
     )
 
 
+def windowed_exact_quantile(df: DataFrame, ts: str, col: str, window: str, q: float = 0.95) -> DataFrame:
+    """STM-4, exact form: per tumbling window the quantile of the values themselves, with linear interpolation, beside the one from
+    buckets.  Rows without a time are in no window; a window holds any share of the rows."""
+    w = seconds(window)
+    rows = df.select((F.floor(epoch_seconds(ts) / w) * w).cast("long").alias("window_start"), F.col(col).alias("value"))
+    return quantile_by(rows, ["window_start"], "value", q)
+
+
 # --------------------------------------------------------------------------- step series
 def step_counts(df: DataFrame, ts: str, step: str, measures: dict[str, Column], group_cols=()) -> DataFrame:
     """Counts of each evaluation step (bucket ``[k*step, (k+1)*step)``) that has rows."""

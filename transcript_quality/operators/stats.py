@@ -11,10 +11,11 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from transcript_quality.operators.intervals import dealt_by_range, running
+
 
 def _valid(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c)
@@ -149,37 +150,39 @@ def error_stats(df: DataFrame, actual: str = "wer", predicted: str = "prediction
 
 
 # --------------------------------------------------------------------------- rank correlation
-ROWS_PER_BUCKET = 50_000
-
-
-def average_ranks(values: DataFrame, col: str = "v", weight: str | None = None,
-                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def average_ranks(values: DataFrame, col: str = "v", weight: str | None = None, rows_per_bucket: int | None = None) -> DataFrame:
     """(v, rank) with the average 1-based rank of each distinct value (ties share the mean); a row
     stands for ``weight`` equal values if a weight column is named.
 
     rank(v) = #values below v + (count(v) + 1) / 2.  Values are counted first, so a value that holds
-    any share of the rows is one row.  The distinct values are dealt into value buckets of about ``rows_per_bucket``
-    at approximate quantiles; bucket totals, one row each, are added up and joined back; a running sum ordered by value inside each
-    bucket gives the rest.  No task sorts more than about one bucket."""
+    any share of the rows is one row.  The distinct values are dealt by range and their counts added up in two levels
+    (`intervals.running`): inside each range, and over the ranges' totals, one row each.  The number of ranges is that of the session's shuffles, or follows ``rows_per_bucket``
+    distinct values a range."""
     w = F.sum(weight) if weight else F.count(F.lit(1))
     counts = values.groupBy(F.col(col).cast("double").alias("v")).agg(w.alias("c"))
-    n = counts.count()
-    buckets = n // rows_per_bucket + 1
-    if buckets > 1:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = counts.agg(F.percentile_approx("v", probs, max(10_000, 4 * buckets)).alias("q")).first()["q"]
-        # binary search per value (JVM side): bucket i holds cuts[i-1] <= v < cuts[i]
-        splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-        counts = Bucketizer(splits=splits, inputCol="v", outputCol="b", handleInvalid="keep") \
-            .transform(counts).select("v", "c", F.col("b").cast("int").alias("bucket"))
-    else:
-        counts = counts.withColumn("bucket", F.lit(0))
-    totals = counts.groupBy("bucket").agg(F.sum("c").alias("t"))
-    offsets = totals.select("bucket", F.coalesce(F.sum("t").over(
-        Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    return counts.join(offsets, "bucket").select(
-        "v", (F.col("offset") + F.coalesce(F.sum("c").over(within), F.lit(0)) + (F.col("c") + 1) / 2.0).alias("rank"))
+    partitions = counts.count() // rows_per_bucket + 1 if rows_per_bucket else None
+    dealt = dealt_by_range(counts.withColumn("upto", F.col("c")), ["v"], partitions)
+    summed = running(dealt, [], "v", {"upto": F.col("c")})
+    return summed.select("v", (F.col("upto") - F.col("c") + (F.col("c") + 1) / 2.0).alias("rank"))
+
+
+def quantile_by(df: DataFrame, group_cols, col: str, q: float, out: str = "quantile", partitions: int | None = None) -> DataFrame:
+    """Exact quantile of each group, with linear interpolation between the two ranks around ``q * (n - 1)``, and n.
+
+    Equal values of a group are counted first; the counts are dealt by group and value, and running sums in two levels
+    name the rows that hold the two ranks.  So a group of any size lies over many tasks, and neither values nor proposals reach the
+    driver.  NULL and NaN values don't count; a group without any is not in the result, nor are groups with a NULL key."""
+    group = list(group_cols)
+    rows = df.select(*group, F.col(col).cast("double").alias("_v")).where(_valid(F.col("_v"))).dropna(subset=group)
+    counts = rows.groupBy(*group, F.col("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    dealt = dealt_by_range(counts.withColumn("_upto", F.col("_c")), [*group, "_v"], partitions)
+    totals = dealt.groupBy(*group).agg(F.sum("_c").alias("n"))
+    place = F.lit(float(q)) * (F.col("n") - 1)
+    summed = running(dealt, group, "_v", {"_upto": F.col("_c")})
+    summed = summed.join(totals, group) if group else summed.crossJoin(F.broadcast(totals))  # ungrouped: one row
+    ends = summed.groupBy(*group, "n").agg(*[F.min(F.when(F.col("_upto") > rank, F.col("_v"))).alias(name)
+                                             for name, rank in (("_lo", F.floor(place)), ("_hi", F.ceil(place)))])
+    return ends.select(*group, "n", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (place - F.floor(place))).alias(out))
 
 
 def spearman_rho(df: DataFrame, x: str, y: str) -> tuple[float, int]:

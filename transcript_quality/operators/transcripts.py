@@ -66,11 +66,15 @@ def combine(acoustic: DataFrame, transcripts: DataFrame, key: str = "path") -> D
 
 def to_feature_history(df: DataFrame, keep=()) -> DataFrame:
     """PRJ-1/2: canonical FEATURE_HISTORY projection (float columns); failed rows keep ``path``
-    with NULL features.  ``keep`` names extra columns carried after the canonical ones."""
+    with NULL features.  In a row that did not fail a missing feature (no such column, or NULL) is 0.0; ``wer`` has its own
+    value for that.  ``keep`` names extra columns carried after the canonical ones."""
     failed = F.col("error").isNotNull() if "error" in df.columns else F.lit(False)
     cols = [F.col("path").cast("string").alias("path")]
     for f in FEATURE_HISTORY.fields[1:]:
-        cols.append(F.when(~failed, F.col(f.name)).cast("float").alias(f.name))
+        value = F.col(f.name) if f.name in df.columns else F.lit(None)
+        if f.name != "wer":
+            value = F.coalesce(value.cast("float"), F.lit(0.0).cast("float"))
+        cols.append(F.when(~failed, value).cast("float").alias(f.name))
     return df.select(*cols, *keep)
 
 

@@ -1147,3 +1147,96 @@ def stream_alerts(spark, sf_dir):
             write_stream(SA.alert_stream(stream, "ts", alerts, STANDIN_MONITOR.step, "0 seconds"), f"{run}/out", f"{run}/checkpoint")
     steps = each_step(spark.read.parquet(f"{run}/out").select("alert", "k", "to", "value", "state"))
     return steps.select("alert", ((F.col("k") + 1) * 3600).alias("step_end"), rd("value").alias("value"), "state")
+
+
+# ------------------------------------------------------------------ exact percentile beside the buckets
+@register("p95_exact", """
+SELECT CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) AS window_start, CAST(count(*) AS BIGINT) AS n, round(quantile_cont(value / 100.0, 0.95), 6) AS p95_exact
+FROM events WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY 1""")
+def p95_exact(spark, sf_dir):
+    """STM-4: the exact percentile of each window."""
+    out = MON.windowed_exact_quantile(scored_view(spark, sf_dir), "ts", "predicted_wer", "1 hour", 0.95)
+    return out.select("window_start", "n", rd("quantile").alias("p95_exact"))
+
+
+@register("value_quantiles", """
+SELECT label, CAST(count(*) AS BIGINT) AS n, round(quantile_cont(CAST(x AS DOUBLE), 0.75), 6) AS upper_quartile
+FROM (SELECT label, unnest(embedding) AS x FROM embeddings) WHERE label IS NOT NULL AND NOT isnan(x) GROUP BY label""")
+def value_quantiles(spark, sf_dir):
+    """AGG-4 by group: exact upper quartile of the samples of each label, few groups of many values."""
+    rows = table(spark, sf_dir, "embeddings").select("label", F.explode("embedding").alias("x"))
+    return ST.quantile_by(rows, ["label"], "x", 0.75, "upper_quartile").select("label", "n", rd("upper_quartile").alias("upper_quartile"))
+
+
+# ------------------------------------------------------------------ evaluation with its report
+@register("evaluation", f"""
+WITH {FEATURE_VIEW_SQL},
+s AS (SELECT CASE WHEN rms_db > -10 THEN 0.2 WHEN rms_db > -30 THEN 0.35 ELSE 0.6 END + CASE WHEN duration > 5 THEN 0.1 ELSE 0 END AS wer,
+             CASE WHEN rms_db > -10 THEN 0.2 WHEN rms_db > -30 THEN 0.35 ELSE 0.6 END AS prediction FROM prepared)
+SELECT * FROM ({ORACLE["diagnostics"]})
+UNION ALL SELECT 'metrics', 'test', 'rmse', round(sqrt(avg((wer - prediction) * (wer - prediction))), 6) FROM s
+UNION ALL SELECT 'metrics', 'test', 'spearman_rho', round(rho, 6) FROM {_avg_rank_corr_sql('s', 'wer', 'prediction')}
+UNION ALL SELECT 'metrics', 'test', 'num_samples', CAST(count(*) AS DOUBLE) FROM s""")
+def evaluation(spark, sf_dir):
+    """ML-3: metrics and diagnostics of one evaluation; the model is that of ``diagnostics``."""
+    from transcript_quality.operators import model as ML
+    level = F.when(F.col("rms_db") > -10, 0.2).when(F.col("rms_db") > -30, 0.35).otherwise(0.6)
+    rows = prepared_view(spark, sf_dir)
+    model = ML.fit(rows.withColumn("wer", level), SCORE_TREE)
+    # the target as a decimal sum, so that equal values tie on both sides
+    judged = rows.withColumn("wer", level + F.when(F.col("duration") > 5, 0.1).otherwise(0.0))
+    m = ML.evaluate(model, judged, SCORE_TREE, with_diagnostics=True)
+    report = m["diagnostics"].where("section <> 'importance'").select("section", "name", "metric", "value")
+    names = ("rmse", "spearman_rho", "num_samples")
+    own = spark.createDataFrame([("metrics", "test", k, float(m[k])) for k in names], report.schema)
+    return report.unionByName(own).select("section", "name", "metric", rd("value").alias("value"))
+
+
+# ------------------------------------------------------------------ a stream of scores
+@register("stream_scores", ORACLE["score_rows"])
+def stream_scores(spark, sf_dir):
+    """STM-2: the feature rows as a stream, each answered by the model and written with its micro-batch."""
+    from transcript_quality.operators import model as ML
+    from transcript_quality.sinks.writers import write_stream
+    from transcript_quality.streaming.ingest import score_stream
+    run = _run_dir(spark, "scores")
+    target = F.when(F.col("rms_db") > -10, 0.2).when(F.col("rms_db") > -30, 0.35).otherwise(0.6)
+    model = ML.fit(prepared_view(spark, sf_dir).withColumn("wer", target), SCORE_TREE)
+    stream = spark.readStream.schema(table(spark, sf_dir, "lineitem").schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    scored = ML.scored_rows(score_stream(feature_rows_of(stream), model, SCORE_TREE))
+    write_stream(scored, f"{run}/out", f"{run}/checkpoint")
+    out = spark.read.schema(scored.schema).option("recursiveFileLookup", True).parquet(f"{run}/out")
+    return out.select("path", "status", rd("predicted_wer").alias("predicted_wer"), "review_recommended")
+
+
+# ------------------------------------------------------------------ audio files on the shared folder
+def _file_rows(files: DataFrame) -> DataFrame:
+    from transcript_quality.operators import audio as A
+    out = A.acoustic_features(A.decode_audio(files, STANDIN_ACOUSTIC), STANDIN_ACOUSTIC)
+    return out.select(_vec_of(), F.col("error").isNotNull().alias("failed"), rd("duration").alias("duration"), rd("rms_db", 5).alias("rms_db"), rd("snr_db", 5).alias("snr_db"))
+
+
+@register("file_features", ORACLE["decoded_features"])
+def file_features(spark, sf_dir):
+    """SRC-1 / SRC-6 / DEC-1: every vector is written as a WAV file in the shared folder; the files are scanned, decoded and featurised."""
+    from transcript_quality.sinks.writers import write_files
+    from transcript_quality.sources import audio as SA
+    folder = f"{_run_dir(spark, 'audio')}/landing"
+    n = write_files(wav_files(table(spark, sf_dir, "embeddings"), F.lit(STANDIN_SR)), folder)
+    if n and not SA.enough_files(spark, folder, n):
+        raise RuntimeError(f"{folder} has fewer than the {n} files written")
+    return _file_rows(SA.read_audio(spark, folder))
+
+
+@register("stream_file_features", ORACLE["decoded_features"])
+def stream_file_features(spark, sf_dir):
+    """SRC-5 / STM-1 on files: two landings in one folder, each read by a run that goes on from the checkpoint, so every file counts once."""
+    from transcript_quality.sinks.writers import write_files, write_stream
+    from transcript_quality.sources import audio as SA
+    run = _run_dir(spark, "audio_stream")
+    emb = table(spark, sf_dir, "embeddings")
+    for i in range(2):
+        write_files(wav_files(emb.where(F.pmod("vec_id", F.lit(2)) == i), F.lit(STANDIN_SR)), f"{run}/landing")
+        rows = _file_rows(SA.stream_audio(spark, f"{run}/landing"))
+        write_stream(rows, f"{run}/out", f"{run}/checkpoint")
+    return spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{run}/out")

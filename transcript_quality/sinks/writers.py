@@ -55,6 +55,26 @@ def replace_manifest(df: DataFrame, path: str) -> DataFrame:
     return read_manifest(spark, path)
 
 
+def write_files(df: DataFrame, folder: str, name: str = "path", content: str = "content") -> int:
+    """Write each row's bytes as a file of its own below ``folder``, named by the last part of ``name``, and return the number of files.
+
+    Tasks write them, each file under a hidden name first and then renamed, so a task that is run again replaces what it
+    wrote and no half file is ever visible.  Rows with the same name must hold the same bytes; NULL content is an empty file."""
+    def run(batches):
+        from pyarrow import fs
+        files, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        files.create_dir(root, recursive=True)
+        for b in batches:
+            for file, data in zip(b["name"], b["content"], strict=True):
+                part = f"{root}/_{uuid.uuid4().hex}"
+                with files.open_output_stream(part) as out:
+                    out.write(data or b"")
+                files.move(part, f"{root}/{file}")
+            yield b[["name"]]
+    rows = df.select(F.element_at(F.split(F.col(name), "/"), -1).alias("name"), F.col(content).alias("content"))
+    return rows.mapInPandas(run, "name string").select("name").distinct().count()
+
+
 JSON_ENTRIES_PER_PART = 20_000
 
 
