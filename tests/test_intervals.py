@@ -57,3 +57,10 @@ def test_ratio_mode_and_empty(spark):
     assert MON.error_rate_alert(df.limit(0), "ts", F.col("bad")).collect() == []
     with pytest.raises(ValueError):
         MON.error_rate_alert(df, "ts", F.col("bad"), mode="share")
+
+
+def test_steps_are_listed_in_pieces_or_by_their_ends(spark):
+    df = spark.createDataFrame([(0, 3, "a"), (3, 3 + 3 * I.PIECE, "b"), (40_000, 40_001, "c")], "k long, to long, v string")
+    assert sorted(r.k for r in I.each_step(df).collect()) == [*range(3 + 3 * I.PIECE), 40_000]
+    got = sorted((r.k, r.v) for r in I.each_step(df, 5).collect())
+    assert got == [(0, "a"), (1, "a"), (2, "a"), (3, "b"), (2 + 3 * I.PIECE, "b"), (40_000, "c")]

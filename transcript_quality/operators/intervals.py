@@ -82,6 +82,18 @@ def state_intervals(series: DataFrame, value: Column, condition: Column, hold_st
     return (rows.select(*group, "value", F.explode(pieces).alias("p")).select(*group, "p.k", "p.to", "value", "p.state").where(F.col("k") < F.col("to")))
 
 
-def each_step(intervals: DataFrame) -> DataFrame:
-    """A row for every step of every interval.  Long gaps give as many rows as they have steps: for sparse series use the intervals themselves."""
-    return intervals.withColumn("k", F.explode(F.sequence(F.col("k"), F.col("to") - 1))).drop("to")
+#: Steps that are listed by one row's array at once.
+PIECE = 4096
+
+
+def each_step(intervals: DataFrame, longest: int | None = None) -> DataFrame:
+    """A row for every step of every interval.  An interval of more than ``longest`` steps gives its first and its last step only, between which nothing
+    changes; with None all are listed."""
+    last = F.col("to") - 1
+    if longest is not None:
+        long = F.when(F.col("to") - F.col("k") > longest, F.array(F.col("k"), last))
+    else:
+        long = F.lit(None).cast("array<bigint>")
+    starts = intervals.withColumn("_long", long).withColumn("k", F.explode(F.coalesce("_long", F.sequence(F.col("k"), last, F.lit(PIECE).cast("long")))))
+    own = F.when(F.col("_long").isNotNull(), F.array("k")).otherwise(F.sequence(F.col("k"), F.least(last, F.col("k") + (PIECE - 1))))
+    return starts.withColumn("k", F.explode(own)).drop("to", "_long")

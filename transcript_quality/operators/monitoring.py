@@ -127,6 +127,10 @@ def windowed_exact_quantile(df: DataFrame, ts: str, col: str, window: str, q: fl
 
 
 # --------------------------------------------------------------------------- step series
+#: In a listing of steps, a stretch of more steps without a change gives its first and last one (a stray old time stamp would give millions).
+LONGEST_STRETCH = 10_000
+
+
 def step_counts(df: DataFrame, ts: str, step: str, measures: dict[str, Column], group_cols=()) -> DataFrame:
     """Counts of each evaluation step (bucket ``[k*step, (k+1)*step)``) that has rows."""
     k = F.floor(epoch_seconds(ts) / seconds(step)).cast("long")
@@ -151,8 +155,8 @@ def rate_intervals(df: DataFrame, ts: str, windows, step: str, group_cols=(), wh
 def rate_series(df: DataFrame, ts: str, windows, step: str, group_cols=(),
                 where: Column | None = None) -> DataFrame:
     """WIN-3: ``rate(x[w])`` for each w in ``windows``, a row a step: rows (group..., step_end, window_sec,
-    n_in_window, rate) where rate = events in [step_end - w, step_end) / w seconds."""
-    steps = each_step(rate_intervals(df, ts, windows, step, group_cols, where))
+    n_in_window, rate) where rate = events in [step_end - w, step_end) / w seconds (stretches: ``LONGEST_STRETCH``)."""
+    steps = each_step(rate_intervals(df, ts, windows, step, group_cols, where), LONGEST_STRETCH)
     return steps.select(*group_cols, ((F.col("k") + 1) * seconds(step)).alias("step_end"), "window_sec", "n_in_window", "rate")
 
 
@@ -166,7 +170,7 @@ def increase_intervals(df: DataFrame, ts: str, window: str, step: str, where: Co
 def increase_series(df: DataFrame, ts: str, window: str, step: str, where: Column,
                     levels=(1.0, 10.0)) -> DataFrame:
     """`increase_intervals`, a row a step."""
-    steps = each_step(increase_intervals(df, ts, window, step, where, levels))
+    steps = each_step(increase_intervals(df, ts, window, step, where, levels), LONGEST_STRETCH)
     return steps.select(((F.col("k") + 1) * seconds(step)).alias("step_end"), "increase", "level")
 
 
@@ -192,7 +196,7 @@ def alert_intervals(df: DataFrame, ts: str, hit: Column, window: str, hold: str,
 
 
 def _alert_steps(intervals: DataFrame, step: str) -> DataFrame:
-    return each_step(intervals).select(((F.col("k") + 1) * seconds(step)).alias("step_end"), "value", "state")
+    return each_step(intervals, LONGEST_STRETCH).select(((F.col("k") + 1) * seconds(step)).alias("step_end"), "value", "state")
 
 
 def error_rate_alert(df: DataFrame, ts: str, is_error: Column, cfg: MonitorConfig = MonitorConfig(),
