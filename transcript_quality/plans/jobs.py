@@ -24,6 +24,7 @@ from transcript_quality.operators.audio import acoustic_features, decode_audio,
 from transcript_quality.operators.transcripts import (
     add_confidence, add_wer, attach_reference, to_feature_history, with_filename,
 )
+from transcript_quality import versions as V
 from transcript_quality.schemas import REGISTRY
 from transcript_quality.session import path_exists
 from transcript_quality.sinks import writers as W
@@ -114,7 +115,7 @@ def generate_ground_truth(manifest: DataFrame, files: DataFrame, hypotheses: Dat
     out = ground_truth_rows(present, feats, hypotheses)
     if out_path:
         W.write_ground_truth(out, out_path)
-        out = out.sparkSession.read.parquet(out_path)
+        out = SRC.read_ground_truth(out.sparkSession, out_path)
     return out, ground_truth_stats(out)
 
 
@@ -189,15 +190,37 @@ def validate(spark: SparkSession, history_path: str, candidate_path: str,
             "promote": bool(gate["promote"]), "candidate_metrics": cand, "production_metrics": prod}
 
 
+def _production_root(registry_path: str) -> str:
+    return f"{registry_path.rstrip('/')}_production"
+
+
 def deploy(spark: SparkSession, registry_path: str, version: str) -> None:
-    """JOB-5: append the production row for ``version`` (model folders stay immutable)."""
+    """JOB-5: append the production row for ``version`` to the registry (a log), then switch the production pointer to its folder, which is never
+    written again.  Scorers follow the pointer: they load the old model or the new one, also if this job is stopped half-way."""
     reg = spark.read.schema(REGISTRY).parquet(registry_path)
-    W.append_registry(RG.promote(reg, version), registry_path)
+    row = RG.promote(reg, version)
+    path = row.first()["path"]
+    W.append_registry(row, registry_path)
+    V.point(spark, _production_root(registry_path), path)
+
+
+def roll_back(spark: SparkSession, registry_path: str) -> str:
+    """Make the model that was in production before the present one current again; returns its folder."""
+    root = _production_root(registry_path)
+    before = V.resolve(spark, root, back=1)
+    if before is None:
+        raise FileNotFoundError(f"No earlier production model: {registry_path}")
+    V.point(spark, root, before)
+    return before
 
 
 def production_model_path(spark: SparkSession, registry_path: str) -> str | None:
+    """The folder that the production pointer names; without a pointer, the newest production row's."""
     if not path_exists(spark, registry_path):
         return None
+    target = V.resolve(spark, _production_root(registry_path))
+    if target is not None:
+        return target
     reg = spark.read.schema(REGISTRY).parquet(registry_path)
     row = RG.production_version(reg).first()
     return row["path"] if row and row["path"] else None
@@ -207,14 +230,16 @@ def production_model_path(spark: SparkSession, registry_path: str) -> str | None
 def merge_manifest_job(spark: SparkSession, existing_path: str | None, new_rows: DataFrame,
                        out_path: str, max_samples: int | None = None) -> DataFrame:
     """JOB-6: existing manifest (if any) + new rows not yet present, truncated to
-    ``max_samples`` with existing rows first; written as CSV to ``out_path``, which may be ``existing_path``.  Returns
-    a read of what was written."""
+    ``max_samples`` with existing rows first; written as CSV to ``out_path``, which may be ``existing_path`` (then a manifest that another
+    job replaced in the meantime is a ``versions.Conflict``).  Returns a read of what was written."""
+    in_place = existing_path is not None and existing_path.rstrip("/") == out_path.rstrip("/")
+    based_on = V.current_number(spark, out_path) if in_place else None
     if existing_path and path_exists(spark, existing_path):
         existing = SRC.read_manifest(spark, existing_path)
     else:
         existing = spark.createDataFrame([], new_rows.schema)
     merged = MF.merge_manifest(existing, new_rows, "audio_id", max_samples)
-    return W.replace_manifest(merged, out_path)
+    return W.replace_manifest(merged, out_path, based_on)
 
 
 def prepare_lookup(spark: SparkSession, manifest_path: str, files: DataFrame, lookup_path: str,

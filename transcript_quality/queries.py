@@ -1240,3 +1240,44 @@ def stream_file_features(spark, sf_dir):
         rows = _file_rows(SA.stream_audio(spark, f"{run}/landing"))
         write_stream(rows, f"{run}/out", f"{run}/checkpoint")
     return spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{run}/out")
+
+
+# ------------------------------------------------------------------ whole-table replacement
+@register("table_versions", f"""
+WITH {MANIFEST_SQL} SELECT 'before' AS seen, audio_id, md5(reference_text) AS text_md5 FROM m WHERE gender = 'en'
+UNION ALL SELECT 'now', audio_id, md5(reference_text) FROM m""")
+def table_versions(spark, sf_dir):
+    """SNK-3: a manifest is replaced while a reader holds its first version."""
+    from transcript_quality.sinks.writers import write_manifest
+    from transcript_quality.sources.tables import read_manifest
+    path = _run_dir(spark, "versions")
+    rows = _manifest(table(spark, sf_dir, "documents"))
+    write_manifest(rows.where("gender = 'en'"), path)
+    before = read_manifest(spark, path)
+    write_manifest(rows, path)
+    seen = [d.select(F.lit(n).alias("seen"), "audio_id", F.md5("reference_text").alias("text_md5")) for n, d in (("before", before), ("now", read_manifest(spark, path)))]
+    return seen[0].unionByName(seen[1])
+
+
+@register("registry_promote", """
+WITH c AS (SELECT 'v' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS version, CAST(sum(o_totalprice) AS DOUBLE) AS rho FROM orders GROUP BY o_custkey),
+best AS (SELECT version FROM c ORDER BY rho DESC, version LIMIT 1), worst AS (SELECT version FROM c ORDER BY rho, version LIMIT 1),
+log AS (SELECT version, 'candidate' AS stage FROM c UNION ALL SELECT version, 'production' FROM worst UNION ALL SELECT version, 'production' FROM best)
+SELECT version, stage, version IN (SELECT version FROM best) AS in_production FROM log""")
+def registry_promote(spark, sf_dir):
+    """ML-5 / JOB-5: a registry with a candidate for each customer (its orders' sum is the metric): the weakest is deployed, then the strongest; the
+    pointer names the second, and the log has both."""
+    from transcript_quality.plans import jobs
+    from transcript_quality.schemas import REGISTRY
+    from transcript_quality.sinks.writers import append_registry
+    path = f"{_run_dir(spark, 'registry')}/models"
+    version = F.concat(F.lit("v"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("version")
+    c = table(spark, sf_dir, "orders").groupBy(version).agg(F.sum("o_totalprice").cast("double").alias("spearman_rho"))
+    none = F.lit(None).cast("double")
+    append_registry(c.select("version", F.concat(F.lit(f"{path}/"), "version").alias("path"), F.lit("2024-01-01").cast("timestamp").alias("created_at"), "spearman_rho",
+                             none.alias("spearman_p_value"), none.alias("rmse"), F.lit(0).cast("long").alias("num_samples"), F.lit("candidate").alias("stage")), path)
+    log = spark.read.schema(REGISTRY).parquet(path)
+    for better in (F.col("spearman_rho").asc(), F.col("spearman_rho").desc()):
+        jobs.deploy(spark, path, log.orderBy(better, "version").first()["version"])
+    log = spark.read.schema(REGISTRY).parquet(path)
+    return log.select("version", "stage", (F.col("path") == jobs.production_model_path(spark, path)).alias("in_production"))

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from transcript_quality.schemas import FEATURE_HISTORY, GROUND_TRUTH, MANIFEST, REGISTRY
-from transcript_quality.session import shared_dir
 from transcript_quality.sources.tables import read_manifest
+from transcript_quality.versions import publish
 
 
 def _canonical(df: DataFrame, schema) -> DataFrame:
@@ -34,25 +34,21 @@ def append_features(df: DataFrame, path: str) -> dict:
 
 
 def write_ground_truth(df: DataFrame, path: str) -> None:
-    """SNK-2: overwrite the ground-truth table."""
-    _canonical(df, GROUND_TRUTH).write.mode("overwrite").parquet(path)
+    """SNK-2: replace the ground-truth table by a new version (`versions`); ``sources.read_ground_truth`` reads it."""
+    publish(_canonical(df, GROUND_TRUTH), path)
 
 
-def write_manifest(df: DataFrame, path: str) -> None:
-    """SNK-3: manifest CSV with header (a directory of part files).  ``df`` must not read ``path``; an update in
-    place goes through :func:`replace_manifest`."""
-    _canonical(df, MANIFEST).write.mode("overwrite").option("header", True).option("escape", '"') \
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+def write_manifest(df: DataFrame, path: str, based_on: int | None = None) -> None:
+    """SNK-3: manifest CSV with header (a directory of part files), as a new version (`versions`) that ``sources.read_manifest`` reads.
+    ``df`` may be read from ``path``: older versions stay as they are."""
+    publish(_canonical(df, MANIFEST), path, "csv", based_on, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-def replace_manifest(df: DataFrame, path: str) -> DataFrame:
-    """SNK-3 for a manifest that ``df`` may itself be read from: the rows are written to a folder of their own in the
-    shared location first, and only then copied over ``path``.  Returns a read of what was written."""
-    spark = df.sparkSession
-    side = shared_dir(spark, "manifest", uuid.uuid4().hex)
-    write_manifest(df, side)
-    write_manifest(read_manifest(spark, side), path)
-    return read_manifest(spark, path)
+def replace_manifest(df: DataFrame, path: str, based_on: int | None = None) -> DataFrame:
+    """SNK-3 for an update in place, and a read of what was written.  With ``based_on``, the number of the version ``df`` was made from, a
+    version that another job wrote in the meantime is a ``versions.Conflict`` and stays."""
+    write_manifest(df, path, based_on)
+    return read_manifest(df.sparkSession, path)
 
 
 def write_files(df: DataFrame, folder: str, name: str = "path", content: str = "content") -> int:
@@ -82,17 +78,17 @@ def write_reference_lookup(df: DataFrame, path: str, as_json: bool = False,
                            entries_per_part: int = JSON_ENTRIES_PER_PART) -> None:
     """SNK-4: (filename, reference_text) as Parquet, or as JSON objects in the lookup's format: a folder
     ``part=<hash part>`` with one object of about ``entries_per_part`` entries each, so no task builds an unbounded
-    map.  Of rows with the same filename one (the largest text) is kept."""
+    map.  Of rows with the same filename one (the largest text) is kept.  A new version (`versions`)."""
     rows = df.select("filename", "reference_text").where(
         F.col("reference_text").isNotNull() & (F.col("reference_text") != ""))
     if not as_json:
-        rows.write.mode("overwrite").parquet(path)
+        publish(rows, path)
         return
     rows = rows.groupBy("filename").agg(F.max("reference_text").alias("reference_text"))
     parts = rows.count() // entries_per_part + 1
     obj = rows.groupBy(F.pmod(F.xxhash64("filename"), F.lit(parts)).alias("part")).agg(
         F.to_json(F.map_from_entries(F.collect_list(F.struct("filename", "reference_text")))).alias("value"))
-    obj.write.mode("overwrite").partitionBy("part").text(path)
+    publish(obj, path, "text", partition_by="part")
 
 
 def save_model(model: PipelineModel, output_dir: str, ts: datetime | None = None) -> tuple[str, str]:

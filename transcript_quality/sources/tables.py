@@ -8,8 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transcript_quality.schemas import FEATURE_HISTORY, MANIFEST, REFERENCE_LOOKUP
+from transcript_quality.schemas import FEATURE_HISTORY, GROUND_TRUTH, MANIFEST, REFERENCE_LOOKUP
 from transcript_quality.session import path_exists
+from transcript_quality.versions import resolve
 
 log = logging.getLogger(__name__)
 
@@ -20,6 +21,7 @@ def read_reference_lookup(spark: SparkSession, path: str) -> DataFrame:
     if not path_exists(spark, path):
         log.warning("Reference lookup not found at %s", path)
         return spark.createDataFrame([], REFERENCE_LOOKUP)
+    path = resolve(spark, path) or path
     if _is_parquet(spark, path):
         return spark.read.schema(REFERENCE_LOOKUP).parquet(path)
     doc = spark.read.text(path, wholetext=True)
@@ -51,6 +53,7 @@ def read_manifest(spark: SparkSession, path: str, require_rows: bool = False) ->
     """SRC-4: manifest CSV with header and the explicit MANIFEST schema."""
     if not path_exists(spark, path):
         raise FileNotFoundError(f"Manifest not found at {path}")
+    path = resolve(spark, path) or path
     df = spark.read.schema(MANIFEST).option("header", True).option("multiLine", True) \
         .option("escape", '"').csv(path)
     if require_rows and df.limit(1).count() == 0:
@@ -58,6 +61,13 @@ def read_manifest(spark: SparkSession, path: str, require_rows: bool = False) ->
     return df
 
 
+def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of the ground-truth table; missing path raises."""
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"Ground truth not found: {path}")
+    return spark.read.schema(GROUND_TRUTH).parquet(resolve(spark, path) or path)
+
+
 def load_model(spark: SparkSession, path: str) -> PipelineModel:
     """SRC-7: load a saved pipeline model; missing path raises."""
     if not path_exists(spark, path):
