@@ -108,14 +108,15 @@ def generate_ground_truth(manifest: DataFrame, files: DataFrame, hypotheses: Dat
     token_confidence, score.  Returns (rows, stats) where stats are one-row DataFrames.
 
     With ``out_path`` the rows are written once and the statistics read the written table, so
-    decoding and WER are not recomputed for each statistic."""
+    decoding and WER are not recomputed for each statistic; stats then has the write's run summary as "run" (a dict)."""
     present = MF.existing_audio(manifest, files, by="path")
     feats = acoustic_features(decode_audio(files, acoustic), acoustic) \
         .select(F.col("path").alias("audio_path"), "rms_db", "snr_db", "duration")
     out = ground_truth_rows(present, feats, hypotheses)
     if out_path:
-        W.write_ground_truth(out, out_path)
+        run = W.write_ground_truth(out, out_path)
         out = SRC.read_ground_truth(out.sparkSession, out_path)
+        return out, {**ground_truth_stats(out), "run": run}
     return out, ground_truth_stats(out)
 
 

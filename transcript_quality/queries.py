@@ -1281,3 +1281,34 @@ def registry_promote(spark, sf_dir):
         jobs.deploy(spark, path, log.orderBy(better, "version").first()["version"])
     log = spark.read.schema(REGISTRY).parquet(path)
     return log.select("version", "stage", (F.col("path") == jobs.production_model_path(spark, path)).alias("in_production"))
+
+
+# ------------------------------------------------------------------ run summaries
+@register("run_summaries", f"""
+WITH {FEATURE_VIEW_SQL}, {MANIFEST_SQL}, scored AS ({ORACLE["score_rows"]}),
+s AS (SELECT 'append' AS job, 'rows' AS metric, count(*) AS n FROM feat
+      UNION ALL SELECT 'append', 'failed', count(*) FILTER (rms_db IS NULL) FROM feat
+      UNION ALL SELECT 'append', 'unlabelled', count(*) FILTER (wer = -1) FROM feat
+      UNION ALL SELECT 'manifest', 'rows', count(*) FROM m
+      UNION ALL SELECT 'manifest', 'unlabelled', count(*) FILTER (coalesce(reference_text, '') = '') FROM m
+      UNION ALL SELECT 'score', 'rows', count(*) FROM scored
+      UNION ALL SELECT 'score', 'failed', count(*) FILTER (status <> 200) FROM scored
+      UNION ALL SELECT 'score', 'flagged', count(*) FILTER (review_recommended) FROM scored)
+SELECT * FROM s UNION ALL SELECT 'stream', metric, n FROM s WHERE job = 'append'""")
+def run_summaries(spark, sf_dir):
+    """AGG-14: what a history append, the same as a stream, a manifest write and a scoring write report of themselves."""
+    from transcript_quality.operators import model as ML
+    from transcript_quality.schemas import FEATURE_HISTORY
+    from transcript_quality.sinks import writers as W
+    from transcript_quality.streaming.summaries import run_summaries as listen
+    run = _run_dir(spark, "summaries")
+    target = F.when(F.col("rms_db") > -10, 0.2).when(F.col("rms_db") > -30, 0.35).otherwise(0.6)
+    model = ML.fit(prepared_view(spark, sf_dir).withColumn("wer", target), SCORE_TREE)
+    rows = feature_view(spark, sf_dir)
+    got = {"append": W.append_features(rows, f"{run}/history"), "manifest": W.write_manifest(_manifest(table(spark, sf_dir, "documents")), f"{run}/manifest"),
+           "score": W.append_scores(ML.scored_rows(ML.score(model, rows, SCORE_TREE)), f"{run}/scores")}
+    stream = spark.readStream.schema(table(spark, sf_dir, "lineitem").schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    stream = feature_rows_of(stream).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURE_HISTORY.fields])
+    with listen(spark) as seen:
+        got["stream"] = seen.of(W.write_stream(stream, f"{run}/history", f"{run}/checkpoint", metrics=W.history_metrics()))
+    return spark.createDataFrame([(job, m, int(n)) for job, metrics in got.items() for m, n in metrics.items()], "job string, metric string, n long")

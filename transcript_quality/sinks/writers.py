@@ -5,13 +5,14 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from transcript_quality.schemas import FEATURE_HISTORY, GROUND_TRUTH, MANIFEST, REGISTRY
+from transcript_quality.schemas import FEATURE_HISTORY, GROUND_TRUTH, MANIFEST, REGISTRY, SCORED
 from transcript_quality.sources.tables import read_manifest
 from transcript_quality.versions import publish
 
@@ -20,28 +21,58 @@ def _canonical(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+#: The name under which streams report their metrics.
+RUN_METRICS = "run_metrics"
+
+
+def history_metrics() -> dict[str, Column]:
+    """Of feature rows: all, failed ones (NULL features), and those without a reference text (wer = -1)."""
+    return {"rows": F.count(F.lit(1)), "failed": F.count_if(F.col("rms_db").isNull()), "unlabelled": F.count_if(F.col("wer") == -1.0)}
+
+
+def truth_metrics() -> dict[str, Column]:
+    """Of ground-truth rows: all, those without acoustics (audio that failed), and those without a hypothesis."""
+    return {"rows": F.count(F.lit(1)), "failed": F.count_if(F.col("rms_db").isNull()),
+            "skipped": F.count_if(F.coalesce("hypothesis_text", F.lit("")) == "")}
+
+
+def manifest_metrics() -> dict[str, Column]:
+    """Of manifest rows: all, and those without a reference text."""
+    return {"rows": F.count(F.lit(1)), "unlabelled": F.count_if(F.coalesce("reference_text", F.lit("")) == "")}
+
+
+def scored_metrics() -> dict[str, Column]:
+    """Of SCORED rows: all, failed ones (status 500) and those to review."""
+    return {"rows": F.count(F.lit(1)), "failed": F.count_if(F.col("status") != 200), "flagged": F.count_if("review_recommended")}
+
+
+def observed(df: DataFrame, metrics: dict[str, Column], write: Callable[[DataFrame], object]) -> dict:
+    """``write(df)`` and its run summary (AGG-14), observed on the way: no second pass over the data."""
+    seen = Observation(f"run-{uuid.uuid4().hex}")
+    write(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]))
+    return dict(seen.get)
+
+
 def append_features(df: DataFrame, path: str) -> dict:
-    """SNK-1: append rows to the feature history in the canonical schema (float columns).
+    """SNK-1: append rows to the feature history in the canonical schema (float columns).  Returns the run summary (`history_metrics`)."""
+    return observed(_canonical(df, FEATURE_HISTORY), history_metrics(), lambda rows: rows.write.mode("append").parquet(path))
+
 
-    Returns the run summary (AGG-14) observed while writing: rows, failed rows (NULL
-    features) and rows without a reference text (wer = -1); no second pass over the data."""
-    obs = Observation("append_features")
-    out = _canonical(df, FEATURE_HISTORY).observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rms_db").isNull()).alias("failed"),
-        F.count_if(F.col("wer") == -1.0).alias("unlabelled"))
-    out.write.mode("append").parquet(path)
-    return dict(obs.get)
+def append_scores(df: DataFrame, path: str) -> dict:
+    """Append SCORED rows; returns the run summary (`scored_metrics`)."""
+    return observed(_canonical(df, SCORED), scored_metrics(), lambda rows: rows.write.mode("append").parquet(path))
 
 
-def write_ground_truth(df: DataFrame, path: str) -> None:
-    """SNK-2: replace the ground-truth table by a new version (`versions`); ``sources.read_ground_truth`` reads it."""
-    publish(_canonical(df, GROUND_TRUTH), path)
+def write_ground_truth(df: DataFrame, path: str) -> dict:
+    """SNK-2: replace the ground-truth table by a new version (`versions`); ``sources.read_ground_truth`` reads it.  Returns the run summary (`truth_metrics`)."""
+    return observed(_canonical(df, GROUND_TRUTH), truth_metrics(), lambda rows: publish(rows, path))
 
 
-def write_manifest(df: DataFrame, path: str, based_on: int | None = None) -> None:
+def write_manifest(df: DataFrame, path: str, based_on: int | None = None) -> dict:
     """SNK-3: manifest CSV with header (a directory of part files), as a new version (`versions`) that ``sources.read_manifest`` reads.
-    ``df`` may be read from ``path``: older versions stay as they are."""
-    publish(_canonical(df, MANIFEST), path, "csv", based_on, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    ``df`` may be read from ``path``: older versions stay as they are.  Returns the run summary (`manifest_metrics`)."""
+    csv = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return observed(_canonical(df, MANIFEST), manifest_metrics(), lambda rows: publish(rows, path, "csv", based_on, **csv))
 
 
 def replace_manifest(df: DataFrame, path: str, based_on: int | None = None) -> DataFrame:
@@ -104,11 +135,14 @@ def append_registry(df: DataFrame, path: str) -> None:
     _canonical(df, REGISTRY).write.mode("append").parquet(path)
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", available_now: bool = True):
+def write_stream(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", available_now: bool = True,
+                 metrics: dict[str, Column] | None = None):
     """SNK-7 / SNK-1: streaming append to a table that batch jobs append to as well.  Each micro-batch overwrites its own
     folder ``stream=<query id>/batch=<id>``: a retried batch replaces its rows, a new checkpoint (a new query id) never
     touches older rows, and no file log hides the files that others wrote.  With ``available_now`` the call
-    waits until all input there is has been written."""
+    waits until all input there is has been written.  ``metrics`` are observed in each micro-batch (`streaming.summaries`)."""
+    if metrics:
+        df = df.observe(RUN_METRICS, *[c.alias(n) for n, c in metrics.items()])
     started, run = threading.Event(), []
 
     def write(rows: DataFrame, batch: int) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from transcript_quality.config import AcousticConfig, IngestConfig, ScoringConfig, TrainingConfig
 from transcript_quality.operators.model import score
-from transcript_quality.sinks.writers import write_stream
+from transcript_quality.sinks.writers import history_metrics, write_stream
 from transcript_quality.sources.audio import stream_audio
 
 
@@ -21,11 +21,11 @@ def ingest_stream(spark: SparkSession, landing: str, history_path: str, checkpoi
                   archive_dir: str | None = None, acoustic: AcousticConfig = AcousticConfig(),
                   ingest: IngestConfig = IngestConfig(), available_now: bool = True):
     """STM-1: landed audio -> feature rows appended to ``history_path``.  ``checkpoint`` belongs to this landing
-    folder and history and must outlive the session."""
+    folder and history and must outlive the session.  The run summary is observed on the way (`summaries.run_summaries`)."""
     from transcript_quality.plans.jobs import features_from_files
     files = stream_audio(spark, landing, ingest.glob, archive_dir)
     rows = features_from_files(files, lookup, transcripts, acoustic, ingest)
-    return write_stream(rows, history_path, checkpoint, available_now=available_now)
+    return write_stream(rows, history_path, checkpoint, available_now=available_now, metrics=history_metrics())
 
 
 def score_stream(features: DataFrame, model: PipelineModel, cfg: TrainingConfig = TrainingConfig(),
