@@ -23,46 +23,80 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transcript_quality.llm.common import slices, stored
+from transcript_quality.llm.common import stored
 
-RUN = re.compile("[a-zÀ-ÿ]+")
 SHORTEST, RAREST, MODULUS = 5, 3, 97
+#: Runs of fewer letters give no word, with or without a deleted letter; a match starts where its run starts and takes all of it.
+RUN = re.compile(f"[a-zÀ-ÿ]{{{SHORTEST},}}")
+#: Different words a task holds before it hands on their counts.
+HELD = 400_000
 LONGEST = 64
 #: A node of a mark and two letters, the shallowest at which a word enters.
 SALT, SHALLOW = 16, 1 + SHORTEST // 2
 
 
-def runs_of(doc_id, text: bytes) -> Counter:
-    """The words of one text with their counts."""
-    out = Counter()
-    start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
-    for run, n in Counter(RUN.findall(text.lower().decode("utf-8", "replace"))).items():  # bytes lower A-Z only
-        if len(run) >= SHORTEST:
-            h = zlib.crc32(run.encode(), start)
-            if h % MODULUS == 0:
-                at = h % len(run)
-                run = run[:at] + run[at + 1:]
-                if len(run) < SHORTEST:
-                    continue
-            out[run] += n
-    return out
+class WordCounts(dict):
+    """Numbers of different runs, with their counts as words.  The crc of an id and a run is put together from the crc of each, so a run is hashed once and not
+    once a document."""
+
+    def __init__(self):
+        super().__init__()
+        self.words: list[str] = []
+        self.n, self.size, self.crc = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.uint32)
+
+    def __missing__(self, run: str) -> int:
+        i = self[run] = len(self.words)
+        self.words.append(run)
+        if i == len(self.n):
+            self.n, self.size, self.crc = (np.concatenate([x, np.zeros_like(x)]) for x in (self.n, self.size, self.crc))
+        data = run.encode()
+        self.size[i], self.crc[i] = len(data), zlib.crc32(data)
+        return i
+
+    def add(self, doc_id, text: bytes) -> None:
+        """Count the words of one text."""
+        found = Counter(RUN.findall(text.lower().decode("utf-8", "replace")))  # bytes lower A-Z only
+        if not found:
+            return
+        at = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        times = np.fromiter(found.values(), np.int64, len(found))
+        start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+        sizes, which = np.unique(self.size[at], return_inverse=True)
+        zeros = [bytes(k) for k in sizes.tolist()]
+        moved = np.asarray([zlib.crc32(z, start) ^ zlib.crc32(z) for z in zeros], np.uint32)  # the id's part, as many bytes on
+        h = moved[which] ^ self.crc[at]
+        cut = h % MODULUS == 0
+        self.n[at[~cut]] += times[~cut]
+        for i, k, x in zip(at[cut].tolist(), times[cut].tolist(), h[cut].tolist(), strict=True):
+            word = self.words[i]
+            gone = x % len(word)
+            word = word[:gone] + word[gone + 1:]
+            if len(word) >= SHORTEST:
+                j = self[word]
+                self.n[j] += k
+
+    def rows(self) -> pa.RecordBatch:
+        n = self.n[:len(self.words)]
+        return pa.record_batch([pa.array(self.words, pa.string()), pa.array(n)], ["word", "n"]).filter(pa.array(n > 0))
 
 
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(word, n) of all words with ``RAREST`` occurrences or more."""
     def run(batches):
+        counts = WordCounts()
         for b in batches:
-            for lo, hi in slices([x or 0 for x in pc.binary_length(b.column(1)).to_pylist()], 16 << 20):
-                total = Counter()
-                for d, t in zip(b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), strict=True):
-                    if t.is_valid:
-                        total.update(runs_of(d.as_py(), t.as_py()))
-                yield pa.record_batch([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
+            for d, t in zip(b.column(0), b.column(1), strict=True):
+                if t.is_valid:
+                    counts.add(d.as_py(), t.as_py())
+                if len(counts) > HELD:
+                    yield counts.rows()
+                    counts = WordCounts()
+        yield counts.rows()
     rows = docs.select(F.col(id_col).alias("i"), F.col(text).cast("binary").alias("t"))
     return rows.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= RAREST)
 
@@ -112,7 +146,7 @@ def _near_in_trie(words: DataFrame) -> DataFrame:
         now = now.where(f"NOT ({ended})").drop("ends")
         if now.isEmpty():
             own = [F.when(F.startswith(F.col(c), F.lit("<")), F.reverse(F.substring(c, F.lit(2), F.length(c)))).otherwise(F.substring(c, F.lit(2), F.length(c))).alias(c) for c in ("word", "near")]
-            return found.select(*own, "n").distinct()
+            return found.select(*own, "n")
 
 
 def _near_long(words: DataFrame) -> DataFrame:
@@ -133,8 +167,9 @@ def _near_long(words: DataFrame) -> DataFrame:
 
 
 def neighbours(words: DataFrame) -> DataFrame:
-    """words (word, n) -> (word, near, n): all words one edit away, with their counts."""
-    return _near_in_trie(words).union(_near_long(words))
+    """words (word, n) -> (word, near, n): all words one edit away, with their counts.  Dealt by word (a word has a bounded number of neighbours), so a
+    grouping by word needs no other shuffle."""
+    return _near_in_trie(words).union(_near_long(words)).repartition("word").distinct()
 
 
 def _roots(forms: DataFrame) -> DataFrame:
