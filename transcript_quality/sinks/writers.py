@@ -12,7 +12,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from transcript_quality.operators.partitioning import spread
 from transcript_quality.schemas import FEATURE_HISTORY, GROUND_TRUTH, MANIFEST, REGISTRY, SCORED
+from transcript_quality.session import settings
 from transcript_quality.sources.tables import read_manifest
 from transcript_quality.versions import publish
 
@@ -86,7 +88,7 @@ def write_files(df: DataFrame, folder: str, name: str = "path", content: str = "
     """Write each row's bytes as a file of its own below ``folder``, named by the last part of ``name``, and return the number of files.
 
     Tasks write them, each file under a hidden name first and then renamed, so a task that is run again replaces what it
-    wrote and no half file is ever visible.  Rows with the same name must hold the same bytes; NULL content is an empty file."""
+    wrote and no half file is ever visible.  A table of few partitions is spread over the cores first.  Rows with the same name must hold the same bytes; NULL content is an empty file."""
     def run(batches):
         from pyarrow import fs
         files, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
@@ -99,7 +101,7 @@ def write_files(df: DataFrame, folder: str, name: str = "path", content: str = "
                 files.move(part, f"{root}/{file}")
             yield b[["name"]]
     rows = df.select(F.element_at(F.split(F.col(name), "/"), -1).alias("name"), F.col(content).alias("content"))
-    return rows.mapInPandas(run, "name string").select("name").distinct().count()
+    return spread(rows).mapInPandas(run, "name string").select("name").distinct().count()
 
 
 JSON_ENTRIES_PER_PART = 20_000
@@ -136,11 +138,12 @@ def append_registry(df: DataFrame, path: str) -> None:
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, output_mode: str = "append", available_now: bool = True,
-                 metrics: dict[str, Column] | None = None):
+                 metrics: dict[str, Column] | None = None, conf: dict[str, str] | None = None):
     """SNK-7 / SNK-1: streaming append to a table that batch jobs append to as well.  Each micro-batch overwrites its own
     folder ``stream=<query id>/batch=<id>``: a retried batch replaces its rows, a new checkpoint (a new query id) never
     touches older rows, and no file log hides the files that others wrote.  With ``available_now`` the call
-    waits until all input there is has been written.  ``metrics`` are observed in each micro-batch (`streaming.summaries`)."""
+    waits until all input there is has been written.  ``metrics`` are observed in each micro-batch (`streaming.summaries`).
+    ``conf`` holds session settings for the call (until the end with ``available_now``, else for the start)."""
     if metrics:
         df = df.observe(RUN_METRICS, *[c.alias(n) for n, c in metrics.items()])
     started, run = threading.Event(), []
@@ -150,9 +153,10 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, output_mode: str = "
         rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/stream={run[0]}/batch={batch}")
 
     w = df.writeStream.outputMode(output_mode).foreachBatch(write).option("checkpointLocation", checkpoint)
-    query = w.trigger(availableNow=True).start() if available_now else w.start()
-    run.append(query.id)
-    started.set()
-    if available_now:
-        query.awaitTermination()
+    with settings(df.sparkSession, conf or {}):
+        query = w.trigger(availableNow=True).start() if available_now else w.start()
+        run.append(query.id)
+        started.set()
+        if available_now:
+            query.awaitTermination()
     return query

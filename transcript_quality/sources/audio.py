@@ -36,6 +36,18 @@ def stream_audio(spark: SparkSession, path: str, glob: str = "*.wav", archive_di
     return r.load(path)
 
 
+#: A file is reckoned as this many bytes more than it has when a micro-batch is dealt to tasks.  Spark's own 4 MB would make a task of every 32
+#: short recordings.
+FILE_COST = 256 << 10
+
+
+def small_file_settings(spark: SparkSession) -> dict[str, str]:
+    """Session settings for streams of many small files (``sinks.write_stream``): each task takes many of them, and so does each task that looks
+    up a micro-batch's files (Spark's default is a task a file, up to 10,000 of them, in every micro-batch and at every restart)."""
+    return {"spark.sql.files.openCostInBytes": str(FILE_COST),
+            "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)}
+
+
 def enough_files(spark: SparkSession, path: str, min_files: int = 50, glob: str = "*.wav") -> bool:
     """SRC-6: True when at least ``min_files`` matching files have landed; missing folder ->
     False.  Only ``path`` is read (content is pruned) and the count stops at ``min_files``."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from transcript_quality.config import AcousticConfig, IngestConfig, ScoringConfig, TrainingConfig
 from transcript_quality.operators.model import score
 from transcript_quality.sinks.writers import history_metrics, write_stream
-from transcript_quality.sources.audio import stream_audio
+from transcript_quality.sources.audio import small_file_settings, stream_audio
 
 
 def ingest_stream(spark: SparkSession, landing: str, history_path: str, checkpoint: str,
@@ -25,7 +25,7 @@ def ingest_stream(spark: SparkSession, landing: str, history_path: str, checkpoi
     from transcript_quality.plans.jobs import features_from_files
     files = stream_audio(spark, landing, ingest.glob, archive_dir)
     rows = features_from_files(files, lookup, transcripts, acoustic, ingest)
-    return write_stream(rows, history_path, checkpoint, available_now=available_now, metrics=history_metrics())
+    return write_stream(rows, history_path, checkpoint, available_now=available_now, metrics=history_metrics(), conf=small_file_settings(spark))
 
 
 def score_stream(features: DataFrame, model: PipelineModel, cfg: TrainingConfig = TrainingConfig(),
