@@ -54,3 +54,28 @@ def test_edges(spark):
     got = sorted((tuple(r) for r in tokenfiles.read(tokenfiles.write(df, PATH)).collect()), key=lambda r: r[1])
     assert got == brute([(None, "null id"), (-4, "first"), (1, None), (2, ""), (3, "b c"), (3, "b c"), (9, "long text " * 40000)])
     assert tokenfiles.read(tokenfiles.write(df.limit(0), PATH)).collect() == []
+
+
+def test_a_word_is_encoded_once():
+    """Whatever follows a word, the library's model is asked for it once; the ids are the library's all the same."""
+    lib, coder, asked = Tokenizer.from_file(PATH), tokenfiles.Encoder(PATH), []
+    model = coder.model
+
+    class Asked:
+        def tokenize(self, word):
+            asked.append(word)
+            return model.tokenize(word)
+
+    coder.model = Asked()
+    texts = ["so thinwhble, thinwhble. thinwhble; thinwhble", "x1.a,b_c,dé.éf, gäh. _i.\tthinwhble\n j.k", "中文,abc，def."]
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert asked.count("Ġthinwhble") == 1
+    assert " thinwhble" in coder and not [c for c in coder if c[:10] == " thinwhble" and c != " thinwhble"]
+
+
+def test_every_width_comes_back():
+    rng = np.random.default_rng(4)
+    for width in range(1, 33):
+        ids = rng.integers(0, 1 << width, 3 * tokenfiles.BLOCK + 7, dtype=np.uint64).astype(np.uint32)
+        got, sizes = tokenfiles.read_segment(tokenfiles.write_segment(ids, np.asarray([len(ids)])))
+        assert (got == ids).all() and sizes.tolist() == [len(ids)]

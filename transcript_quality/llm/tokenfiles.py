@@ -18,6 +18,7 @@ segment of its own; other columns are not read."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -38,8 +39,9 @@ SEGMENT_IDS = 1 << 20
 CACHE_CHUNKS = 400_000
 MAGIC = b"TQPF"
 _HEADER = struct.Struct("<4sIIIQ")  # magic, ids in a block, documents, blocks, ids
-_CHUNK = re.compile(r"\s*\S+|\s+")
-_HEAD = re.compile(r"\s*[^\W\d_]+(?=[^\w\s])")  # letters before punctuation
+_CHUNK = re.compile(r"\s*(?:[A-Za-z]++(?!\w)|\S+)|\s+")  # letters before punctuation are a chunk of their own
+_HEAD = re.compile(r"\s*[^\W\d_]+(?=[^\w\s])")  # the same for any letters
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 _WHOLE = re.compile(r"[\x1c-\x1f]")  # white space to Python, not to the tokenizer
 
 
@@ -52,7 +54,8 @@ def _pack(delta: np.ndarray, width: int) -> np.ndarray:
     """(n, BLOCK) values -> (n, bytes): the low ``width`` bits of each."""
     if width in (8, 16):  # whole bytes: the same layout without taking bits apart
         return np.ascontiguousarray(delta.astype(f"<u{width // 8}")).view(np.uint8).reshape(len(delta), -1)
-    bits = np.unpackbits(np.ascontiguousarray(delta, "<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    size = 1 if width < 8 else 2 if width < 16 else 4
+    bits = np.unpackbits(np.ascontiguousarray(delta.astype(f"<u{size}")).view(np.uint8).ravel(), bitorder="little").reshape(-1, 8 * size)
     return np.packbits(bits[:, :width].reshape(len(delta), -1), axis=1, bitorder="little")
 
 
@@ -60,10 +63,11 @@ def _unpack(data: np.ndarray, width: int) -> np.ndarray:
     n = len(data)
     if width in (8, 16):
         return np.ascontiguousarray(data).view(f"<u{width // 8}").astype("<u4")
+    size = 1 if width < 8 else 2 if width < 16 else 4
     bits = np.unpackbits(data, axis=1, bitorder="little")[:, :BLOCK * width].reshape(n * BLOCK, width)
-    full = np.zeros((n * BLOCK, 32), np.uint8)
+    full = np.zeros((n * BLOCK, 8 * size), np.uint8)
     full[:, :width] = bits
-    return np.packbits(full, axis=1, bitorder="little").view("<u4").reshape(n, BLOCK)
+    return np.packbits(full.ravel(), bitorder="little").view(f"<u{size}").reshape(n, BLOCK).astype("<u4")
 
 
 def write_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
@@ -75,9 +79,8 @@ def write_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     grid = grid.reshape(n, BLOCK)
     low = grid.min(1) if n else np.zeros(0, np.uint32)
     delta = grid - low[:, None]
-    need = _widths(delta.ravel()).reshape(n, BLOCK)
-    width = np.partition(need, int(BLOCK * PERCENTILE), axis=1)[:, int(BLOCK * PERCENTILE)] if n else np.zeros(0, np.int64)
-    odd = need > width[:, None]
+    width = _widths(np.partition(delta, int(BLOCK * PERCENTILE), axis=1)[:, int(BLOCK * PERCENTILE)]) if n else np.zeros(0, np.int64)
+    odd = delta.astype(np.int64) >> width[:, None] > 0
     n_odd = odd.sum(1)
     packed: list[bytes] = [b""] * n
     for w in np.unique(width):
@@ -140,26 +143,38 @@ class Encoder(dict):
     The library's pre-tokens never run from a character that is no white space into one that is, nor from a letter into
     punctuation, so a text's ids are those of its chunks: white space, then what follows up to the next white space, cut before
     punctuation after letters.  A chunk of letters, with a blank before them or none, is one pre-token and goes to the library's model
-    at once; all others go to the whole library."""
+    at once; all others go to the whole library.  For ASCII letters the pattern of chunks makes the cut, so that a word is kept once, whatever follows it."""
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.lib = Tokenizer.from_file(path)
         self.model = self.lib.model
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)["model"]
+        if spec.pop("type", None) == "BPE":  # the same model without its own cache: what is asked for is mostly new
+            merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec.pop("merges")]
+            self.model = BPE(spec.pop("vocab"), merges, cache_capacity=0, **{k: v for k, v in spec.items() if v})
         self.letters = byte_letters()
+        self.blank = self.letters[ord(" ")]
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         out = self.old.get(chunk)
         if out is not None:
             return self._keep(chunk, out)
-        head = _HEAD.match(chunk)
-        if chunk.isalpha() or chunk[:1] == " " and chunk[1:].isalpha():
-            ids = [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(self.letters))]
-            return self._keep(chunk, struct.pack(f"<{len(ids)}I", *ids))
+        head = _HEAD.match(chunk) if not chunk.isascii() else None
+        word = chunk[1:] if chunk[:1] == " " else chunk
+        if word.isalpha():
+            if not chunk.isascii():
+                word = chunk.encode().decode("latin-1").translate(self.letters)
+            elif word is not chunk:  # these letters stand for themselves
+                word = self.blank + word
+            ids = [t.id for t in self.model.tokenize(word)]
+            return self._keep(chunk, _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids))
         if head:
             return self._keep(chunk, self[chunk[:head.end()]] + self[chunk[head.end():]])
         if chunk[:1] in "\n\t" and chunk[1:].isalpha():
