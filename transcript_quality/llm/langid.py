@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transcript_quality.llm.common import fold
+from transcript_quality.llm.common import fold, release, released
 
 DIM = 1024
 SEED = 20240611
@@ -155,7 +155,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dim: int = DI
             yield pa.record_batch({"lang": pa.array([name] * dim), "pos": pa.array(range(dim), pa.int32()), "v": pa.array(v)})
 
     known = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).where("t is not null and l is not null")
-    rows = (known.mapInArrow(sums, "lang string, pos int, v double")
+    rows = (known.mapInArrow(released(sums), "lang string, pos int, v double")
             .groupBy("lang", "pos").agg(F.sum("v").alias("v")))
     flat = rows.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("pos", "v"))).alias("p")).limit(MAX_LANGUAGES + 1).collect()
     if len(flat) > MAX_LANGUAGES:
@@ -179,6 +179,8 @@ def language(text: Column, prototypes: dict[str, np.ndarray], dim: int = DIM) ->
             best = np.argmax(np.round(cos, 6), axis=1)
             score = np.clip(cos[np.arange(len(texts)), best], 0.0, 1.0)
         ok = (letters > 0) & bool(names)
+        del vec, texts
+        release()
         return pa.StructArray.from_arrays(
             [pa.array([names[b] if k else UNKNOWN for b, k in zip(best, ok, strict=True)], pa.string()), pa.array(np.where(ok, score, 0.0))],
             ["lang_pred", "score"])
@@ -217,7 +219,7 @@ def alphabet(docs: DataFrame, text: str = "text", lang: str = "lang") -> frozens
                     yield pa.record_batch({"lang": pa.array([name] * len(at), pa.string()), "code": pa.array(at, pa.int32()), "n": pa.array(n[at], pa.int64())})
 
     known = docs.select(F.col(text).alias("t"), F.col(lang).cast("string").alias("l")).where("t is not null and l is not null")
-    counts = known.mapInArrow(count, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = known.mapInArrow(released(count), "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     whole = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     rows = counts.join(whole, "lang").where(F.col("n") * COMMON >= F.col("all")).select("code").distinct()
     return frozenset(map(chr, rows.toArrow().column(0).to_pylist()))

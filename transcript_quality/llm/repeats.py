@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transcript_quality.llm.common import id_bit, id_bitmap, run_starts, slices, stored
+from transcript_quality.llm.common import id_bit, id_bitmap, released, run_starts, slices, stored
 from transcript_quality.llm.suffixes import permuted_common_prefixes, suffix_array, words8
 
 WINDOW = 50
@@ -35,7 +35,7 @@ GRAM = 16
 #: Bytes hashed at a time; bytes of a slice that are packed together; bytes whose suffixes are sorted together.
 PIECE = 1 << 19
 SLICE = 6 << 20
-SORTED = 1 << 20
+SORTED = 1 << 18
 #: Region bytes of a shard, roughly.
 SHARD = 12 << 20
 #: A region's hash travels with so many bytes; more regions than equal ones may share them, which only makes them meet.
@@ -195,10 +195,10 @@ def _split(texts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     """later_windows of one hash's regions.  Where they are too many to be sorted together, windows are dealt by a hash of their own bytes and
     sorted share by share; equal windows are in the same share."""
     total = sum(map(len, texts))
-    if total <= 4 * SORTED:
+    if total <= 16 * SORTED:
         return later_windows(texts, ids)
     out = [np.zeros(len(x) - WINDOW + 1, bool) for x in texts]
-    shares = 2 + total * 12 // SORTED
+    shares = 2 + total * 3 // SORTED
     dealt = []
     for x in texts:
         w = words8(np.frombuffer(x, np.uint8))
@@ -318,8 +318,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         if rows and (out := _judge(rows)):
             yield _found(out)
 
-    return stored(docs.select("id", "key", "t").mapInArrow(send, "shard long, k long, d long, meta binary, body binary").repartition(partitions, "shard")
-                  .sortWithinPartitions("shard").mapInArrow(judge, _FOUND), "repeats")
+    return stored(docs.select("id", "key", "t").mapInArrow(released(send), "shard long, k long, d long, meta binary, body binary").repartition(partitions, "shard")
+                  .sortWithinPartitions("shard").mapInArrow(released(judge), _FOUND), "repeats")
 
 
 def _cut(text: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[int, int, bytes]:
@@ -363,7 +363,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
                 size, gone, runs, kept = zip(*out, strict=True)
                 yield pa.record_batch([part.column(0), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())],
                                       ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-    return hit.unionByName(free).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+    return hit.unionByName(free).mapInArrow(released(run), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def digest(cut: DataFrame) -> DataFrame:
