@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from transcript_quality.llm import queries, repeats
@@ -123,3 +124,43 @@ def test_split_hash_equals_one_sort(monkeypatch):
     want = repeats.later_windows(texts, ids)
     monkeypatch.setattr(repeats, "SORTED", 800)
     assert all((a == b).all() for a, b in zip(repeats._split(texts, ids), want, strict=True))
+
+
+def test_regions_without_a_common_window_are_not_sorted(monkeypatch):
+    """Regions that meet by their gram alone are not sorted; the repeats are those of all regions sorted."""
+    rng = np.random.default_rng(6)
+    some = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8))
+    gram, passage = some(16), some(70)
+    plain = [some(60) + gram + some(60) for _ in range(200)]
+    texts = [*plain, some(30) + passage + some(30), some(20) + passage[:55] + some(40), some(20) + passage[10:62], b"ab" * 80, b"x" + b"ab" * 70]
+    ids, keys, sorted_texts = np.arange(len(texts)), np.arange(len(texts)), []
+    packed, _ = repeats._send(texts, ids, keys, 1)
+    later = repeats.later_windows
+    monkeypatch.setattr(repeats, "later_windows", lambda t, i: sorted_texts.extend(t) or later(t, i))
+    got = repeats._judge([x[1:] for x in packed])
+    assert 0 < len(sorted_texts) < 60 and sum(gram in t for t in sorted_texts) < 10
+    monkeypatch.setattr(repeats, "_may_share", lambda t: np.ones(len(t), bool))
+    whole = repeats._judge([x[1:] for x in packed])
+    assert all(a.tolist() == b.tolist() for a, b in zip(got, whole, strict=True)) and {201, 202, 204} <= set(got[0].tolist())
+
+
+def test_many_shards_travel_in_few_batches(spark, monkeypatch):
+    """A slice has a row for each shard; they go through Arrow together and not one by one, and give the same repeats."""
+    rng = np.random.default_rng(7)
+    words = ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(300)]
+    text = [" ".join(rng.choice(words, 60)) for _ in range(120)]
+    rows = [(i, i, (t + " " + text[i // 2][:200]).encode()) for i, t in enumerate(text)]
+    docs = spark.createDataFrame(rows, "id long, key long, t binary").coalesce(1)
+    few = sorted(map(tuple, repeats.repeated_windows(docs).collect()))
+    monkeypatch.setattr(repeats, "SHARD", 1 << 9)
+    frame, runs = type(docs), []
+
+    def watched(self, fn, schema, *a, **k):
+        runs.append(fn)
+        return many(self, fn, schema, *a, **k)
+    many = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", watched)
+    assert sorted(map(tuple, repeats.repeated_windows(docs).collect())) == few and few
+    batch = pa.record_batch({"id": [r[0] for r in rows], "key": [r[1] for r in rows], "t": pa.array([r[2] for r in rows], pa.binary())})
+    sent = list(runs[0](iter([batch])))
+    assert sum(b.num_rows for b in sent) > 100 > 5 > len(sent)

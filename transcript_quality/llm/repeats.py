@@ -36,6 +36,8 @@ GRAM = 16
 PIECE = 1 << 19
 SLICE = 6 << 20
 SORTED = 1 << 18
+#: Packed bytes of a batch of rows on their way to the shards.
+SENT = 1 << 20
 #: Region bytes of a shard, roughly.
 SHARD = 12 << 20
 #: A region's hash travels with so many bytes; more regions than equal ones may share them, which only makes them meet.
@@ -115,41 +117,37 @@ def _send(texts: list[bytes], ids: np.ndarray, keys: np.ndarray, shards: int):
     shard = (spread % np.uint64(shards)).astype(np.int64)
     by = np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
     cuts = np.append(run_starts(shard[by]), len(by))
+    # what all shards need is computed for all at once: at many shards a slice has few regions for each
+    d, spread, start, n = doc[by], spread[by], start[by], n[by]
+    new = np.ones(len(by), bool)
+    new[1:] = d[1:] != d[:-1]
+    new[cuts[:-1]] = True
+    first = np.zeros(len(by), bool)
+    first[cuts[:-1]] = True
+    gap = np.where(new, start, np.diff(start, prepend=0))
+    numbers = np.stack([(spread >> np.uint64(64 - 8 * NAME_BYTES)).astype("<i8"), (new & ~first).astype("<i8"), gap.astype("<i8"), n.astype("<i8")]).view(np.uint8).reshape(4, len(by), 8)
+    owner = d[new]
+    own_ids, own_keys, own_cuts = ids[owner], keys[owner], np.append(0, np.cumsum(new))[cuts].tolist()
+    parts = list(zip(d.tolist(), start.tolist(), (start + n + WINDOW - 1).tolist(), strict=True))
     pack = zstandard.ZstdCompressor(level=3)
     packed = []
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        x = by[a:b]
-        d = doc[x]
-        body = b"".join([texts[i][s:s + k] for i, s, k in zip(d.tolist(), start[x].tolist(), (n[x] + WINDOW - 1).tolist(), strict=True)])
-        own = np.unique(d)
-        at = np.searchsorted(own, d)
-        gap = np.where(np.diff(at, prepend=-1) == 0, np.diff(start[x], prepend=0), start[x])
-        name = (spread[x] >> np.uint64(64 - 8 * NAME_BYTES)).astype(np.int64)
-        meta = _planes(name, NAME_BYTES) + _planes(np.diff(at, prepend=0)) + _planes(gap) + _planes(n[x]) + ids[own].tobytes() + keys[own].tobytes()
-        packed.append((int(shard[x[0]]), len(x), len(own), pack.compress(meta), pack.compress(body)))
+    for s, a, b, x, y in zip(shard[by[cuts[:-1]]].tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), own_cuts[:-1], own_cuts[1:], strict=True):
+        body = b"".join([texts[i][p:q] for i, p, q in parts[a:b]])
+        # numbers byte by byte: all first bytes, all second bytes ...; the zeros of small numbers then lie together
+        meta = numbers[0, a:b, :NAME_BYTES].T.tobytes() + numbers[1:, a:b].transpose(0, 2, 1).tobytes() + own_ids[x:y].tobytes() + own_keys[x:y].tobytes()
+        packed.append((s, b - a, y - x, pack.compress(meta), pack.compress(body)))
     return packed, (ids[inner[0]], keys[inner[0]], inner[1], inner[2])
 
 
-def _planes(x: np.ndarray, size: int = 8) -> bytes:
-    """Numbers byte by byte: all first bytes, all second bytes ...; the zeros of small numbers then lie together."""
-    return x.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :size].T.tobytes()
-
-
-def _unplaned(raw: bytes, at: int, n: int, size: int = 8) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :size] = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n).T
-    return out.view("<i8").ravel()
-
-
 def _unpack(rows: list[tuple]):
     """Arrays of all regions of a shard: hash, id, key, start, windows, offset of the text, and the joined texts."""
     un, parts, bodies = zstandard.ZstdDecompressor(), [], []
     for n, docs, meta, body in rows:
-        raw, at, cols = un.decompress(meta), 0, []
-        for size in (NAME_BYTES, 8, 8, 8):
-            cols.append(_unplaned(raw, at, n, size))
-            at += n * size
-        name, doc, gap, count = cols
+        raw, at = un.decompress(meta), n * (NAME_BYTES + 24)
+        numbers = np.zeros((4, n, 8), np.uint8)
+        numbers[0, :, :NAME_BYTES] = np.frombuffer(raw, np.uint8, n * NAME_BYTES).reshape(NAME_BYTES, n).T
+        numbers[1:] = np.frombuffer(raw, np.uint8, n * 24, n * NAME_BYTES).reshape(3, 8, n).transpose(0, 2, 1)
+        name, doc, gap, count = numbers.view("<i8")[:, :, 0]
         doc = np.cumsum(doc)
         far = np.cumsum(gap)
         first = np.diff(doc, prepend=-1) != 0
@@ -215,6 +213,34 @@ def _split(texts: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _may_share(texts: list[bytes]) -> np.ndarray:
+    """Whether each region may share a window with another one.  All windows of a region hold its gram of the smallest hash.  Equal windows hold it in the same place,
+    so at least half of their other bytes are equal before it or after it: regions that have neither half in common with another are alone."""
+    size = np.asarray([len(x) for x in texts])
+    ends = np.cumsum(size)
+    t = np.frombuffer(b"".join(texts), np.uint8)
+    w = words8(t)
+    low = mix(mix(w[:len(t) - GRAM + 1]) * _C ^ w[GRAM - 8:len(t) - 7])
+    for k in range(1, GRAM):  # grams that reach into the next region
+        low[(ends[:-1] - k)] = ~np.uint64(0)
+    starts = ends - size
+    least = np.minimum.reduceat(low, starts)
+    at = np.flatnonzero(low == np.repeat(least, size)[:len(low)])
+    own, half = np.searchsorted(ends, at, side="right"), (WINDOW - GRAM + 1) // 2
+    out = np.zeros(len(texts), bool)
+    for first, inside in ((at - half, at - half >= starts[own]), (at + GRAM, at + GRAM + half <= ends[own])):
+        who, p, key = own[inside], first[inside], least[own[inside]]
+        for k in (*range(0, half - 7, 8), half - 8):
+            key = mix((key ^ w[p + k]) * _C)
+        order = np.lexsort((who, key))
+        who, key = who[order], key[order]
+        heads = run_starts(key)
+        if len(heads):
+            last = np.append(heads[1:], len(key))
+            out[who[np.repeat(who[heads] != who[last - 1], last - heads)]] = True
+    return out
+
+
 def _judge(rows: list[tuple]):
     """A shard's repeats: (id, key, start, windows)."""
     h, ids, keys, start, n, at, body = _unpack(rows)
@@ -240,6 +266,9 @@ def _judge(rows: list[tuple]):
     heads = run_starts(h[own])
     sort = np.flatnonzero(np.repeat(np.diff(np.append(heads, len(own))) > 1, np.diff(np.append(heads, len(own)))))
     texts = [body[a:a + m] for a, m in zip(at[own[sort]].tolist(), (n[own[sort]] + WINDOW - 1).tolist(), strict=True)]
+    if texts:
+        sort = sort[_may_share(texts)]
+        texts = [body[a:a + m] for a, m in zip(at[own[sort]].tolist(), (n[own[sort]] + WINDOW - 1).tolist(), strict=True)]
     later = [np.zeros(m, bool) for m in n[own].tolist()]
     for a, b in _groups_of_texts(n[own[sort]] + WINDOW - 1, h[own[sort]]):
         x = own[sort[a:b]]
@@ -297,8 +326,8 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
                 for a in range(0, len(i), THROUGH):
                     c = slice(a, a + THROUGH)
                     packed.append((int(i[a] % shards), -len(i[c]), 0, b"".join(x[c].astype(np.int64).tobytes() for x in (i, key, start, n)), b""))
-                for row in packed:
-                    yield pa.record_batch([pa.array([x]) for x in row], schema=sent)
+                for a, e in slices([len(row[3]) + len(row[4]) for row in packed], SENT):
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*packed[a:e], strict=True), sent.types, strict=True)], schema=sent)
 
     sent = pa.schema([("shard", pa.int64()), ("k", pa.int64()), ("d", pa.int64()), ("meta", pa.binary()), ("body", pa.binary())])
 
