@@ -5,8 +5,8 @@ id.  Windows that are equal must meet in one shard, so each goes where its small
 neighbours mostly share it, and a run of them is sent once, as one region of text.  A slice of documents sends equal regions once, from
 its first document (in the others they are repeats already); copies of a passage therefore cost a shard one region a slice.
 
-A shard takes the regions of each hash that comes from two documents or more, keeps equal ones once (the first document's stands for all), sorts the
-suffixes of the joined bytes of those that differ by induced sorting (`suffixes`), and computes the permuted common prefixes.  Neighbours in the suffix array with ``WINDOW``
+A shard takes the regions of each hash that comes from two documents or more, keeps equal ones once (the first document's stands for all), leaves out those that can't
+share a window with another (`_may_share`), sorts the suffixes of the joined bytes of those that differ by induced sorting (`suffixes`), and computes the permuted common prefixes.  Neighbours in the suffix array with ``WINDOW``
 common bytes are one group; a window of a later document than the group's first is a repeat.  Hashes only choose where windows
 meet: equal regions are compared as bytes.
 
