@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from transcript_quality.llm.common import id_bit, id_bitmap, released, run_starts, slices, stored
+from transcript_quality.llm.common import forget_shuffles, id_bit, id_bitmap, released, run_starts, slices, stored
 from transcript_quality.llm.suffixes import permuted_common_prefixes, suffix_array, words8
 
 WINDOW = 50
@@ -369,6 +369,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t"))
     rows = rows.withColumn("key", F.xxhash64("t"))
     found = repeated_windows(rows)
+    forget_shuffles(docs.sparkSession)  # the regions
     shared = docs.sparkSession.sparkContext.broadcast(id_bitmap(found.select("id").distinct()))
 
     @F.arrow_udf("boolean")
